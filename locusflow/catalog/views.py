@@ -116,17 +116,25 @@ def bases(spark: SparkSession, sf_dir: str, min_mapq: int = 0, **explode_options
     return with_bases(explode_positions(reads, **explode_options))
 
 
-def read_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full reads of ordered pairs: CIGAR text, quality array, starts folded so that copies occur.
+def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
+    """Full reads of pairs: CIGAR text and quality array, starts folded so that copies occur.
 
-    Mates are line items 1 and 2 of an order; a lone line item is an unpaired read.
+    Mates are the line items 1 and 2 of an order; a lone line item is an unpaired read.
     """
     return (
         alignments(spark, sf_dir)
         .filter("mate_no <= 2")
-        .withColumn("start", F.expr("1 + start % 400"))
-        .withColumn("clip", F.expr("read_id % 4"))
+        .withColumns(
+            {
+                "contig_idx": F.expr("template_id % 5"),
+                "mate_contig_idx": F.expr("template_id % 5"),
+                "library": F.expr("concat('lib', template_id % 3)"),
+                "start": F.expr(f"1 + start % {fold}"),
+                "clip": F.expr("read_id % 4"),
+            }
+        )
         .withColumn("end_pos", F.expr("start + read_len - clip - 1"))
+        .withColumn("lead", F.expr("CASE WHEN is_reverse = 1 THEN 0 ELSE clip END"))
         .withColumn(
             "cigar",
             F.expr(
@@ -136,5 +144,30 @@ def read_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
         .withColumn("qual", F.expr("transform(sequence(0L, read_len - 1), off -> int(2 + (read_id + off * 7) % 39))"))
+        .withColumn("flag", F.expr("int(CASE WHEN is_unmapped = 1 THEN 4 ELSE 0 END + 16 * is_reverse)"))
         .drop("clip")
     )
+
+
+def with_sequence(records: DataFrame) -> DataFrame:
+    """Add ``seq``: the bases of the fixture formula at each read offset."""
+    letter = (
+        "substr('ACGT', int(1 + ((((start - lead + o) * 37 + contig_idx * 13) % 11) % 4 + "
+        "CASE WHEN (read_id + o) % 97 = 0 THEN 1 "
+        "WHEN (start - lead + o) % 211 = 0 AND read_id % 2 = 0 THEN 2 ELSE 0 END) % 4), 1)"
+    )
+    return records.withColumn("seq", F.expr(f"array_join(transform(sequence(0L, read_len - 1), o -> {letter}), '')"))
+
+
+def reference_cells(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
+    """The fixture's reference sequence in cells of ``width`` bases."""
+    letter = "substr('ACGT', int(1 + ((p * 37 + contig_idx * 13) % 11) % 4), 1)"
+    return (
+        contigs(spark, sf_dir)
+        .withColumn("cell", F.expr(f"explode(sequence(0L, length div {width}))"))
+        .selectExpr(
+            "contig_idx", "cell",
+            f"array_join(transform(sequence(greatest(1L, cell * {width}), least(length, cell * {width} + {width - 1})), "
+            f"p -> {letter}), '') AS seq",
+        )
+    )
