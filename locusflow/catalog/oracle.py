@@ -94,7 +94,7 @@ COVARIATES = """cov AS (
          CASE WHEN is_reverse = 1 THEN translate(concat(next_base, base), 'ACGT', 'TGCA') ELSE concat(last_base, base) END AS pair,
          CASE WHEN is_reverse = 1 THEN next_base ELSE last_base END AS neighbour
   FROM (SELECT *, lag(base) OVER w AS last_base, lead(base) OVER w AS next_base FROM bases
-        WINDOW w AS (PARTITION BY read_id ORDER BY off)) x),
+        WINDOW w AS (PARTITION BY read_id, read_len ORDER BY off)) x),
 obs AS (
   SELECT rg, qual, cycle, CASE WHEN neighbour IS NULL THEN NULL ELSE pair END AS context,
          base, ref_base, contig_idx, pos, read_id, off, mapq FROM cov),

@@ -312,13 +312,13 @@ def _(spark, sf):
 
 
 def _assigned(paired: bool) -> str:
-    mate = """ UNION SELECT read_id, contig_idx, start, r2.region_key FROM placed a JOIN plan r2 ON a.mate_contig_idx = r2.contig_idx AND a.mate_start BETWEEN r2.start2 AND r2.end2
-  UNION SELECT read_id, contig_idx, start, r2.region_key FROM placed a JOIN plan r2 ON a.mate_contig_idx = r2.contig_idx AND a.mate_start + a.read_len BETWEEN r2.start2 AND r2.end2"""
+    mate = """ UNION SELECT read_id, a.contig_idx, a.start, a.end_pos, r2.region_key FROM placed a JOIN plan r2 ON a.mate_contig_idx = r2.contig_idx AND a.mate_start BETWEEN r2.start2 AND r2.end2
+  UNION SELECT read_id, a.contig_idx, a.start, a.end_pos, r2.region_key FROM placed a JOIN plan r2 ON a.mate_contig_idx = r2.contig_idx AND a.mate_start + a.read_len BETWEEN r2.start2 AND r2.end2"""
     return f"""placed AS (SELECT read_id, contig_idx, start, end_pos, mate_contig_idx, mate_start, read_len FROM alignments WHERE is_unmapped = 0),
 hits AS (
-  SELECT read_id, a.contig_idx, a.start, r2.region_key FROM placed a JOIN plan r2 ON a.contig_idx = r2.contig_idx AND a.start BETWEEN r2.start2 AND r2.end2
-  UNION SELECT read_id, a.contig_idx, a.start, r2.region_key FROM placed a JOIN plan r2 ON a.contig_idx = r2.contig_idx AND a.end_pos BETWEEN r2.start2 AND r2.end2
-  {mate.replace('SELECT read_id, contig_idx, start', 'SELECT read_id, a.contig_idx, a.start') if paired else ''}),
+  SELECT read_id, a.contig_idx, a.start, a.end_pos, r2.region_key FROM placed a JOIN plan r2 ON a.contig_idx = r2.contig_idx AND a.start BETWEEN r2.start2 AND r2.end2
+  UNION SELECT read_id, a.contig_idx, a.start, a.end_pos, r2.region_key FROM placed a JOIN plan r2 ON a.contig_idx = r2.contig_idx AND a.end_pos BETWEEN r2.start2 AND r2.end2
+  {mate if paired else ''}),
 assigned AS (
   SELECT h.read_id, h.contig_idx, h.start, h.region_key, CASE WHEN o.region_key = h.region_key THEN 1 ELSE 0 END AS is_owner
   FROM hits h JOIN plan o ON h.contig_idx = o.contig_idx AND h.start BETWEEN o.start2 AND o.end2)"""
@@ -716,15 +716,17 @@ recal AS (
 @registered(
     "run_dna",
     sql.with_ctes(
-        sql.ALIGN, sql.SITES, sql.records(400), _RECORD_BASES, sql.RECALIBRATED,
+        sql.ALIGN, sql.SITES, sql.records(400), _RECORD_BASES.replace("NOT IN (SELECT (contig_idx, pos) FROM known_sites)", "NOT IN (SELECT (contig_idx, pos) FROM known_sites) AND pos % 211 <> 0"), sql.RECALIBRATED,
         "strong AS (SELECT * FROM fresh WHERE new_qual >= 10 AND mapq >= 20)", sql.calls("strong", 30, 30, "new_qual"),
         select="SELECT contig_idx, pos, ref, alt, qual, gt, depth, alt_count, filter FROM called",
     ),
 )
 def _(spark, sf):
     reads = v.with_sequence(v.read_records(spark, sf, 400))
-    cells = v.reference_cells(spark, sf, pileup.PILEUP_BIN)
-    return dna.run_dna(reads, cells, v.known_sites(spark, sf), min_base_quality=10).variants
+    cells = materialize(v.reference_cells(spark, sf, pileup.PILEUP_BIN))
+    planted = v.contigs(spark, sf).selectExpr("contig_idx", "explode(sequence(211L, length, 211L)) AS pos")
+    sites = v.known_sites(spark, sf).select("contig_idx", "pos").unionByName(planted)
+    return dna.run_dna(reads, cells, sites, min_base_quality=10).variants
 
 
 _SPLICED = "concat(20 + l_linenumber, 'M', 100 + l_partkey % 50, 'N', 15, 'M1I', 10, 'M', 200 + l_suppkey % 9, 'N', 5 + l_partkey % 20, 'M')"
@@ -758,7 +760,7 @@ def _(spark, sf):
     spliced = reads.filter("cigar NOT LIKE '%S%'").withColumn(
         "cigar", F.concat(half.cast("string"), F.lit("M500N"), (F.col("read_len") - half).cast("string"), F.lit("M"))
     ).withColumn("end_pos", F.col("end_pos") + 500)
-    cells = v.reference_cells(spark, sf, pileup.PILEUP_BIN)
+    cells = materialize(v.reference_cells(spark, sf, pileup.PILEUP_BIN))
     return dna.run_rna(spliced, cells, min_base_quality=10, min_mapq=0).variants
 
 

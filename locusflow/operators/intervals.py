@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from locusflow.operators.joins import broadcast_if_small, spread_join
+from locusflow.operators.joins import spread_join
 from locusflow.operators.scans import before, carry_into_bins, up_to
+from locusflow.session import materialize
 
 #: Gap up to which neighbouring reads belong to one covered island.
 ISLAND_GAP = 51
@@ -183,13 +184,7 @@ def filter_intervals(targets: DataFrame, islands: DataFrame, **join_options) ->
 def filter_known_sites(sites: DataFrame, islands: DataFrame, pad: int = SITE_PAD, **join_options) -> DataFrame:
     """Known sites (``contig_idx, pos``) that fall in the padded, merged islands.
 
-    Unordered; a writer sorts by range when order matters.
+    Unordered; a writer sorts by range when order matters.  The padded islands are
+    computed eagerly.
     """
-    return point_join(sites, pad_and_merge(islands, pad), "left_semi", **join_options)
-
-
-__all__ = [
-    "explode_bins", "median_bin_width", "interval_join", "merge_intervals", "pad_and_merge",
-    "interval_semi_join", "interval_anti_join", "point_join", "filter_intervals",
-    "filter_known_sites", "broadcast_if_small",
-]
+    return point_join(sites, materialize(pad_and_merge(islands, pad)), "left_semi", **join_options)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from locusflow.functions.cigar import parse_cigar
 from locusflow.operators.joins import spread_join
 from locusflow.operators.pileup import PILEUP_BIN, pack_sites
+from locusflow.session import materialize
 
 
 def aligned_blocks(reads: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def read_bases(
     hi = F.least(F.col("block_end"), F.col("cell") * width + (width - 1))
     covered = F.sequence(lo, hi)
     if exclude is not None:
-        packed = pack_sites(exclude, width).withColumnRenamed("__bin", "cell")
+        packed = materialize(pack_sites(exclude, width)).withColumnRenamed("__bin", "cell")
         joined = spread_join(joined, packed, ["contig_idx", "cell"], "left", **join_options)
         covered = F.array_except(covered, F.coalesce("__sites", F.array().cast("array<bigint>")))
     exploded = joined.withColumn("pos", F.explode(covered))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -40,12 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+    """Compute ``df`` once into a Parquet table in the shared folder and read it back.
 
-    The data is written as reliable checkpoint files, so losing an executor
-    afterwards costs a re-read and not a recomputation.
+    Lineage ends there: losing an executor afterwards costs a re-read and not a
+    recomputation, later plans see real sizes, and only needed columns are read.
+    The caller's job owns the folder; nothing is deleted here.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/locusflow/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
