@@ -73,6 +73,11 @@ def letter(pos: str, contig: str = "contig_idx", step: str = "0") -> str:
     return f"substr('ACGT', CAST(1 + ((({pos}) * 37 + {contig} * 13) % 11 % 4 + {step}) % 4 AS INT), 1)"
 
 
+def varied_letter(pos: str, step: str = "0") -> str:
+    """Base of the reference behind the full reads."""
+    return f"substr('ACGT', CAST(1 + ((({pos}) * ({pos}) * 37 + contig_idx * 13 + 7919) % 251 % 4 + {step}) % 4 AS INT), 1)"
+
+
 def step(pos: str, off: str) -> str:
     return (
         f"(CASE WHEN (read_id + {off}) % 97 = 0 THEN 1 WHEN ({pos}) % 211 = 0 AND read_id % 2 = 0 THEN 2 ELSE 0 END)"

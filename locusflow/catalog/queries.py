@@ -445,9 +445,8 @@ def _junction_lines(spark, sf):
         "concat('chr', l_suppkey % 5)", "1000 + l_partkey % 200 * 50", "1500 + l_partkey % 200 * 50 + l_linenumber % 3 * 20",
         "1 + l_linenumber % 2", "l_partkey % 7", "l_partkey % 2", "l_orderkey % 11", "l_orderkey % 4", "10 + bigint(l_quantity)",
     ]
-    return v.table(spark, sf, "lineitem").selectExpr(
-        f"if(l_partkey % 50 = 0, 'not a junction', concat_ws('\t', {', '.join(fields)})) AS value"
-    )
+    text = f"if(l_partkey % 50 = 0, 'not a junction', concat_ws('\t', {', '.join(fields)}))"
+    return v.text_lines(v.table(spark, sf, "lineitem"), text)
 
 
 @registered(
@@ -664,7 +663,7 @@ _BASES_AND_COVARIATES = (sql.ALIGN, sql.SITES, sql.bases(), sql.COVARIATES)
 
 def _recalibration(spark, sf):
     columns = ["read_id", "library", "contig_idx", "start", "end_pos", "read_len", "is_reverse"]
-    reads = mapped(spark, sf).select(columns)
+    reads = v.spread_small(mapped(spark, sf).select(columns), "read_id")
     masked = pileup.explode_positions(reads, exclude=v.known_sites(spark, sf))
     return recalibrate.recalibration_table(v.with_previous_base(v.with_bases(masked)))
 
@@ -697,10 +696,10 @@ _RECORD_BASES = f"""unique_reads AS (SELECT * FROM marked WHERE is_unmapped = 0
 offsets AS (SELECT *, unnest(range(lead_clip, lead_clip + read_len - clip)) AS off FROM unique_reads),
 bases AS (
   SELECT *, start - lead_clip + off AS pos, 2 + (read_id + off * 7) % 39 AS qual,
-         {sql.letter("start - lead_clip + off")} AS ref_base,
-         {sql.letter("start - lead_clip + off", step=sql.step("start - lead_clip + off", "off"))} AS base,
-         {sql.letter("start - lead_clip + off - 1", step=sql.step("start - lead_clip + off - 1", "off - 1"))} AS last_base,
-         {sql.letter("start - lead_clip + off + 1", step=sql.step("start - lead_clip + off + 1", "off + 1"))} AS next_base
+         {sql.varied_letter("start - lead_clip + off")} AS ref_base,
+         {sql.varied_letter("start - lead_clip + off", step=sql.step("start - lead_clip + off", "off"))} AS base,
+         {sql.varied_letter("start - lead_clip + off - 1", step=sql.step("start - lead_clip + off - 1", "off - 1"))} AS last_base,
+         {sql.varied_letter("start - lead_clip + off + 1", step=sql.step("start - lead_clip + off + 1", "off + 1"))} AS next_base
   FROM offsets),
 obs AS (
   SELECT library AS rg, qual, contig_idx, pos, base, ref_base, read_id, off, mapq,
@@ -722,7 +721,7 @@ recal AS (
     ),
 )
 def _(spark, sf):
-    reads = v.with_sequence(v.read_records(spark, sf, 400))
+    reads = materialize(v.with_sequence(v.read_records(spark, sf, 400)))
     cells = materialize(v.reference_cells(spark, sf, pileup.PILEUP_BIN))
     planted = v.contigs(spark, sf).selectExpr("contig_idx", "explode(sequence(211L, length, 211L)) AS pos")
     sites = v.known_sites(spark, sf).select("contig_idx", "pos").unionByName(planted)
@@ -747,7 +746,7 @@ def _(spark, sf):
     text = F.expr(
         "concat(20 + mate_no, 'M', 100 + read_id % 50, 'N15M1I10M', 200 + read_id % 9, 'N', 5 + read_id % 20, 'M')"
     )
-    reads = v.alignments(spark, sf).withColumns(
+    reads = v.spread_small(v.alignments(spark, sf), "read_id").withColumns(
         {"cigar": text, "mapq": F.when(F.col("mapq") % 2 == 0, 255).otherwise(F.col("mapq"))}
     )
     return cigar.split_n_reads(reads).select("read_id", "segment", "start", "end_pos", "cigar", "mapq")
@@ -755,7 +754,7 @@ def _(spark, sf):
 
 @registered("run_rna")
 def _(spark, sf):
-    reads = v.with_sequence(v.read_records(spark, sf, 400))
+    reads = materialize(v.with_sequence(v.read_records(spark, sf, 400)))
     half = F.floor(F.col("read_len") / 2)
     spliced = reads.filter("cigar NOT LIKE '%S%'").withColumn(
         "cigar", F.concat(half.cast("string"), F.lit("M500N"), (F.col("read_len") - half).cast("string"), F.lit("M"))
@@ -809,14 +808,9 @@ def _(spark, sf):
 
 def _old_quality(spark, sf):
     """Reads whose libraries 1 and 2 use the old quality encoding."""
-    return v.alignments(spark, sf).withColumns(
-        {
-            "rg_id": F.col("library"),
-            "qual": F.expr(
-                "transform(sequence(0L, read_len - 1), off -> int(2 + (read_id + off * 7) % 39 + if(library = 'lib0', 0, 31)))"
-            ),
-        }
-    )
+    shifted = v.QUALITY_TEXT.replace("char(35 + ", "char(if(library = 'lib0', 35, 66) + ")
+    reads = v.spread_small(v.alignments(spark, sf), "read_id")
+    return reads.withColumns({"rg_id": F.col("library"), "qual": F.expr(shifted)})
 
 
 _QUALITIES = """quals AS (SELECT library, read_id, list_max([2 + (read_id + o * 7) % 39 FOR o IN range(0, read_len)]) AS q_max,
@@ -838,7 +832,7 @@ def _(spark, sf):
 @registered("fix_quality", sql.with_ctes(sql.ALIGN, _QUALITIES, select="SELECT read_id, q_sum FROM quals"))
 def _(spark, sf):
     fixed = quality.normalize_quality(_old_quality(spark, sf))
-    total = F.aggregate("qual", F.lit(0).cast("long"), lambda t, q: t + q)
+    total = F.aggregate(quality.phred("qual"), F.lit(0).cast("long"), lambda t, q: t + q)
     return fixed.select("read_id", total.alias("q_sum"))
 
 
@@ -919,7 +913,7 @@ def _sam_lines(spark, sf):
         "substr(repeat('ACGT', 25), 1, int(read_len))", "substr(repeat('I', 100), 1, int(read_len))", "concat('RG:Z:', library)",
         "'NM:i:1'",
     ]
-    body = v.alignments(spark, sf).selectExpr(f"concat_ws('\t', {', '.join(fields)}) AS value")
+    body = v.text_lines(v.spread_small(v.alignments(spark, sf), "read_id"), f"concat_ws('\t', {', '.join(fields)})")
     return v.contigs(spark, sf).selectExpr("concat('@SQ\tSN:', contig, '\tLN:', length) AS value").unionByName(body)
 
 
@@ -928,17 +922,16 @@ def _sam_lines(spark, sf):
     sql.with_ctes(
         sql.ALIGN,
         select="""SELECT concat('t', CAST(template_id AS VARCHAR)) AS template_id, contig_idx, start, start + read_len - 1 AS end_pos,
- mate_contig_idx, mate_start, read_len, mapq, is_reverse, is_unmapped, library, 40 * read_len AS q_sum,
+ mate_contig_idx, mate_start, read_len, mapq, is_reverse, is_unmapped, library, repeat('I', CAST(read_len AS INT)) AS qual,
  CASE WHEN is_unmapped = 1 THEN 4 ELSE 0 END + 16 * is_reverse + 1 + CASE WHEN mate_no % 2 = 1 THEN 64 ELSE 128 END AS flag
  FROM alignments WHERE read_id % 41 <> 0""",
     ),
 )
 def _(spark, sf):
     found = sam.to_alignments(sam.parse_sam_lines(_sam_lines(spark, sf)), v.contigs(spark, sf))
-    total = F.aggregate("qual", F.lit(0).cast("long"), lambda t, q: t + q).alias("q_sum")
     return found.select(
         "template_id", "contig_idx", "start", "end_pos", "mate_contig_idx", "mate_start", "read_len", "mapq",
-        "is_reverse", "is_unmapped", "library", total, "flag",
+        "is_reverse", "is_unmapped", "library", "qual", "flag",
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from locusflow.functions.staging import computed_once
 from locusflow.operators.pileup import explode_positions
 
 
@@ -11,6 +12,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Share out rows that heavy per-row work follows, where the input has fewer parts than there are cores.
+
+    The test tables are single Parquet row groups; input of real size is left alone.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *keys)
+
+
+def text_lines(df: DataFrame, text: str) -> DataFrame:
+    """A column of lines, built once per row as if it had been read from a file."""
+    return computed_once(df, value=F.expr(text)).select("value")
+
+
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five long contigs and twenty-five short ones."""
     long_ones = table(spark, sf_dir, "region").selectExpr(
@@ -113,17 +128,22 @@ def bases(spark: SparkSession, sf_dir: str, min_mapq: int = 0, **explode_options
         .filter((F.col("is_unmapped") == 0) & (F.col("mapq") >= min_mapq))
         .select("read_id", "template_id", "library", "contig_idx", "start", "end_pos", "read_len", "is_reverse", "mapq")
     )
+    if not explode_options.get("cluster", True):
+        reads = spread_small(reads, "read_id")
     return with_bases(explode_positions(reads, **explode_options))
 
 
+#: Quality text of the fixture: 2 + (read_id + off * 7) % 39 at each offset, as characters from 33 on.
+QUALITY_TEXT = "array_join(transform(sequence(0L, read_len - 1), off -> char(35 + (read_id + off * 7) % 39)), '')"
+
+
 def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
-    """Full reads of pairs: CIGAR text and quality array, starts folded so that copies occur.
+    """Full reads of pairs: CIGAR and quality text, starts folded so that copies occur.
 
     Mates are the line items 1 and 2 of an order; a lone line item is an unpaired read.
     """
     return (
-        alignments(spark, sf_dir)
-        .filter("mate_no <= 2")
+        spread_small(alignments(spark, sf_dir).filter("mate_no <= 2"), "read_id")
         .withColumns(
             {
                 "contig_idx": F.expr("template_id % 5"),
@@ -143,16 +163,16 @@ def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
                 "ELSE concat(clip, 'S', read_len - clip, 'M') END"
             ),
         )
-        .withColumn("qual", F.expr("transform(sequence(0L, read_len - 1), off -> int(2 + (read_id + off * 7) % 39))"))
+        .withColumn("qual", F.expr(QUALITY_TEXT))
         .withColumn("flag", F.expr("int(CASE WHEN is_unmapped = 1 THEN 4 ELSE 0 END + 16 * is_reverse)"))
         .drop("clip")
     )
 
 
 def with_sequence(records: DataFrame) -> DataFrame:
-    """Add ``seq``: the bases of the fixture formula at each read offset."""
+    """Add ``seq``: bases of a varied reference at each read offset, with the fixture's errors and SNPs."""
     letter = (
-        "substr('ACGT', int(1 + ((((start - lead + o) * 37 + contig_idx * 13) % 11) % 4 + "
+        "substr('ACGT', int(1 + (((start - lead + o) * (start - lead + o) * 37 + contig_idx * 13 + 7919) % 251 % 4 + "
         "CASE WHEN (read_id + o) % 97 = 0 THEN 1 "
         "WHEN (start - lead + o) % 211 = 0 AND read_id % 2 = 0 THEN 2 ELSE 0 END) % 4), 1)"
     )
@@ -160,8 +180,8 @@ def with_sequence(records: DataFrame) -> DataFrame:
 
 
 def reference_cells(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
-    """The fixture's reference sequence in cells of ``width`` bases."""
-    letter = "substr('ACGT', int(1 + ((p * 37 + contig_idx * 13) % 11) % 4), 1)"
+    """The reference sequence behind ``with_sequence`` in cells of ``width`` bases."""
+    letter = "substr('ACGT', int(1 + (p * p * 37 + contig_idx * 13 + 7919) % 251 % 4), 1)"
     return (
         contigs(spark, sf_dir)
         .withColumn("cell", F.expr(f"explode(sequence(0L, length div {width}))"))

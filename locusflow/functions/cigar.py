@@ -73,7 +73,7 @@ def split_n_reads(reads: DataFrame, with_sequence: bool = False) -> DataFrame:
     """One row per stretch between introns (``N``), with its own ``start``, ``end_pos`` and ``cigar``.
 
     ``segment`` numbers the stretches; mapping quality 255 becomes 60.  With
-    ``with_sequence`` the columns ``seq`` and ``qual`` (arrays or text) are cut too.
+    ``with_sequence`` the text columns ``seq`` and ``qual`` are cut too.
     """
     stretches = F.split("cigar", "\\d+N")
     introns = F.concat(F.array(F.lit(0).cast("long")), _lengths(F.col("cigar"), "N"))
@@ -105,7 +105,6 @@ def split_n_reads(reads: DataFrame, with_sequence: bool = False) -> DataFrame:
     if with_sequence:
         first, count = (at("__skip") + 1).cast("int"), at("__query").cast("int")
         for name in ("seq", "qual"):
-            text = reads.schema[name].dataType.typeName() == "string"
-            changed[name] = F.substring(F.col(name), first, count) if text else F.slice(name, first, count)
+            changed[name] = F.substring(F.col(name), first, count)
     helpers = [c for c in pieces.columns if c.startswith("__")]
     return pieces.withColumns(changed).drop(*helpers)

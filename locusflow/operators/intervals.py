@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from locusflow.operators.joins import spread_join
-from locusflow.operators.scans import before, carry_into_bins, up_to
+from locusflow.operators.scans import before, up_to
 from locusflow.session import materialize
 
 #: Gap up to which neighbouring reads belong to one covered island.
@@ -64,43 +64,46 @@ def merge_intervals(df: DataFrame, gap: int = ISLAND_GAP, scan_bin: int = SCAN_B
     """Islands ``(contig_idx, start, end_pos, n)``: join while ``start <= running end + gap``.
 
     Intervals with equal start collapse first (map-side), so copies and deep loci
-    cost nothing later and a bin holds at most ``scan_bin`` rows.  Islands are then
-    formed inside bins, and two carries over bin summaries connect them across
-    bins.
+    cost nothing later and a bin holds at most ``scan_bin`` rows.  Pieces of islands
+    form inside bins.  A scan over one row per bin then tells each bin how far
+    earlier bins reach and which island that reach belongs to; a piece within the
+    reach joins that island, any other piece opens its own.
     """
+    cell = ["contig_idx", "__bin"]
     starts = (
         df.filter(F.col("end_pos") >= F.col("start"))
         .groupBy("contig_idx", "start")
         .agg(F.max("end_pos").alias("end_pos"), F.count(F.lit(1)).alias("n"))
         .withColumn("__bin", F.expr(f"bigint(start) div {scan_bin}"))
+        .withColumn("__reach", F.max("end_pos").over(before(cell, ["start"])))
     )
-    cell = ["contig_idx", "__bin"]
 
-    def opens(reach: Column) -> Column:
-        return reach.isNull() | (F.col("start") > reach + gap)
+    def opens(start: str, reach: str) -> Column:
+        return F.when(F.col(reach).isNull() | (F.col(start) > F.col(reach) + gap), F.col(start))
 
-    inside = starts.withColumn("__reach", F.max("end_pos").over(before(cell, ["start"])))
-    inside = inside.withColumn("__open", F.when(opens(F.col("__reach")), F.col("start")))
     pieces = (
-        inside.withColumn("__piece", F.last("__open", ignorenulls=True).over(up_to(cell, ["start"])))
+        starts.withColumn("__open", opens("start", "__reach"))
+        .withColumn("__piece", F.last("__open", ignorenulls=True).over(up_to(cell, ["start"])))
         .groupBy(*cell, "__piece")
         .agg(F.max("end_pos").alias("end_pos"), F.sum("n").alias("n"))
-        .withColumnRenamed("__piece", "start")
     )
-    reached = carry_into_bins(pieces, ["contig_idx"], "__bin", F.max("end_pos"), F.max, "__carry")
-    local = F.max("end_pos").over(before(cell, ["start"]))
-    flagged = reached.withColumn("__open", F.when(opens(F.greatest(local, F.col("__carry"))), F.col("start")))
-
-    def last_open(column: str) -> Column:
-        return F.last(column, ignorenulls=True)
-
-    linked = carry_into_bins(
-        flagged.drop("__carry"), ["contig_idx"], "__bin", F.max("__open"), last_open, "__from"
-    ).withColumn("__island", F.coalesce(last_open("__open").over(up_to(cell, ["start"])), F.col("__from")))
+    # The last piece of a bin is the only one whose island can continue in later bins
+    # unless the reach from before covers it too.
+    earlier = before(["contig_idx"], ["__bin"])
+    # Counts are never zero: naming them keeps both uses of the pieces one plan, whose shuffle is shared.
+    bins = (
+        pieces.filter("n > 0")
+        .groupBy(*cell)
+        .agg(F.max("end_pos").alias("__end"), F.max("__piece").alias("__last"))
+        .withColumn("__carry", F.max("__end").over(earlier))
+        .withColumn("__from", F.last(opens("__last", "__carry"), ignorenulls=True).over(earlier))
+        .select(*cell, "__carry", "__from")
+    )
+    island = F.coalesce(opens("__piece", "__carry"), F.col("__from"))
     return (
-        linked.groupBy("contig_idx", "__island")
+        pieces.join(bins, cell)
+        .groupBy("contig_idx", island.alias("start"))
         .agg(F.max("end_pos").alias("end_pos"), F.sum("n").alias("n"))
-        .select("contig_idx", F.col("__island").alias("start"), "end_pos", "n")
     )
 
 

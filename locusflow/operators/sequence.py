@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from locusflow.functions.cigar import parse_cigar
+from locusflow.functions.quality import quality_at
 from locusflow.operators.joins import spread_join
 from locusflow.operators.pileup import PILEUP_BIN, pack_sites
 from locusflow.session import materialize
@@ -47,7 +48,7 @@ def read_bases(
 ) -> DataFrame:
     """Base rows ``(*keep, read_len, off, pos, base, prev_base, ref_base, qual)`` of mapped reads.
 
-    ``reads`` carries ``seq`` text and the quality array ``qual``; ``reference`` holds
+    ``reads`` carries the text columns ``seq`` and ``qual``; ``reference`` holds
     cells of ``width`` bases as returned by ``read_reference``.  Stretches are cut at
     cell borders and meet their cell (and the sites to ``exclude``) by one join of
     reads; only then are they exploded, so bases themselves are never shuffled.
@@ -84,5 +85,5 @@ def read_bases(
         letter("seq", off).alias("base"),
         F.when((before >= 0) & (before < length), letter("seq", before)).alias("prev_base"),
         letter("__ref", in_cell).alias("ref_base"),
-        F.get("qual", off.cast("int")).cast("long").alias("qual"),
+        quality_at("qual", off).cast("long").alias("qual"),
     )

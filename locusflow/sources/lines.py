@@ -8,6 +8,16 @@ from locusflow.operators.joins import spread_join
 from locusflow.operators.scans import before
 
 
+def split_fields(lines: DataFrame, column: str = "value", name: str = "__f", sep: str = "\t") -> DataFrame:
+    """Replace a text column by the array of its fields.
+
+    The one-element ``explode`` keeps the optimizer from copying the split, and the
+    expression that built the line, into every later use of a field.
+    """
+    others = [c for c in lines.columns if c != column]
+    return lines.select(*others, F.explode(F.array(F.split(F.col(column), sep))).alias(name))
+
+
 def plain_path(path: str | Column) -> Column:
     """File URI with one slash after the scheme, so that the spellings of a local path agree."""
     col = F.col(path) if isinstance(path, str) else path

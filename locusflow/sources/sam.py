@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from locusflow.functions.cigar import alignment_end
-from locusflow.functions.quality import phred
 from locusflow.operators.joins import spread_join
-from locusflow.sources.lines import numbered_lines
+from locusflow.sources.lines import numbered_lines, split_fields
 
 # Fixed values of the SAM format: column order and flag bits.
 SAM_FIELDS = (
@@ -45,20 +44,22 @@ def _tags(fields: Column) -> Column:
         lambda t: t.rlike("^[A-Za-z][A-Za-z0-9]:[AifZHB]:"),
     )
     names = F.transform(optional, lambda t: F.substring(t, 1, 2))
-    first = F.filter(optional, lambda t, i: F.array_position(names, F.substring(t, 1, 2)) == i + 1)
-    return F.map_from_entries(
-        F.transform(first, lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, F.lit(6), F.length(t))))
+    values = F.transform(optional, lambda t: F.substring(t, F.lit(6), F.length(t)))
+    distinct = F.array_distinct(names)
+    firsts = F.transform(distinct, lambda n: F.element_at(values, F.array_position(names, n).cast("int")))
+    # The format forbids repeated tags, so the second form is rarely evaluated.
+    return F.when(F.size(distinct) == F.size(names), F.map_from_arrays(names, values)).otherwise(
+        F.map_from_arrays(distinct, firsts)
     )
 
 
 def _split_sam(lines: DataFrame, column: str) -> tuple[DataFrame, Column]:
-    body = lines.filter(~F.col(column).startswith("@") & (F.col(column) != ""))
-    fields = body.withColumn("__f", F.split(F.col(column), "\t"))
+    body = lines.select(column).filter(~F.col(column).startswith("@") & (F.col(column) != ""))
     well_formed = F.size("__f") >= len(SAM_FIELDS)
     for i, (_, kind) in enumerate(SAM_FIELDS):
         if kind != "string":
             well_formed = well_formed & F.get("__f", F.lit(i)).try_cast(kind).isNotNull()
-    return fields, well_formed
+    return split_fields(body, column), well_formed
 
 
 def parse_sam_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -73,7 +74,8 @@ def parse_sam_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 def rejected_sam_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines that ``parse_sam_lines`` leaves out, for counting or inspection."""
     fields, well_formed = _split_sam(lines, column)
-    return fields.filter(~F.coalesce(well_formed, F.lit(False))).select(column)
+    rejected = fields.filter(~F.coalesce(well_formed, F.lit(False)))
+    return rejected.select(F.array_join("__f", "\t").alias(column))
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -109,8 +111,7 @@ def to_alignments(sam: DataFrame, contigs: DataFrame, **join_options) -> DataFra
         "mapq",
         bit(REVERSE).alias("is_reverse"),
         bit(UNMAPPED).alias("is_unmapped"),
-        "cigar", "seq",
-        phred("qual").alias("qual"),
+        "cigar", "seq", "qual",
         group.alias("rg_id"),
         group.alias("library"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from locusflow.operators.joins import spread_join
 from locusflow.operators.pileup import PILEUP_BIN
 from locusflow.operators.scans import carry_into_bins, running_sum_before, up_to
-from locusflow.sources.lines import numbered_lines
+from locusflow.sources.lines import numbered_lines, split_fields
 
 # Fixed column order of a splice-junction file.
 JUNCTION_COLUMNS = (
@@ -18,11 +18,11 @@ JUNCTION_COLUMNS = (
 
 def parse_bed_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """BED to 1-based inclusive ``(contig, start, end_pos)``; other lines drop out."""
-    f = F.split(F.col(column), "\t")
+    f = F.col("__f")
     start, end = F.get(f, F.lit(1)).try_cast("long"), F.get(f, F.lit(2)).try_cast("long")
-    return lines.select(F.get(f, F.lit(0)).alias("contig"), (start + 1).alias("start"), end.alias("end_pos")).filter(
-        "start IS NOT NULL AND end_pos IS NOT NULL"
-    )
+    return split_fields(lines, column).select(
+        F.get(f, F.lit(0)).alias("contig"), (start + 1).alias("start"), end.alias("end_pos")
+    ).filter("start IS NOT NULL AND end_pos IS NOT NULL")
 
 
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
@@ -31,11 +31,11 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_gff_lines(lines: DataFrame, feature: str | None = "exon", column: str = "value") -> DataFrame:
     """GTF or GFF rows of one feature type: ``(contig, start, end_pos, strand, gene_id)``."""
-    f = F.split(F.col(column), "\t")
+    f = F.col("__f")
     attributes = F.get(f, F.lit(8))
     quoted = F.regexp_extract(attributes, 'gene_id "([^"]*)"', 1)
     plain = F.regexp_extract(attributes, "(?:^|;)\\s*(?:gene_id|gene|Parent)=([^;]*)", 1)
-    rows = lines.filter(~F.col(column).startswith("#")).select(
+    rows = split_fields(lines.filter(~F.col(column).startswith("#")), column).select(
         F.get(f, F.lit(0)).alias("contig"),
         F.get(f, F.lit(2)).alias("__feature"),
         F.get(f, F.lit(3)).try_cast("long").alias("start"),
@@ -54,8 +54,8 @@ def read_gff(spark: SparkSession, path: str, feature: str | None = "exon") -> Da
 
 def parse_junction_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Splice junctions, nine columns; lines that do not parse drop out."""
-    f = F.split(F.col(column), "\t")
-    parsed = lines.filter(F.size(f) == len(JUNCTION_COLUMNS)).select(
+    f = F.col("__f")
+    parsed = split_fields(lines, column).filter(F.size(f) == len(JUNCTION_COLUMNS)).select(
         *[F.get(f, F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(JUNCTION_COLUMNS)]
     )
     return parsed.filter(" AND ".join(f"{name} IS NOT NULL" for name, _ in JUNCTION_COLUMNS))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from locusflow.sources.lines import split_fields
 
 # Fixed values of the VCF format: column order and the format line.
 VCF_COLUMNS = ("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
@@ -31,10 +32,7 @@ def _info(text: Column) -> Column:
 
 def parse_vcf_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Variants ``(contig, pos, id, ref, alt, qual, filter, info, format, sample, gt)``; header lines dropped."""
-    fields = F.split(F.col(column), "\t")
-    body = lines.filter(~F.col(column).startswith("#")).select(
-        *[c for c in lines.columns if c != column], fields.alias("__f")
-    )
+    body = split_fields(lines.filter(~F.col(column).startswith("#")), column)
     place = F.get("__f", F.lit(1)).try_cast("long")
 
     def at(i: int) -> Column:
