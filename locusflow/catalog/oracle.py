@@ -114,7 +114,7 @@ q_rep AS (SELECT rg, qual, {_EMP} AS q1 FROM recal GROUP BY rg, qual),
 q_cyc AS (SELECT rg, qual, cycle, {_EMP} AS q2 FROM recal GROUP BY rg, qual, cycle),
 q_ctx AS (SELECT rg, qual, context, {_EMP} AS q3 FROM recal WHERE context IS NOT NULL GROUP BY rg, qual, context),
 fresh AS (
-  SELECT o.*, greatest(1, least(93, CAST(floor(round(r + coalesce(q2 - r, 0) + coalesce(q3 - r, 0), 9) + 0.5) AS INT))) AS new_qual
+  SELECT o.*, greatest(1, least(93, CAST(floor(r + coalesce(q2 - r, 0) + coalesce(q3 - r, 0) + 0.5 + 1e-9) AS INT))) AS new_qual
   FROM (SELECT o.*, coalesce(q1, q0, o.qual::DOUBLE) AS r, q2, q3 FROM obs o
         LEFT JOIN q_rg ON o.rg = q_rg.rg
         LEFT JOIN q_rep ON o.rg = q_rep.rg AND o.qual = q_rep.qual
