@@ -18,6 +18,11 @@ CONTIGS = """contigs AS (
   SELECT CAST(5 + n_nationkey AS BIGINT), concat('scf', CAST(n_nationkey AS VARCHAR)), CAST(500 + 40 * n_nationkey AS BIGINT)
   FROM nation)"""
 
+DICTIONARY = """dictionary AS (
+  SELECT contig_idx, contig, length FROM contigs
+  UNION ALL
+  SELECT 30 + c_custkey, concat('un', CAST(c_custkey AS VARCHAR)), 500 + (c_custkey * 37) % 1500 FROM customer)"""
+
 ALIGN = f"""alignments AS (
   SELECT ((l_orderkey * 10 + l_linenumber) * 10000 + l_suppkey) * 100000 + l_partkey AS read_id,
          l_orderkey AS template_id, l_suppkey % 5 AS contig_idx,

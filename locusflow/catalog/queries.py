@@ -223,36 +223,45 @@ def _(spark, sf):
 # Regions ----------------------------------------------------------------------------
 
 _UNIFORM = """sized AS (SELECT contig_idx, length, {step} AS step, total // greatest(1, CAST(floor({n} * pow(0.95, {step})) AS BIGINT)) AS target
-  FROM contigs, (SELECT sum(length)::BIGINT AS total FROM contigs) t {steps}),
+  FROM {source}, (SELECT sum(length)::BIGINT AS total FROM {source}) t {steps}),
 packed AS (SELECT *, length < target AS short, coalesce(sum(length) OVER (PARTITION BY step, length < target ORDER BY contig_idx
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM sized),
-counted AS (SELECT *, CASE WHEN short THEN before * 5 // target ELSE -1 END AS pack,
+counted AS (SELECT *, CASE WHEN short THEN before * 5 // target END AS pack,
     CASE WHEN short THEN 1 ELSE (length + target - 1) // target END AS k FROM packed),
-cut AS (SELECT *, unnest(range(0, k)) AS piece FROM counted),
-keyed AS (SELECT *, dense_rank() OVER (PARTITION BY step ORDER BY short DESC, pack, CASE WHEN short THEN -1 ELSE contig_idx END, piece) - 1 AS region_key FROM cut),
-tried AS (SELECT *, max(region_key) OVER (PARTITION BY step) AS most FROM keyed),
-regions AS (SELECT region_key, contig_idx, CASE WHEN short THEN 1 ELSE 1 + piece * (length // k + 1) END AS start,
-    CASE WHEN short THEN length ELSE least((piece + 1) * (length // k + 1), length) END AS end_pos
-  FROM tried WHERE step = (SELECT min(step) FROM tried WHERE {fits})),
+chosen AS (SELECT min(step) AS step FROM (SELECT step, count(DISTINCT pack) + sum(CASE WHEN short THEN 0 ELSE k END) AS found
+    FROM counted GROUP BY step) f WHERE {fits}),
+kept AS (SELECT * FROM counted WHERE step = (SELECT step FROM chosen)),
+long_ones AS (SELECT *, coalesce((SELECT max(pack) + 1 FROM kept), 0)
+    + coalesce(sum(k) OVER (ORDER BY contig_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_key FROM kept WHERE NOT short),
+regions AS (SELECT pack AS region_key, contig_idx, 1 AS start, length AS end_pos FROM kept WHERE short
+  UNION ALL SELECT first_key + piece, contig_idx, 1 + piece * (length // k + 1), least((piece + 1) * (length // k + 1), length)
+  FROM (SELECT *, unnest(range(0, k)) AS piece FROM long_ones) c),
 plan AS (SELECT * FROM regions WHERE start <= end_pos)"""
 
 
-def _uniform(n: int) -> str:
-    return _UNIFORM.format(n=n, step="0", steps="", fits="true")
+def _uniform(n: int, source: str = "contigs") -> str:
+    return _UNIFORM.format(n=n, source=source, step="0", steps="", fits="true")
 
 
-def _uniform_retry(n: int) -> str:
-    return _UNIFORM.format(n=n, step="s", steps=", (SELECT unnest(range(0, 101)) AS s) r", fits=f"most < {n} OR step = 100")
+def _uniform_retry(n: int, source: str) -> str:
+    steps = ", (SELECT unnest(range(0, 61)) AS s) r"
+    return _UNIFORM.format(n=n, source=source, step="s", steps=steps, fits=f"found <= {n} OR step = 60")
 
 
-@registered("plan_regions_uniform", sql.with_ctes(sql.CONTIGS, _uniform(40), select="SELECT * FROM plan"))
+@registered(
+    "plan_regions_uniform",
+    sql.with_ctes(sql.CONTIGS, sql.DICTIONARY, _uniform(40, "dictionary"), select="SELECT * FROM plan"),
+)
 def _(spark, sf):
-    return regions.plan_regions_uniform(v.contigs(spark, sf), 40)
+    return regions.plan_regions_uniform(v.dictionary(spark, sf), 40)
 
 
-@registered("plan_regions_uniform_retry", sql.with_ctes(sql.CONTIGS, _uniform_retry(40), select="SELECT * FROM plan"))
+@registered(
+    "plan_regions_uniform_retry",
+    sql.with_ctes(sql.CONTIGS, sql.DICTIONARY, _uniform_retry(40, "dictionary"), select="SELECT * FROM plan"),
+)
 def _(spark, sf):
-    return regions.plan_regions_uniform(v.contigs(spark, sf), 40, retry=True)
+    return regions.plan_regions_uniform(v.dictionary(spark, sf), 40, retry=True)
 
 
 @registered(
@@ -894,11 +903,16 @@ def _(spark, sf):
 
 
 @registered(
-    "read_dict", sql.with_ctes(sql.CONTIGS, select="SELECT contig_idx, contig, CASE WHEN contig_idx = 7 THEN 0 ELSE length END AS length FROM contigs")
+    "read_dict",
+    sql.with_ctes(
+        sql.CONTIGS, sql.DICTIONARY,
+        select="""SELECT row_number() OVER (ORDER BY contig_idx) - 1 AS contig_idx, contig,
+ CASE WHEN contig_idx % 50 = 7 THEN 0 ELSE length END AS length FROM dictionary""",
+    ),
 )
 def _(spark, sf):
-    lines = v.contigs(spark, sf).selectExpr(
-        "contig_idx + 1 AS line_no", "concat('@SQ\tSN:', contig, '\tLN:', if(contig_idx = 7, 'unknown', string(length)), '\tM5:0') AS value"
+    lines = v.dictionary(spark, sf).selectExpr(
+        "contig_idx + 1 AS line_no", "concat('@SQ\tSN:', contig, '\tLN:', if(contig_idx % 50 = 7, 'unknown', string(length)), '\tM5:0') AS value"
     )
     head = v.contigs(spark, sf).filter("contig_idx = 0").selectExpr("0L AS line_no", "'@HD\tVN:1.4' AS value")
     return sam.parse_dict_lines(head.unionByName(lines))

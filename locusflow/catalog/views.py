@@ -41,6 +41,14 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_ones.unionByName(short_ones)
 
 
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contigs and one scaffold per customer."""
+    scaffolds = table(spark, sf_dir, "customer").selectExpr(
+        "30 + c_custkey AS contig_idx", "concat('un', c_custkey) AS contig", "500 + (c_custkey * 37) % 1500 AS length"
+    )
+    return contigs(spark, sf_dir).unionByName(scaffolds)
+
+
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One aligned read per line item, 51 to 100 bases long."""
     span = "(1000000 - 200000 * (l_suppkey % 5) - 200)"

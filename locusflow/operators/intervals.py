@@ -18,6 +18,11 @@ SCAN_BIN = 16_384
 JOIN_BIN = 1_024
 
 
+def axis_bin(position: str, width: int) -> Column:
+    """Bin of a position, declared never null: the optimizer then adds no null checks to one of two equal subplans."""
+    return F.coalesce(F.expr(f"bigint({position}) div {width}"), F.lit(0).cast("long"))
+
+
 def explode_bins(df: DataFrame, width: int, name: str = "bin", start: str = "start", end: str = "end_pos") -> DataFrame:
     """One copy of each interval per axis bin it touches; intervals that end before they start drop out."""
     return df.filter(F.col(end) >= F.col(start)).withColumn(
@@ -74,7 +79,7 @@ def merge_intervals(df: DataFrame, gap: int = ISLAND_GAP, scan_bin: int = SCAN_B
         df.filter(F.col("end_pos") >= F.col("start"))
         .groupBy("contig_idx", "start")
         .agg(F.max("end_pos").alias("end_pos"), F.count(F.lit(1)).alias("n"))
-        .withColumn("__bin", F.expr(f"bigint(start) div {scan_bin}"))
+        .withColumn("__bin", axis_bin("start", scan_bin))
         .withColumn("__reach", F.max("end_pos").over(before(cell, ["start"])))
     )
 
@@ -120,7 +125,7 @@ def _segments(islands: DataFrame, scan_bin: int = SCAN_BIN) -> DataFrame:
 
     The last island of a contig covers its start only; lookups are clamped to it.
     """
-    binned = islands.select("contig_idx", "start", "end_pos", F.expr(f"bigint(start) div {scan_bin}").alias("__bin"))
+    binned = islands.select("contig_idx", "start", "end_pos", axis_bin("start", scan_bin).alias("__bin"))
     cell = ["contig_idx", "__bin"]
     firsts = binned.groupBy(*cell).agg(F.min("start").alias("__first"))
     following = firsts.select(

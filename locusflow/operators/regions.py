@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from locusflow.operators.intervals import explode_bins, interval_join, merge_intervals
 from locusflow.operators.joins import broadcast_if_small, fits_broadcast, spread_join
 from locusflow.operators.scans import running_sum_before
+from locusflow.session import materialize
 
 #: Short contigs share a region until they fill this fraction of the target length.
 PACK_FACTOR = 5
@@ -18,6 +19,8 @@ PACK_FACTOR = 5
 GENE_SEPARATION = 100_000
 #: Lookup cells per region side; wide because regions are long.
 REGION_BIN = 65_536
+#: Dictionary entries per stretch of the packing sum.
+DICT_CELL = 65_536
 #: Each retry lowers the number of regions to this fraction.
 RETRY = 0.95
 
@@ -27,59 +30,61 @@ def requested_regions(nodes: int, reducers_per_node: int) -> int:
     return max(26, int(1.75 * nodes * reducers_per_node))
 
 
-def _uniform_pieces(contigs: DataFrame, group: list[str], target: Column) -> DataFrame:
-    """Pieces of all contigs with a sortable ``(__packed, __pack, contig_idx, __piece)`` identity."""
-    cut = contigs.withColumn("__target", target).withColumn("__short", F.col("length") < F.col("__target"))
-    order = Window.partitionBy(*group, "__short").orderBy("contig_idx").rowsBetween(Window.unboundedPreceding, -1)
-    packed_before = F.coalesce(F.sum("length").over(order), F.lit(0))
-    sized = cut.withColumns(
+def _sized(contigs: DataFrame, target: Column) -> DataFrame:
+    """Contigs with target length, number of pieces and, if shorter than the target, the pack they fall in.
+
+    ``contigs`` carries ``__step``; packs are multiples of a running length, which is
+    carried over stretches of the dictionary.
+    """
+    cut = contigs.withColumn("__target", target).withColumns(
+        {"__short": F.col("length") < F.col("__target"), "__cell": F.expr(f"contig_idx div {DICT_CELL}")}
+    )
+    placed = running_sum_before(cut, ["__step", "__short"], "__cell", ["contig_idx"], "length", "__before")
+    return placed.withColumns(
         {
-            "__pack": F.when(F.col("__short"), F.floor(packed_before * PACK_FACTOR / F.col("__target"))).otherwise(-1),
+            "__pack": F.when(F.col("__short"), F.expr(f"__before * {PACK_FACTOR} div __target")),
             "__pieces": F.when(F.col("__short"), F.lit(1)).otherwise(F.ceil(F.col("length") / F.col("__target"))),
         }
-    )
-    return sized.withColumn("__piece", F.explode(F.sequence(F.lit(0), (F.col("__pieces") - 1).cast("int"))))
+    ).drop("__cell", "__before")
 
 
-def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False, max_retries: int = 100) -> DataFrame:
+def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False, max_retries: int = 60) -> DataFrame:
     """Regions ``(region_key, contig_idx, start, end_pos)`` of about ``total / n`` bases.
 
     Contigs shorter than the target are packed in dictionary order; longer ones are
-    cut into equal pieces.  Packed keys come first.  With ``retry`` the number is
-    lowered in steps of 5 % until at most ``n`` keys result; all steps are evaluated
-    together, so no driver loop is needed.
+    cut into equal pieces.  Packed keys come first and may leave numbers out.  With
+    ``retry`` the number is lowered in steps of 5 % until at most ``n`` keys result;
+    all steps are evaluated in one job instead of a driver loop.
     """
-    steps = max_retries if retry else 0
-    everything = Window.partitionBy("__step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tried = (
-        contigs.select("contig_idx", F.col("length").cast("long").alias("length"))
-        .withColumn("__step", F.explode(F.sequence(F.lit(0), F.lit(steps))))
-        .withColumn("__n", F.greatest(F.lit(1), F.floor(F.lit(n) * F.pow(F.lit(RETRY), F.col("__step")))))
-        .withColumn("__total", F.sum("length").over(everything))
-    )
-    pieces = _uniform_pieces(tried, ["__step"], F.floor(F.col("__total") / F.col("__n")))
-    rank = Window.partitionBy("__step").orderBy(
-        F.col("__short").desc(), "__pack", F.when(F.col("__short"), -1).otherwise(F.col("contig_idx")), "__piece"
-    )
-    keyed = pieces.withColumn("region_key", F.dense_rank().over(rank) - 1)
+    lengths = contigs.select("contig_idx", F.col("length").cast("long").alias("length"))
+    total = lengths.agg(F.sum("length").alias("t"))
+    steps = F.sequence(F.lit(0), F.lit(max_retries if retry else 0))
+    tried = lengths.withColumn("__step", F.explode(steps))
+    asked = F.greatest(F.lit(1), F.floor(F.lit(n) * F.pow(F.lit(RETRY), F.col("__step"))))
+    sized = _sized(tried, F.floor(total.scalar() / asked))
     if retry:
-        most = F.max("region_key").over(everything)
-        first = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        # The last step has one region per target of the whole genome and serves as fallback.
-        fitting = F.when((F.col("__most") < n) | (F.col("__step") == steps), F.col("__step"))
-        keyed = (
-            keyed.withColumn("__most", most)
-            .withColumn("__chosen", F.min(fitting).over(first))
-            .filter(F.col("__step") == F.col("__chosen"))
-        )
-    size = F.when(F.col("__short"), F.col("length")).otherwise(F.floor(F.col("length") / F.col("__pieces")) + 1)
-    start = 1 + F.col("__piece") * size
-    return keyed.select(
-        F.col("region_key").cast("long").alias("region_key"),
+        per_pack = sized.groupBy("__step", "__pack").agg(F.sum("__pieces").alias("p"))
+        keys = per_pack.groupBy("__step").agg(F.sum(F.when(F.col("__pack").isNull(), F.col("p")).otherwise(1)).alias("k"))
+        fits = F.when((F.col("k") <= n) | (F.col("__step") == max_retries), F.col("__step"))
+        chosen = keys.agg(F.min(fits).alias("s"))
+        sized = sized.filter(F.col("__step") == chosen.scalar())
+
+    short = sized.filter("__short").select(
+        F.col("__pack").alias("region_key"), "contig_idx", F.lit(1).cast("long").alias("start"), F.col("length").alias("end_pos")
+    )
+    packs = sized.filter("__short").agg(F.coalesce(F.max("__pack") + 1, F.lit(0)).alias("m"))
+    # At most n contigs are as long as the target, so this window is small.
+    earlier = Window.partitionBy().orderBy("contig_idx").rowsBetween(Window.unboundedPreceding, -1)
+    long_ones = sized.filter("NOT __short").withColumn("__first", F.coalesce(F.sum("__pieces").over(earlier), F.lit(0)))
+    pieces = long_ones.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__pieces") - 1)))
+    size = F.floor(F.col("length") / F.col("__pieces")) + 1
+    cut = pieces.select(
+        (F.col("__first") + F.col("__piece") + packs.scalar()).alias("region_key"),
         "contig_idx",
-        start.cast("long").alias("start"),
-        F.least(start + size - 1, F.col("length")).cast("long").alias("end_pos"),
-    ).filter("start <= end_pos")
+        (1 + F.col("__piece") * size).alias("start"),
+        F.least((F.col("__piece") + 1) * size, F.col("length")).alias("end_pos"),
+    )
+    return short.unionByName(cut).filter("start <= end_pos")
 
 
 def plan_regions_by_genes(contigs: DataFrame, genes: DataFrame, n: int, min_gap: int = GENE_SEPARATION) -> DataFrame:
@@ -184,7 +189,8 @@ def assign_regions(
     the row.  ``unknown='error'`` fails on a read whose start lies in no region,
     ``'drop'`` leaves it out.
     """
-    cells = explode_bins(regions, REGION_BIN, "__bin")
+    # The plan is small and looked up once per position, so it is computed once.
+    cells = materialize(explode_bins(regions.select("region_key", "contig_idx", "start", "end_pos"), REGION_BIN, "__bin"))
     small = fits_broadcast(cells, broadcast_limit)
     points = [("contig_idx", F.col("start"), "__k0"), ("contig_idx", F.col("end_pos"), "__k1")]
     if paired:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from locusflow.functions.cigar import alignment_end
 from locusflow.operators.joins import spread_join
+from locusflow.operators.scans import running_sum_before
 from locusflow.sources.lines import numbered_lines, split_fields
 
 # Fixed values of the SAM format: column order and flag bits.
@@ -17,20 +18,19 @@ PAIRED, UNMAPPED, REVERSE = 0x1, 0x4, 0x10
 
 
 def parse_dict_lines(lines: DataFrame, column: str = "value", order: str = "line_no") -> DataFrame:
-    """``(contig_idx, contig, length)`` in file order; a length that is no number becomes 0.
-
-    A dictionary is a header with one line per contig, so ranking it in one task is bounded.
-    """
-    fields = F.split(F.col(column), "\t")
-    names = lines.filter(F.col(column).startswith("@SQ")).select(
-        order,
-        F.regexp_extract(F.get(fields, F.lit(1)), "^SN:(.*)$", 1).alias("contig"),
+    """``(contig_idx, contig, length)`` in file order; a length that is no number becomes 0."""
+    entries = lines.filter(F.col(column).startswith("@SQ")).select(F.col(order).alias("__line"), column)
+    names = split_fields(entries, column).select(
+        "__line",
+        F.regexp_extract(F.get("__f", F.lit(1)), "^SN:(.*)$", 1).alias("contig"),
         F.coalesce(
-            F.regexp_extract(F.get(fields, F.lit(2)), "^LN:(.*)$", 1).try_cast("long"), F.lit(0)
+            F.regexp_extract(F.get("__f", F.lit(2)), "^LN:(.*)$", 1).try_cast("long"), F.lit(0)
         ).alias("length"),
-    )
-    index = F.row_number().over(Window.partitionBy().orderBy(order)) - 1
-    return names.select(index.cast("long").alias("contig_idx"), "contig", "length")
+        F.lit(1).alias("__one"),
+        F.expr("__line div 100000").alias("__cell"),
+    ).withColumn("__file", F.lit(0))
+    ranked = running_sum_before(names, ["__file"], "__cell", ["__line"], "__one", "contig_idx")
+    return ranked.select("contig_idx", "contig", "length")
 
 
 def read_dict(spark: SparkSession, path: str) -> DataFrame:
