@@ -73,7 +73,8 @@ def read_bases(
     off = F.col("skip") + F.col("pos") - F.col("block_start")
 
     def letter(text: str, index: Column) -> Column:
-        return F.substring(F.col(text), (index + 1).cast("int"), F.lit(1))
+        # Bytes are reached directly, characters only by walking the text.
+        return F.substring(F.col(text).cast("binary"), (index + 1).cast("int"), F.lit(1)).cast("string")
 
     before = off + F.when(F.col("is_reverse").cast("int") == 1, 1).otherwise(-1)
     length = F.length("seq")
