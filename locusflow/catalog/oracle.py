@@ -159,15 +159,15 @@ called AS (
   FROM genotyped WHERE gt <> '0/0' AND qual >= {emit_conf})"""
 
 
-def records(fold: int) -> str:
-    """Full reads of pairs, with the duplicate decision by ranking."""
+def records(fold: int, where: str = "true", intron: int = 0) -> str:
+    """Full reads of pairs, with the duplicate decision by ranking; ``intron`` lengthens the alignment."""
     return f"""records AS (
   SELECT *, CASE WHEN is_reverse = 1 THEN 0 ELSE clip END AS lead_clip, start + read_len - clip - 1 AS end_pos,
-         CASE WHEN is_reverse = 1 THEN start + read_len - 1 ELSE start - clip END AS five,
+         CASE WHEN is_reverse = 1 THEN start + read_len - 1 + {intron} ELSE start - clip END AS five,
          list_sum([CASE WHEN 2 + (read_id + o * 7) % 39 >= 15 THEN 2 + (read_id + o * 7) % 39 ELSE 0 END FOR o IN range(0, read_len)]) AS score
   FROM (SELECT read_id, template_id, template_id % 5 AS contig_idx, concat('lib', CAST(template_id % 3 AS VARCHAR)) AS library,
                1 + start % {fold} AS start, read_id % 4 AS clip, read_len, mapq, is_reverse, is_unmapped
-        FROM alignments WHERE mate_no <= 2) a),
+        FROM alignments WHERE mate_no <= 2 AND {where}) a),
 ends AS (
   SELECT template_id, library, score, (contig_idx * 100000 + five + 1000) * 2 + is_reverse AS e FROM records WHERE is_unmapped = 0),
 templates AS (

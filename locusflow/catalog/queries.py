@@ -737,9 +737,6 @@ def _(spark, sf):
     return dna.run_dna(reads, cells, sites, min_base_quality=10).variants
 
 
-_SPLICED = "concat(20 + l_linenumber, 'M', 100 + l_partkey % 50, 'N', 15, 'M1I', 10, 'M', 200 + l_suppkey % 9, 'N', 5 + l_partkey % 20, 'M')"
-
-
 @registered(
     "split_n_reads",
     sql.with_ctes(
@@ -761,7 +758,21 @@ def _(spark, sf):
     return cigar.split_n_reads(reads).select("read_id", "segment", "start", "end_pos", "cigar", "mapq")
 
 
-@registered("run_rna")
+# Each read is cut in half by an intron of 500 bases, while its letters run on.
+_SPLICED_BASES = f"""offsets AS (SELECT *, unnest(range(0, read_len)) AS off FROM marked WHERE is_unmapped = 0 AND is_duplicate = 0),
+placed AS (SELECT *, start + off + CASE WHEN off < read_len // 2 THEN 0 ELSE 500 END AS pos, 2 + (read_id + off * 7) % 39 AS qual FROM offsets),
+bases AS (SELECT contig_idx, pos, qual, {sql.varied_letter("pos")} AS ref_base,
+         {sql.varied_letter("start + off", step=sql.step("start + off", "off"))} AS base FROM placed)"""
+
+
+@registered(
+    "run_rna",
+    sql.with_ctes(
+        sql.ALIGN, sql.records(400, "read_id % 4 = 0", 500), _SPLICED_BASES,
+        "strong AS (SELECT * FROM bases WHERE qual >= 10)", sql.calls("strong", 20, 20),
+        select="SELECT contig_idx, pos, ref, alt, qual, gt, depth, alt_count, filter FROM called",
+    ),
+)
 def _(spark, sf):
     reads = materialize(v.with_sequence(v.read_records(spark, sf, 400)))
     half = F.floor(F.col("read_len") / 2)
