@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locusflow.llm import packing, tokens
+from locusflow.llm import packing, quality, tokens
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -24,6 +24,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, by a cache that begins empty."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,6 +41,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}

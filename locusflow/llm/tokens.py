@@ -134,11 +134,11 @@ def text_lengths(texts: pa.Array, path: str, by_word: bool) -> np.ndarray:
 
 
 def encode_missing(missing: DataFrame, tokenizer: str, version: str) -> DataFrame:
-    """``CACHE_SCHEMA`` rows for the distinct ``(digest, text)`` rows of ``missing``."""
+    """``CACHE_SCHEMA`` rows for the ``(digest, text)`` rows of ``missing``, one for each digest of a task."""
     by_word = drops_white_space(tokenizer)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _once_per_task(batches):
             for part in slices(batch, "text"):
                 lengths = text_lengths(part.column("text"), tokenizer, by_word)
                 yield pa.RecordBatch.from_arrays(
@@ -196,7 +196,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 2048,
     known = read_cache(spark, cache).filter(F.col("tokenizer") == version).select("digest")
     texts = docs.select(key.alias("digest"), whole.alias("text"))
     fewer = texts.mapInArrow(_once_per_task, texts.schema).repartition("digest")
-    missing = fewer.join(known, "digest", "left_anti").mapInArrow(_once_per_task, texts.schema)
+    missing = fewer.join(known, "digest", "left_anti")
     encode_missing(missing, tokenizer, version).write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     joined = keys.join(counts.withColumnRenamed("digest", "__key"), "__key", "left")
