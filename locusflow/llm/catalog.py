@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locusflow.llm import packing, quality, tokens
+from locusflow.llm import packing, pii, quality, tokens
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -24,6 +24,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs)).drop("text")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op6_pii": op6_pii,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
