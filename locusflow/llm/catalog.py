@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locusflow.llm import packing, pii, quality, tokens
+from locusflow.llm import packing, pii, quality, tokens, topk
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -24,6 +24,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every 20th vector over all vectors."""
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,8 +52,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_pii": op6_pii,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op5_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20
+    """,
+}
