@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locusflow.llm import packing, pii, quality, tokens, topk
+from locusflow.llm import neighbours, packing, pii, quality, tokens, topk
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -24,6 +24,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every 100th vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every 20th vector over all vectors."""
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -52,6 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_pii": op6_pii,
     "op8_quality_classifier": op8_quality_classifier,
