@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locusflow.llm import neighbours, packing, pii, quality, tokens, topk
+from locusflow.llm import neighbours, ngram_join, packing, pii, quality, tokens, topk
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 3-word shingles and a Jaccard similarity of 0.9."""
+    return ngram_join.document_components(table(spark, sf_dir, "documents"), 3, 90)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
@@ -56,6 +61,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_exact_top_k": op5_exact_top_k,
@@ -64,6 +70,23 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
+    "op1_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+        ), s AS (
+            SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) END) AS g FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+        ), reach(doc_id, seen) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.seen = l.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id
+        FROM documents d JOIN reach r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+    """,
     "op5_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
