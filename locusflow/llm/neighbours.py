@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from locusflow.llm.batches import rows_per_batch
 from locusflow.llm.vectors import matrix, usable, widened
 from locusflow.session import materialize
 
@@ -22,6 +23,8 @@ from locusflow.session import materialize
 NEIGHBOURS, REVERSE, ROUNDS, BEAM = 24, 20, 4, 256
 #: Projections that start the graph, bits of each, and rows compared together there.
 STARTS, BITS, RUN_ROWS = 3, 16, 512
+#: Nodes with all around them, and searches with all nodes met, handed to Python at once.
+LISTS, SEARCHES = 256, 16
 _LIST = "array<struct<d:int,b:long>>"
 
 
@@ -173,7 +176,8 @@ def build_graph(nodes: DataFrame, keep: int = NEIGHBOURS, reverse: int = REVERSE
         order = Window.partitionBy("node").orderBy("d", "b")
         better = offered.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= keep).groupBy("node").agg(F.collect_list(F.struct("d", "b")).alias("found"))
         merged = F.when(F.col("found").isNull(), F.col("near")).otherwise(_nearest(F.concat("near", "found"), keep))
-        graph = materialize(graph.join(better, "node", "left").select("node", "code", merged.alias("near")))
+        with rows_per_batch(nodes.sparkSession, LISTS):
+            graph = materialize(graph.join(better, "node", "left").select("node", "code", merged.alias("near")))
     return graph
 
 
@@ -216,7 +220,8 @@ def search_graph(graph: DataFrame, asked: DataFrame, beam: int = BEAM, reverse:
         met = reached.join(codes, "b").groupBy("q").agg(F.collect_list(F.struct("b", "code")).alias("met"))
         nothing = F.array().cast("array<struct<b:bigint,code:binary>>")
         step = state.join(met, "q", "left").select("q", "code", "best", F.coalesce("met", nothing).alias("met"))
-        state = materialize(step.mapInArrow(_advance(beam), "q long, code binary, best array<struct<d:int,b:long,done:boolean>>"))
+        with rows_per_batch(graph.sparkSession, SEARCHES):
+            state = materialize(step.mapInArrow(_advance(beam), "q long, code binary, best array<struct<d:int,b:long,done:boolean>>"))
     return state.select("q", F.explode("best.b").alias("b"))
 
 
