@@ -17,7 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from locusflow.llm.tokens import drops_white_space, text_ids
+from locusflow.llm.batches import rows_per_batch
+from locusflow.llm.tokens import TEXT_ROWS, drops_white_space, text_ids
 from locusflow.llm.words import slices
 from locusflow.session import materialize
 
@@ -290,4 +291,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, te
 
     Other columns of ``docs`` are not carried.  See :func:`pieces` for null and empty texts.
     """
-    return pack(materialize(pieces(docs, tokenizer, capacity, text=text, doc_id=doc_id)), capacity)
+    with rows_per_batch(docs.sparkSession, TEXT_ROWS):
+        cut = materialize(pieces(docs, tokenizer, capacity, text=text, doc_id=doc_id))
+    return pack(cut, capacity)

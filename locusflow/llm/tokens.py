@@ -11,13 +11,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from locusflow.llm.batches import rows_per_batch
 from locusflow.llm.words import slices, split_words
 from locusflow.session import materialize
 
 #: Distinct words whose ids a Python worker keeps; further words are encoded anew in each slice.
-KEPT_WORDS = 250_000
-#: Words handed to the tokenizer at once.
-ENCODE_BATCH = 10_000
+KEPT_WORDS = 120_000
+#: Words handed to the tokenizer at once, and words in one of its texts.
+ENCODE_BATCH, ENCODE_LOT = 16_000, 1000
+#: Rows of text handed to Python at once.
+TEXT_ROWS = 2048
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 
 _TOKENIZERS: dict[str, object] = {}
@@ -70,16 +73,36 @@ def drops_white_space(path: str) -> bool:
     )
 
 
+def _separator(path: str) -> tuple[str, int] | None:
+    """A special token of the tokenizer, which parts the words encoded in one call."""
+    special = [t for t in tokenizer_at(path).get_added_tokens_decoder().items() if t[1].special and not t[1].normalized]
+    return (special[0][1].content, special[0][0]) if special else None
+
+
+def _encode_words(words: list[str], path: str) -> Iterator[tuple[str, bytes]]:
+    """Each word with its little-endian 32-bit ids.  Many words go through one call, parted by a special token;
+    words that may hold a special token go alone."""
+    tokenizer, parted = tokenizer_at(path), _separator(path)
+    together = [w for w in words if parted and parted[0][:2] not in w]
+    for i in range(0, len(together), ENCODE_BATCH):
+        lots = [together[j : j + ENCODE_LOT] for j in range(i, min(i + ENCODE_BATCH, len(together)), ENCODE_LOT)]
+        texts = [f" {parted[0]} ".join(lot) for lot in lots]
+        for lot, code in zip(lots, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array([*code.ids, parted[1]], "<u4")
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(lot, (4 * np.flatnonzero(ids == parted[1])).tolist(), strict=True):
+                yield word, raw[start:end]
+                start = end + 4
+    alone = [w for w in words if not parted or parted[0][:2] in w]
+    for word, code in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False) if alone else [], strict=True):
+        yield word, np.array(code.ids, "<u4").tobytes()
+
+
 def _word_ids(distinct: list[str], path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each word."""
-    tokenizer, kept = tokenizer_at(path), _IDS.setdefault(path, {})
-    fresh = [w for w in distinct if w not in kept]
-    found: dict[str, bytes] = {}
-    for i in range(0, len(fresh), ENCODE_BATCH):
-        some = fresh[i : i + ENCODE_BATCH]
-        for word, code in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            found[word] = np.array(code.ids, "<u4").tobytes()
-    out = [kept.get(w) if w in kept else found[w] for w in distinct]
+    kept = _IDS.setdefault(path, {})
+    found = dict(_encode_words([w for w in distinct if w not in kept], path))
+    out = [kept[w] if w in kept else found[w] for w in distinct]
     for word, ids in found.items():
         if len(kept) >= KEPT_WORDS:
             break
@@ -197,7 +220,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 2048,
     texts = docs.select(key.alias("digest"), whole.alias("text"))
     fewer = texts.mapInArrow(_once_per_task, texts.schema).repartition("digest")
     missing = fewer.join(known, "digest", "left_anti")
-    encode_missing(missing, tokenizer, version).write.mode("append").parquet(cache)
+    with rows_per_batch(spark, TEXT_ROWS):
+        encode_missing(missing, tokenizer, version).write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     joined = keys.join(counts.withColumnRenamed("digest", "__key"), "__key", "left")
     return joined.select(

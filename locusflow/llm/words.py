@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes handled at once inside a task; a longer single text is a slice of its own.
-SLICE_BYTES = 8 * 1024 * 1024
+SLICE_BYTES = 4 * 1024 * 1024
 
 
 class Words(NamedTuple):
