@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     A large-star step joins each node's larger neighbours to its least one, a small-star step its smaller ones; both
     are an aggregate and an equi-join.  They alternate until every node hangs on the least node of its component.
-    Each step ends in a written table.  Loops and repeated edges do no harm; without edges there is no row.
+    Each round ends in a written table.  Loops and repeated edges do no harm; without edges there is no row.
     """
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
@@ -29,7 +29,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _least(both).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large)
         small = large.join(_least(large), "a")
         hung = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialize(hung.unionByName(small.select("a", F.col("m").alias("b"))).distinct())

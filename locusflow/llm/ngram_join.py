@@ -33,8 +33,8 @@ from locusflow.session import materialize
 #: N-grams known as frequent, at most, and the count within a slice of text from which one is looked at.  Any choice
 #: gives the same result; a better one gives shorter columns.
 FREQUENT, LOCAL_COUNT = 1 << 17, 4
-#: Buckets in which n-grams are counted for the second bound.
-BUCKETS = 64
+#: N-grams per bucket, at most, in the counts of the second bound, and buckets at least.
+PER_BUCKET, LEAST_BUCKETS = 16, 16
 #: Rows of a column multiplied in one piece, and pieces a compared document's partners are dealt over.
 COLUMN_ROWS, SALTS = 2048, 16
 #: Passes in which each column is multiplied with one row.
@@ -76,7 +76,11 @@ def _key(doc_id: int, grams: np.ndarray) -> tuple[bytes, int]:
 
 
 def _bucket_counts(grams: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+    """How many n-grams fall in each of 2**k buckets by their last k bits; k grows with the size of the set."""
+    buckets = LEAST_BUCKETS
+    while buckets * PER_BUCKET < len(grams):
+        buckets *= 2
+    return np.minimum(np.bincount((grams & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
 
 
 _MATRIX = "gram long, key long, doc_id long, n int, counts binary"
@@ -134,54 +138,91 @@ def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return materialize(docs.select("doc_id", "text").mapInArrow(run, _MATRIX))
 
 
-def _drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by ``gram``, those whose n-gram another row has as well."""
-    held: pa.RecordBatch | None = None
-    repeated = False  # the held row's n-gram was in the row before
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        grams = batch.column("gram").to_numpy()
-        same = grams[1:] == grams[:-1]
-        before = np.concatenate([[repeated], same])
-        keep = before[:-1] | same  # all but the last row, whose successor is not here yet
-        yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep))
-        held, repeated = batch.slice(batch.num_rows - 1), bool(before[-1])
-    if held is not None and repeated:
-        yield held
+def drop_single(distinct: bool = False):
+    """Of rows sorted by ``gram`` (and ``key``), those whose n-gram another row has as well.
 
+    With ``distinct``, rows equal in both count once; such rows must lie together.
+    """
 
-def _within_bound(n0: np.ndarray, n1: np.ndarray, c0: np.ndarray, c1: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and bucket counts leave room for the similarity: the symmetric difference is at least the sum of
-    the differences in the buckets, and at most (1 - t) / (1 + t) of both sizes."""
-    ok = 100 * np.minimum(n0, n1) >= percent * np.maximum(n0, n1)
-    at = np.flatnonzero(ok)
-    for i in range(0, len(at), 65_536):
-        some = at[i : i + 65_536]
-        apart = np.abs(c0[some].astype(np.int16) - c1[some]).sum(1, dtype=np.int64)
-        ok[some] = (100 + percent) * apart <= (100 - percent) * (n0[some].astype(np.int64) + n1[some])
-    return ok
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        repeated = False  # the held row's n-gram was in the row before
+        for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if distinct and batch.num_rows:
+                grams, keys = batch.column("gram").to_numpy(), batch.column("key").to_numpy()
+                batch = batch.filter(pa.array(np.concatenate([[True], (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])])))
+            if not batch.num_rows:
+                continue
+            grams = batch.column("gram").to_numpy()
+            same = grams[1:] == grams[:-1]
+            before = np.concatenate([[repeated], same])
+            keep = before[:-1] | same  # all but the last row, whose successor is not here yet
+            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep))
+            held, repeated = batch.slice(batch.num_rows - 1), bool(before[-1])
+        if held is not None and repeated:
+            yield held
+
+    return run
 
 
-def _counts(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+class Counts:
+    """Bucket counts of many sets, compared pair by pair in the buckets of the coarser one."""
+
+    def __init__(self, column: pa.Array) -> None:
+        rows = column.to_pylist()
+        self.buckets = np.array([len(r) for r in rows], np.int64)
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in np.unique(self.buckets).tolist():
+            # Sets of similar size have as many buckets, or half or twice as many: each set is kept at two levels.
+            at = np.flatnonzero((self.buckets == size) | (self.buckets == 2 * size))
+            table = np.empty((len(at), size), np.int16)
+            for i, row in enumerate(at.tolist()):
+                own = np.frombuffer(rows[row], np.uint8)
+                table[i] = own if len(own) == size else np.minimum(own[:size].astype(np.int16) + own[size:], 255)
+            place = np.zeros(len(rows), np.int64)
+            place[at] = np.arange(len(at))
+            self.levels[size] = table, place
+
+    def apart(self, i: np.ndarray, other: Counts, j: np.ndarray) -> np.ndarray:
+        """The sum of differences between the rows ``i`` here and ``j`` there; 0 where they have no level in common."""
+        out = np.zeros(len(i), np.int64)
+        common = np.minimum(self.buckets[i], other.buckets[j])
+        near = np.maximum(self.buckets[i], other.buckets[j]) <= 2 * common
+        for size in np.unique(common[near]).tolist():
+            if size not in self.levels or size not in other.levels:
+                continue  # the finer side alone holds this level
+            (a, at_a), (b, at_b) = self.levels[size], other.levels[size]
+            here = np.flatnonzero(near & (common == size))
+            step = max(1, 8_000_000 // size)
+            for k in range(0, len(here), step):
+                some = here[k : k + step]
+                out[some] = np.abs(a[at_a[i[some]]] - b[at_b[j[some]]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _within_bound(n0: np.ndarray, n1: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Whether bucket counts leave room for the similarity: the symmetric difference of two sets is at least the sum
+    of the differences in the buckets, and at most (1 - t) / (1 + t) of both sizes."""
+    return (100 + percent) * apart <= (100 - percent) * (n0.astype(np.int64) + n1)
 
 
 def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """``x, y, apart`` of the pairs (``x, y``) that the second bound leaves."""
+    """``x, y, apart`` of the pairs (``x, y``) that both bounds leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c0, c1 = _counts(batch.column("cx")), _counts(batch.column("cy"))
-            ok = _within_bound(batch.column("nx").to_numpy(), batch.column("ny").to_numpy(), c0, c1, percent)
-            apart = np.abs(c0[ok].astype(np.int16) - c1[ok]).sum(1, dtype=np.int64)
+            both = Counts(pa.concat_arrays([batch.column("cx"), batch.column("cy")]))
+            i = np.arange(batch.num_rows)
+            apart = both.apart(i, both, i + batch.num_rows)
+            ok = _within_bound(batch.column("nx").to_numpy(), batch.column("ny").to_numpy(), apart, percent)
             at = pa.array(np.flatnonzero(ok))
-            yield pa.RecordBatch.from_arrays([batch.column("x").take(at), batch.column("y").take(at), pa.array(apart)], ["x", "y", "apart"])
+            yield pa.RecordBatch.from_arrays([batch.column("x").take(at), batch.column("y").take(at), pa.array(apart[ok])], ["x", "y", "apart"])
 
-    left = rows.select(F.col("key").alias("x"), F.col("n").alias("nx"), F.col("counts").alias("cx"))
-    right = rows.select(F.col("key").alias("y"), F.col("n").alias("ny"), F.col("counts").alias("cy"))
+    sizes = broadcast_if_small(rows.select("key", "n", "counts"))
+    left = sizes.select(F.col("key").alias("x"), F.col("n").alias("nx"), F.col("counts").alias("cx"))
+    right = sizes.select(F.col("key").alias("y"), F.col("n").alias("ny"), F.col("counts").alias("cy"))
     close = pairs.join(left, "x").join(right, "y").filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
     return close.mapInArrow(run, "x long, y long, apart long")
 
@@ -195,7 +236,7 @@ def _multiply(percent: int):
     def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
         piece = batch.column("piece").to_numpy()
         key, label, n, role = (batch.column(c).to_numpy() for c in ("key", "label", "n", "role"))
-        counts = _counts(batch.column("counts"))
+        counts = Counts(batch.column("counts"))
         starts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
         longest = int(np.diff(np.concatenate([starts, [len(piece)]])).max(initial=1))
         found = []
@@ -203,8 +244,9 @@ def _multiply(percent: int):
             i = np.flatnonzero((piece[step:] == piece[:-step]) & (label[step:] != label[:-step]))
             j = i + step
             meet = (role[i] + role[j] == 4) | (role[i] + role[j] == 1)
+            meet &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             i, j = i[meet], j[meet]
-            ok = _within_bound(n[i], n[j], counts[i], counts[j], percent)
+            ok = _within_bound(n[i], n[j], counts.apart(i, counts, j), percent)
             found.append(np.stack([np.minimum(key[i[ok]], key[j[ok]]), np.maximum(key[i[ok]], key[j[ok]])], 1))
         both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["x", "y"])
@@ -227,7 +269,7 @@ def _multiply(percent: int):
     return run
 
 
-def _pieces(columns: DataFrame) -> DataFrame:
+def pieces(columns: DataFrame) -> DataFrame:
     """Deal the rows of each column (``gram``, with a ``label`` per row) over pieces of bounded size.
 
     A column of at most ``COLUMN_ROWS`` rows is one piece.  In a longer one every pair with different labels has a row
@@ -253,7 +295,7 @@ def _pieces(columns: DataFrame) -> DataFrame:
     return placed.select(F.xxhash64("gram", "p.l", "p.o").alias("piece"), "key", "label", F.col("p.role").alias("role"))
 
 
-def _overlap(percent: int):
+def overlap(percent: int):
     """Add up the whole overlap of each pair and keep those with the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,27 +322,26 @@ def _links(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent:
     Whole texts are read again for the documents in question only.  The first of a pair travels once per lot of its
     partners, the second once per pair; a task holds one set and compares the partners that stream by.
     """
-    spark = docs.sparkSession
     pairs = materialize(pairs.select("x", "y", F.pmod(F.xxhash64("y"), F.lit(SALTS)).alias("lot")))
     needed = materialize(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct().join(rows.select("key", "doc_id"), "key"))
     ids = broadcast_if_small(needed.select("doc_id").distinct())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows have one key and one set
         for batch in batches:
             for part in slices(batch, "text"):
-                grams = list(_sets(part.column("text"), n))
-                keys = [_key(i, g)[1] for i, g in zip(part.column("doc_id").to_pylist(), grams, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([g.tobytes() for g in grams], pa.binary())], ["key", "grams"])
+                found = [(_key(i, g)[1], g) for i, g in zip(part.column("doc_id").to_pylist(), _sets(part.column("text"), n), strict=True)]
+                fresh = [(k, g.tobytes()) for k, g in found if k not in seen and not seen.add(k)]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in fresh], pa.int64()), pa.array([g for _, g in fresh], pa.binary())], ["key", "grams"])
 
-    with rows_per_batch(spark, 512):
+    with rows_per_batch(docs.sparkSession, 512):
         found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "key long, grams binary")
-        # Repeated rows have one key and one set.
-        whole = materialize(found.join(needed.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+        whole = materialize(found.join(broadcast_if_small(needed.select("key")), "key", "left_semi"))
         none = F.lit(None).cast("long")
-        firsts = pairs.select("x", "lot").distinct().join(whole.withColumnRenamed("key", "x"), "x").select("x", "lot", none.alias("y"), "grams")
-        others = pairs.join(whole.withColumnRenamed("key", "y"), "y").select("x", "lot", "y", "grams")
+        firsts = whole.withColumnRenamed("key", "x").join(broadcast_if_small(pairs.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
+        others = whole.withColumnRenamed("key", "y").join(broadcast_if_small(pairs), "y").select("x", "lot", "y", "grams")
         met = firsts.unionByName(others).repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first())
-        return materialize(met.mapInArrow(_overlap(percent), "a long, b long"))
+        return materialize(met.mapInArrow(overlap(percent), "a long, b long"))
 
 
 def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,14 +360,14 @@ def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id:
     members = table.filter("gram IS NULL").select("doc_id", "key", "n", "counts")
     rows = members.filter("counts IS NOT NULL AND n > 0").select("key", "doc_id", "n", "counts")
     leading = table.filter("gram IS NOT NULL").select("gram", "key")
-    shared = materialize(leading.repartition("gram").sortWithinPartitions("gram").mapInArrow(_drop_single, "gram long, key long"))
+    shared = materialize(leading.repartition("gram").sortWithinPartitions("gram").mapInArrow(drop_single(), "gram long, key long"))
 
     links, labels = None, None
 
     def labelled() -> DataFrame:
         if labels is None:
             return shared.withColumn("label", F.col("key"))
-        return shared.join(labels, "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
+        return shared.join(broadcast_if_small(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
 
     def add(pairs: DataFrame) -> None:
         nonlocal links, labels
@@ -344,9 +385,9 @@ def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id:
         one = _bounded(star, rows, percent).withColumn("r", F.row_number().over(nearest)).filter("r = 1")
         add(one.select("x", "y"))
 
-    sizes = rows.select("key", "n", "counts")
-    pieces = _pieces(labelled()).join(sizes, "key").repartition("piece").sortWithinPartitions("piece")
-    add(pieces.mapInArrow(_multiply(percent), "x long, y long").distinct())
+    sizes = broadcast_if_small(rows.select("key", "n", "counts"))
+    dealt = pieces(labelled()).join(sizes, "key").repartition("piece").sortWithinPartitions("piece")
+    add(dealt.mapInArrow(_multiply(percent), "x long, y long").distinct())
 
     placed = members.join(labels, "key", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("label", "key")).alias("label"))
     least = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
