@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from locusflow.llm import neighbours, ngram_join, packing, pii, quality, tokens, topk
+from locusflow.llm import chat, mixing, neighbours, ngram_join, packing, paragraphs, pii, quality, tokens, topk
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -34,6 +34,20 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 98 % of the greatest entropy, within as many estimated tokens as there are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    size = mixing_size()
+    whole = docs.agg(F.sum(size)).first()[0] or 0
+    mixed = mixing.mix(docs.withColumn("n_tokens", size).drop("text"), F.col("n_tokens"), entropy=0.98, max_passes=4.0, budget=float(whole))
+    return mixed.select("doc_id", "source", "n_tokens", "mix_pass", F.round("mix_at", 9).alias("mix_at"))
+
+
+def mixing_size() -> Column:
+    """Estimated tokens of a text: a quarter of its bytes, and one for its end."""
+    return F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / 4) + 1
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every 20th vector over all vectors."""
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -45,6 +59,15 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs)).drop("text")
 
 
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with an even id as the chosen one of a pair with the next id."""
+    turns = table(spark, sf_dir, "conversations")
+    pairs = turns.filter("conv_id % 2 = 0").select(F.col("conv_id").alias("chosen_id")).distinct().withColumn("rejected_id", F.col("chosen_id") + 1)
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    formatted = chat.format_preferences(turns, pairs)
+    return formatted.withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +76,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of paragraphs in all documents that repeat earlier ones."""
+    found = paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_doc_ids", F.array_join("kept_doc_ids", ","))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, by a cache that begins empty."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,12 +93,43 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_source_mixing": op4_source_mixing,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_pii": op6_pii,
+    "op7_preferences": op7_preferences,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
+    "op7_preferences": r"""
+        WITH t AS (
+            SELECT conv_id, list(struct_pack(role := r, text := t) ORDER BY turn NULLS FIRST, r, t) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
+        ), p AS (
+            SELECT a.conv_id AS chosen_id, b.conv_id AS rejected_id, a.turns AS a, b.turns AS b,
+                coalesce(list_min(list_filter(range(1, least(len(a.turns), len(b.turns)) + 1), lambda i: a.turns[i] <> b.turns[i])) - 1,
+                    least(len(a.turns), len(b.turns)))::INTEGER AS prefix_turns
+            FROM t a JOIN t b ON a.conv_id % 2 = 0 AND b.conv_id = a.conv_id + 1
+        ), q AS (
+            SELECT chosen_id, rejected_id, prefix_turns, unnest([0, 1, 2]) AS kind, a, b FROM p
+        ), turns AS (
+            SELECT chosen_id, rejected_id, kind, i, u.role AS role,
+                '<|im_start|>' || replace(u.role, '<|im_', '<| im_') || chr(10) AS head, replace(u.text, '<|im_', '<| im_') || '<|im_end|>' || chr(10) AS tail
+            FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS u FROM (
+                SELECT *, CASE kind WHEN 0 THEN a[1:prefix_turns] WHEN 1 THEN a[prefix_turns + 1:] ELSE b[prefix_turns + 1:] END AS x FROM q))
+        ), placed AS (
+            SELECT *, coalesce(sum(length(head) + length(tail)) OVER (PARTITION BY chosen_id, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place FROM turns
+        ), made AS (
+            SELECT chosen_id, kind, string_agg(head || tail, '' ORDER BY i) AS text,
+                string_agg((place + length(head)) || ':' || (place + length(head) + length(tail)), ',' ORDER BY i) FILTER (WHERE role = 'assistant') AS mask
+            FROM placed GROUP BY ALL
+        )
+        SELECT chosen_id, rejected_id, prefix_turns, coalesce(m0.text, '') AS prompt, coalesce(m1.text, '') AS chosen, coalesce(m2.text, '') AS rejected,
+            coalesce(m1.mask, '') AS chosen_mask, coalesce(m2.mask, '') AS rejected_mask
+        FROM p LEFT JOIN (FROM made WHERE kind = 0) m0 USING (chosen_id) LEFT JOIN (FROM made WHERE kind = 1) m1 USING (chosen_id)
+            LEFT JOIN (FROM made WHERE kind = 2) m2 USING (chosen_id)
+    """,
     "op1_ngram_join": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
