@@ -30,7 +30,7 @@ RECALL, NOISE = 0.98, 0.6
 #: Words of a sentence that can end a paragraph, at least.
 SENTENCE_WORDS = 3
 #: Words that a run of repeats must hold to be reported.
-LEAST_WORDS = 20
+LEAST_WORDS = 25
 
 
 def tune(threshold: float, recall: float = RECALL, noise: float = NOISE) -> tuple[int, int]:
