@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from locusflow.llm import mixing, ngram_join, packing, pii, quality
+from locusflow.llm.batches import broadcast_if_few
 from locusflow.llm.catalog import WORD_BPE, mixing_size
 from locusflow.llm.shipping import ship
-from locusflow.operators.joins import broadcast_if_small
 from locusflow.session import materialize
 
 #: Words and similarity (in percent) of near duplicates, and the most passes over a source when mixing.
@@ -36,8 +36,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ship(spark)
     groups = materialize(ngram_join.document_components(docs, SHINGLE_WORDS, SIMILARITY))
     stays = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    once = broadcast_if_small(stays.filter("n = 1").select("doc_id"))
-    many = broadcast_if_small(stays.filter("n > 1").select("doc_id"))
+    once = broadcast_if_few(stays.filter("n = 1").select("doc_id"))
+    many = broadcast_if_few(stays.filter("n > 1").select("doc_id"))
     return (
         docs.join(once, "doc_id", "left_semi")
         .unionByName(docs.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"]))

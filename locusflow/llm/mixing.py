@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from locusflow.operators.joins import broadcast_if_small
+from locusflow.llm.batches import broadcast_if_few
 from locusflow.session import materialize
 
 #: Blocks that a source is dealt over, and parts of the block in which its budget ends.
@@ -114,7 +114,7 @@ def mix(docs: DataFrame, tokens: Column, entropy: float | None = None, max_passe
 
     # In the block where a budget ends, parts are taken in permuted order while they fit; the first is taken if it begins inside.
     ending = order.filter("room < b").select(F.col("__source").alias("__s"), F.col("__block").alias("__b"), "mix_pass", "room")
-    parts = rows.join(broadcast_if_small(ending.select("__s", "__b").distinct()), F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left_semi")
+    parts = rows.join(broadcast_if_few(ending.select("__s", "__b").distinct()), F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left_semi")
     parts = parts.groupBy("__source", "__block", "__part").agg(F.sum("__size").alias("p"))
     inside = Window.partitionBy("__source", "__block", "mix_pass").orderBy(F.xxhash64("__part", "mix_pass", F.lit(seed + 3)), "__part")
     cut = parts.join(ending, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
@@ -126,7 +126,7 @@ def mix(docs: DataFrame, tokens: Column, entropy: float | None = None, max_passe
     plan = materialize(plan.select(F.col("__source").alias("__ps"), F.col("__block").alias("__pb"), "mix_pass", at, taken))
 
     same = F.col("__source").eqNullSafe(F.col("__ps")) & (F.col("__block") == F.col("__pb"))
-    mixed = rows.join(broadcast_if_small(plan, 32 << 20), same).filter(F.col("__parts").isNull() | F.array_contains("__parts", F.col("__part")))
+    mixed = rows.join(broadcast_if_few(plan), same).filter(F.col("__parts").isNull() | F.array_contains("__parts", F.col("__part")))
     out = mixed.select(*[F.col(f"`{c}`") for c in kept], "mix_pass", "mix_at")
-    empty = rows.join(broadcast_if_small(totals.select(F.col("__source").alias("__ts"))), F.col("__source").eqNullSafe(F.col("__ts")), "left_anti")
+    empty = rows.join(broadcast_if_few(totals.select(F.col("__source").alias("__ts"))), F.col("__source").eqNullSafe(F.col("__ts")), "left_anti")
     return out.unionByName(empty.select(*[F.col(f"`{c}`") for c in kept], F.lit(0).alias("mix_pass"), F.lit(0.0).alias("mix_at")))

@@ -24,10 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from locusflow.llm.batches import rows_per_batch
+from locusflow.llm.batches import TEXT_ROWS, broadcast_if_few, rows_per_batch
 from locusflow.llm.components import components
 from locusflow.llm.words import shingle_hashes, slices, split_words
-from locusflow.operators.joins import broadcast_if_small
 from locusflow.session import materialize
 
 #: N-grams known as frequent, at most, and the count within a slice of text from which one is looked at.  Any choice
@@ -64,8 +63,8 @@ def frequent_grams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often])], ["gram", "n"])
 
     counted = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.col("n").desc(), "gram").limit(most).select("gram").collect()
-    return np.array([r["gram"] for r in rows[::-1]], np.int64).view(np.uint64)
+    top = counted.orderBy(F.col("n").desc(), "gram").limit(most).select("gram").toArrow()
+    return top.column("gram").to_numpy()[::-1].view(np.uint64)
 
 
 def _key(doc_id: int, grams: np.ndarray) -> tuple[bytes, int]:
@@ -220,7 +219,7 @@ def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
             at = pa.array(np.flatnonzero(ok))
             yield pa.RecordBatch.from_arrays([batch.column("x").take(at), batch.column("y").take(at), pa.array(apart[ok])], ["x", "y", "apart"])
 
-    sizes = broadcast_if_small(rows.select("key", "n", "counts"))
+    sizes = broadcast_if_few(rows.select("key", "n", "counts"))
     left = sizes.select(F.col("key").alias("x"), F.col("n").alias("nx"), F.col("counts").alias("cx"))
     right = sizes.select(F.col("key").alias("y"), F.col("n").alias("ny"), F.col("counts").alias("cy"))
     close = pairs.join(left, "x").join(right, "y").filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
@@ -324,7 +323,7 @@ def _links(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent:
     """
     pairs = materialize(pairs.select("x", "y", F.pmod(F.xxhash64("y"), F.lit(SALTS)).alias("lot")))
     needed = materialize(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct().join(rows.select("key", "doc_id"), "key"))
-    ids = broadcast_if_small(needed.select("doc_id").distinct())
+    ids = broadcast_if_few(needed.select("doc_id").distinct())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # repeated rows have one key and one set
@@ -336,26 +335,16 @@ def _links(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent:
 
     with rows_per_batch(docs.sparkSession, 512):
         found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "key long, grams binary")
-        whole = materialize(found.join(broadcast_if_small(needed.select("key")), "key", "left_semi"))
+        whole = materialize(found.join(broadcast_if_few(needed.select("key")), "key", "left_semi"))
         none = F.lit(None).cast("long")
-        firsts = whole.withColumnRenamed("key", "x").join(broadcast_if_small(pairs.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
-        others = whole.withColumnRenamed("key", "y").join(broadcast_if_small(pairs), "y").select("x", "lot", "y", "grams")
+        firsts = whole.withColumnRenamed("key", "x").join(broadcast_if_few(pairs.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
+        others = whole.withColumnRenamed("key", "y").join(broadcast_if_few(pairs), "y").select("x", "lot", "y", "grams")
         met = firsts.unionByName(others).repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first())
         return materialize(met.mapInArrow(overlap(percent), "a long, b long"))
 
 
-def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
-
-    Words are runs of bytes other than space and 0x09-0x0D, A-Z folded.  A document's set holds its distinct
-    ``n``-word shingles; with fewer words the whole sequence is one, and without words the set is empty and links with
-    nothing.  Documents link when 100 |A & B| >= ``percent`` |A | B|.  ``component_id`` is the smallest id that links
-    lead to, its own included.  The result is exact: the bounds discard no pair that links.
-
-    Null texts count as empty.  Rows with a null id take no part and return with a null component.  Rows that repeat an
-    id are documents of their own that share it.  Other columns are ignored.  An empty table returns no row.  Eager.
-    """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, key, n, counts`` of every document, and ``key, label`` of the keys that link."""
     table = incidence(docs, n, percent)
     members = table.filter("gram IS NULL").select("doc_id", "key", "n", "counts")
     rows = members.filter("counts IS NOT NULL AND n > 0").select("key", "doc_id", "n", "counts")
@@ -367,7 +356,7 @@ def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id:
     def labelled() -> DataFrame:
         if labels is None:
             return shared.withColumn("label", F.col("key"))
-        return shared.join(broadcast_if_small(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
+        return shared.join(broadcast_if_few(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
 
     def add(pairs: DataFrame) -> None:
         nonlocal links, labels
@@ -385,10 +374,26 @@ def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id:
         one = _bounded(star, rows, percent).withColumn("r", F.row_number().over(nearest)).filter("r = 1")
         add(one.select("x", "y"))
 
-    sizes = broadcast_if_small(rows.select("key", "n", "counts"))
+    sizes = broadcast_if_few(rows.select("key", "n", "counts"))
     dealt = pieces(labelled()).join(sizes, "key").repartition("piece").sortWithinPartitions("piece")
     add(dealt.mapInArrow(_multiply(percent), "x long, y long").distinct())
+    return members, labels
+
 
+def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+
+    Words are runs of bytes other than space and 0x09-0x0D, A-Z folded.  A document's set holds its distinct
+    ``n``-word shingles; with fewer words the whole sequence is one, and without words the set is empty and links with
+    nothing.  Documents link when 100 |A & B| >= ``percent`` |A | B|.  ``component_id`` is the smallest id that links
+    lead to, its own included.  The result is exact: the bounds discard no pair that links.
+
+    Null texts count as empty.  Rows with a null id take no part and return with a null component.  Rows that repeat an
+    id are documents of their own that share it.  Other columns are ignored.  An empty table returns no row.  Eager.
+    """
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    with rows_per_batch(docs.sparkSession, TEXT_ROWS):
+        members, labels = _linked(docs, n, percent)
     placed = members.join(labels, "key", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("label", "key")).alias("label"))
     least = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "label", "left").select(

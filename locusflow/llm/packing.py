@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from locusflow.llm.batches import rows_per_batch
-from locusflow.llm.tokens import TEXT_ROWS, drops_white_space, text_ids
+from locusflow.llm.batches import TEXT_ROWS, rows_per_batch
+from locusflow.llm.tokens import drops_white_space, text_ids
 from locusflow.llm.words import slices
 from locusflow.session import materialize
 

@@ -18,11 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from locusflow.llm.batches import rows_per_batch
+from locusflow.llm.batches import TEXT_ROWS, broadcast_if_few, rows_per_batch
 from locusflow.llm.components import components
 from locusflow.llm.ngram_join import SALTS, STAR_PASSES, drop_single, overlap, pieces
 from locusflow.llm.words import Words, mixed, shingle_hashes, slices, split_words, word_hashes
-from locusflow.operators.joins import broadcast_if_small
 from locusflow.session import materialize
 
 #: Chance that bands must find a pair at the threshold, and highest chance allowed at half of it.
@@ -171,7 +170,7 @@ def _sets(docs: DataFrame, n: int, needed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values, pa.binary())], ["key", "grams"])
 
     found = docs.select("text").mapInArrow(run, "key long, grams binary")
-    return materialize(found.join(broadcast_if_small(needed.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"]))
+    return materialize(found.join(broadcast_if_few(needed.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"]))
 
 
 def _compare(percent: int):
@@ -226,7 +225,7 @@ def clusters(docs: DataFrame, n: int, percent: int) -> DataFrame | None:
     def labelled() -> DataFrame:
         if labels is None:
             return shared.withColumn("label", F.col("key"))
-        return shared.join(broadcast_if_small(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
+        return shared.join(broadcast_if_few(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
 
     for turn in range(STAR_PASSES):
         columns = labelled()
@@ -236,8 +235,8 @@ def clusters(docs: DataFrame, n: int, percent: int) -> DataFrame | None:
         star = columns.join(lead, "gram").filter("label <> x_label").select("x", F.col("key").alias("y")).distinct()
         star = materialize(star.withColumn("lot", F.pmod(F.xxhash64("y"), F.lit(SALTS))))
         none = F.lit(None).cast("long")
-        firsts = sets.withColumnRenamed("key", "x").join(broadcast_if_small(star.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
-        others = sets.withColumnRenamed("key", "y").join(broadcast_if_small(star), "y").select("x", "lot", "y", "grams")
+        firsts = sets.withColumnRenamed("key", "x").join(broadcast_if_few(star.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
+        others = sets.withColumnRenamed("key", "y").join(broadcast_if_few(star), "y").select("x", "lot", "y", "grams")
         met = firsts.unionByName(others).repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first())
         new = materialize(met.mapInArrow(overlap(percent), "a long, b long"))
         links = new if links is None else links.unionByName(new)
@@ -257,11 +256,11 @@ def repeated_passages(docs: DataFrame, n: int = 5, percent: int = 80, least_word
     whose paragraphs may stand twice: the second is a repeat of the first.  Other columns are ignored.  Eager.
     """
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    with rows_per_batch(docs.sparkSession, 2048):
+    with rows_per_batch(docs.sparkSession, TEXT_ROWS):
         found = occurrences(whole, n)
         labels = clusters(whole, n, percent)
     if labels is not None:
-        found = found.join(broadcast_if_small(labels), "key", "left").withColumn("label", F.coalesce("label", "key"))
+        found = found.join(broadcast_if_few(labels), "key", "left").withColumn("label", F.coalesce("label", "key"))
     else:
         found = found.withColumn("label", F.col("key"))
     placed = found.select("doc_id", "number", "first", "size", "label")

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locusflow.llm.batches import rows_per_batch
+from locusflow.llm.batches import TEXT_ROWS, rows_per_batch
 from locusflow.llm.words import slices, split_words
 from locusflow.session import materialize
 
@@ -19,8 +19,6 @@ from locusflow.session import materialize
 KEPT_WORDS = 120_000
 #: Words handed to the tokenizer at once, and words in one of its texts.
 ENCODE_BATCH, ENCODE_LOT = 16_000, 1000
-#: Rows of text handed to Python at once.
-TEXT_ROWS = 2048
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 
 _TOKENIZERS: dict[str, object] = {}
