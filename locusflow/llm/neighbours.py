@@ -170,7 +170,7 @@ def build_graph(nodes: DataFrame, keep: int = NEIGHBOURS, reverse: int = REVERSE
     lists = starts.groupBy("node").agg(_nearest(F.flatten(F.collect_list("found")), keep).alias("near"))
     graph = materialize(nodes.select("node", "code").join(lists, "node"))
     for turn in range(rounds):
-        known = graph.select(F.col("node").alias("m"), "code", F.coalesce(F.element_at("near.d", keep), F.lit(2**31 - 2)).alias("limit"))
+        known = graph.select(F.col("node").alias("m"), "code", F.coalesce(F.try_element_at("near.d", F.lit(keep)), F.lit(2**31 - 2)).alias("limit"))
         around = _around(graph, reverse, turn).join(known, "m").groupBy("u").agg(F.collect_list(F.struct("m", "limit", "code")).alias("around"))
         offered = around.select("around").mapInArrow(_join_locally, "node long, b long, d int").dropDuplicates(["node", "b"])
         order = Window.partitionBy("node").orderBy("d", "b")

@@ -31,13 +31,13 @@ from locusflow.session import materialize
 
 #: N-grams known as frequent, at most, and the count within a slice of text from which one is looked at.  Any choice
 #: gives the same result; a better one gives shorter columns.
-FREQUENT, LOCAL_COUNT = 1 << 17, 4
+FREQUENT, LOCAL_COUNT = 1 << 18, 2
 #: N-grams per bucket, at most, in the counts of the second bound, and buckets at least.
-PER_BUCKET, LEAST_BUCKETS = 16, 16
+PER_BUCKET, LEAST_BUCKETS = 8, 64
 #: Rows of a column multiplied in one piece, and pieces a compared document's partners are dealt over.
 COLUMN_ROWS, SALTS = 2048, 16
 #: Passes in which each column is multiplied with one row.
-STAR_PASSES = 2
+STAR_PASSES = 3
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -89,7 +89,8 @@ def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """A written table with two kinds of rows.
 
     ``gram`` null: one for each document with its size and the key of its set; ``counts`` only where the key is its
-    own, that is for the first of the copies in a task.  ``gram`` set: the leading columns of such a first copy.
+    own, that is for the first of the copies in a task.  ``gram`` set: the leading columns of such a first copy, negative
+    for frequent n-grams.
     """
     frequent = frequent_grams(docs, n)
     order = np.argsort(frequent)
@@ -117,18 +118,18 @@ def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
                             at = np.minimum(np.searchsorted(sorted_grams, grams), len(sorted_grams) - 1)
                             place = np.where(sorted_grams[at] == grams, np.uint64(1 << 63) + rank[at], place)
                         lead = len(grams) + (-percent * len(grams) // 100) + 1
-                        columns.append((key, np.partition(place, lead - 1)[:lead] if lead < len(grams) else place))
+                        columns.append((key, np.partition(place, lead - 1)[:lead] if lead < len(grams) else place, len(grams)))
                 rows = len(ids)
-                grams = np.concatenate([c for _, c in columns]).view(np.int64) if columns else np.zeros(0, np.int64)
-                more = len(grams)
-                owners = np.repeat(np.array([k for k, _ in columns], np.int64), [len(c) for _, c in columns])
-                none = pa.nulls(more)
+                grams = np.concatenate([c for _, c, _ in columns]).view(np.int64) if columns else np.zeros(0, np.int64)
+                times = [len(c) for _, c, _ in columns]
+                owners, owned = (np.repeat(np.array([c[i] for c in columns], np.int64), times) for i in (0, 2))
+                none = pa.nulls(len(grams))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(grams, pa.int64())]),
+                        pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(grams)]),
                         pa.concat_arrays([pa.array(keys, pa.int64()), pa.array(owners, pa.int64())]),
                         pa.concat_arrays([pa.array(ids, pa.int64()), none.cast(pa.int64())]),
-                        pa.concat_arrays([pa.array(sizes, pa.int32()), none.cast(pa.int32())]),
+                        pa.concat_arrays([pa.array(sizes, pa.int32()), pa.array(owned.astype(np.int32))]),
                         pa.concat_arrays([pa.array(counts, pa.binary()), none.cast(pa.binary())]),
                     ],
                     ["gram", "key", "doc_id", "n", "counts"],
@@ -137,30 +138,32 @@ def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return materialize(docs.select("doc_id", "text").mapInArrow(run, _MATRIX))
 
 
-def drop_single(distinct: bool = False):
-    """Of rows sorted by ``gram`` (and ``key``), those whose n-gram another row has as well.
+def drop_alone(percent: int):
+    """Of rows sorted by ``gram``, ``n`` and ``key``, those that have another with their n-gram and a size near theirs.
 
-    With ``distinct``, rows equal in both count once; such rows must lie together.
+    Rows equal in n-gram and key count once.
     """
 
+    def near(batch: pa.RecordBatch) -> np.ndarray:
+        gram, n = batch.column("gram").to_numpy(), batch.column("n").to_numpy().astype(np.int64)
+        return (gram[1:] == gram[:-1]) & (100 * n[:-1] >= percent * n[1:])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
-        repeated = False  # the held row's n-gram was in the row before
+        kept = False  # the held row is near the row before
         for batch in batches:
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            if distinct and batch.num_rows:
-                grams, keys = batch.column("gram").to_numpy(), batch.column("key").to_numpy()
-                batch = batch.filter(pa.array(np.concatenate([[True], (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])])))
+            gram, key = batch.column("gram").to_numpy(), batch.column("key").to_numpy()
+            if len(gram):
+                batch = batch.filter(pa.array(np.concatenate([[True], (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])])))
             if not batch.num_rows:
                 continue
-            grams = batch.column("gram").to_numpy()
-            same = grams[1:] == grams[:-1]
-            before = np.concatenate([[repeated], same])
-            keep = before[:-1] | same  # all but the last row, whose successor is not here yet
-            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep))
-            held, repeated = batch.slice(batch.num_rows - 1), bool(before[-1])
-        if held is not None and repeated:
+            after = near(batch)
+            before = np.concatenate([[kept], after])
+            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(before[:-1] | after))
+            held, kept = batch.slice(batch.num_rows - 1), bool(before[-1])
+        if held is not None and kept:
             yield held
 
     return run
@@ -208,7 +211,7 @@ def _within_bound(n0: np.ndarray, n1: np.ndarray, apart: np.ndarray, percent: in
 
 
 def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """``x, y, apart`` of the pairs (``x, y``) that both bounds leave."""
+    """``x, y, apart`` of the pairs (``x, y``) that the bound by bucket counts leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,8 +225,7 @@ def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     sizes = broadcast_if_few(rows.select("key", "n", "counts"))
     left = sizes.select(F.col("key").alias("x"), F.col("n").alias("nx"), F.col("counts").alias("cx"))
     right = sizes.select(F.col("key").alias("y"), F.col("n").alias("ny"), F.col("counts").alias("cy"))
-    close = pairs.join(left, "x").join(right, "y").filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    return close.mapInArrow(run, "x long, y long, apart long")
+    return pairs.join(left, "x").join(right, "y").mapInArrow(run, "x long, y long, apart long")
 
 
 def _multiply(percent: int):
@@ -290,8 +292,8 @@ def pieces(columns: DataFrame) -> DataFrame:
     away = F.transform(F.sequence(zero, F.col("lots") - 1), lambda i: F.struct(i.alias("l"), odd.alias("o"), F.lit(0).alias("role")))
     one = F.array(F.struct(zero.alias("l"), zero.alias("o"), F.lit(2).alias("role")))
     places = F.when(F.col("lots") == 1, one).when(F.col("label") == F.col("main"), home).otherwise(F.concat(home, away))
-    placed = dealt.select("gram", "key", "label", F.explode(places).alias("p"))
-    return placed.select(F.xxhash64("gram", "p.l", "p.o").alias("piece"), "key", "label", F.col("p.role").alias("role"))
+    placed = dealt.select(*columns.columns, F.explode(places).alias("p"))
+    return placed.select(F.xxhash64("gram", "p.l", "p.o").alias("piece"), *[c for c in columns.columns if c != "gram"], F.col("p.role").alias("role"))
 
 
 def overlap(percent: int):
@@ -333,14 +335,13 @@ def _links(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent:
                 fresh = [(k, g.tobytes()) for k, g in found if k not in seen and not seen.add(k)]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in fresh], pa.int64()), pa.array([g for _, g in fresh], pa.binary())], ["key", "grams"])
 
+    # One row for each part a set plays: the first of its pairs, once per lot, and the second of each of its pairs.
+    none = F.lit(None).cast("long").alias("y")
+    parts = pairs.select(F.col("x").alias("key"), "x", "lot", none).distinct().unionByName(pairs.select(F.col("y").alias("key"), "x", "lot", "y"))
     with rows_per_batch(docs.sparkSession, 512):
         found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "key long, grams binary")
-        whole = materialize(found.join(broadcast_if_few(needed.select("key")), "key", "left_semi"))
-        none = F.lit(None).cast("long")
-        firsts = whole.withColumnRenamed("key", "x").join(broadcast_if_few(pairs.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
-        others = whole.withColumnRenamed("key", "y").join(broadcast_if_few(pairs), "y").select("x", "lot", "y", "grams")
-        met = firsts.unionByName(others).repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first())
-        return materialize(met.mapInArrow(overlap(percent), "a long, b long"))
+        met = found.join(broadcast_if_few(parts), "key").select("x", "lot", "y", "grams").repartition("x", "lot")
+        return materialize(met.sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first()).mapInArrow(overlap(percent), "a long, b long"))
 
 
 def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -348,15 +349,19 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     table = incidence(docs, n, percent)
     members = table.filter("gram IS NULL").select("doc_id", "key", "n", "counts")
     rows = members.filter("counts IS NOT NULL AND n > 0").select("key", "doc_id", "n", "counts")
-    leading = table.filter("gram IS NOT NULL").select("gram", "key")
-    shared = materialize(leading.repartition("gram").sortWithinPartitions("gram").mapInArrow(drop_single(), "gram long, key long"))
+    leading = table.filter("gram IS NOT NULL").select("gram", "key", "n")
+    # Frequent n-grams have company for certain, and stay where they are.
+    rare = leading.filter("gram >= 0").repartition("gram").sortWithinPartitions("gram", "n", "key")
+    shared = rare.mapInArrow(drop_alone(percent), "gram long, key long, n int").unionByName(leading.filter("gram < 0"))
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))) if percent < 100 else F.col("n")
+    shared = materialize(shared.withColumn("size_class", size_class.cast("int")))
 
     links, labels = None, None
 
     def labelled() -> DataFrame:
         if labels is None:
             return shared.withColumn("label", F.col("key"))
-        return shared.join(broadcast_if_few(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
+        return shared.join(broadcast_if_few(labels), "key", "left").withColumn("label", F.coalesce("label", "key"))
 
     def add(pairs: DataFrame) -> None:
         nonlocal links, labels
@@ -366,15 +371,17 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
 
     for turn in range(STAR_PASSES):
         columns = labelled()
-        first = F.min(F.struct(F.xxhash64("gram", "key", F.lit(turn)).alias("h"), "key", "label"))
-        lead = columns.groupBy("gram").agg(first.alias("f"), F.min("label").alias("low"), F.max("label").alias("high"))
-        lead = lead.filter("low <> high").select("gram", F.col("f.key").alias("x"), F.col("f.label").alias("x_label"))
-        star = columns.join(lead, "gram").filter("label <> x_label").select("x", F.col("key").alias("y")).distinct()
+        # One row of each column and class of sizes meets the others.
+        first = F.min(F.struct(F.xxhash64("gram", "key", F.lit(turn)).alias("h"), "key", "label", "n"))
+        lead = columns.groupBy("gram", "size_class").agg(first.alias("f"), F.min("label").alias("low"), F.max("label").alias("high"))
+        lead = lead.filter("low <> high").select("gram", "size_class", F.col("f.key").alias("x"), F.col("f.label").alias("x_label"), F.col("f.n").alias("x_n"))
+        star = columns.join(lead, ["gram", "size_class"]).filter(f"label <> x_label AND 100 * least(n, x_n) >= {percent} * greatest(n, x_n)")
+        star = star.select("x", F.col("key").alias("y")).distinct()
         nearest = Window.partitionBy("y").orderBy("apart", "x")
         one = _bounded(star, rows, percent).withColumn("r", F.row_number().over(nearest)).filter("r = 1")
         add(one.select("x", "y"))
 
-    sizes = broadcast_if_few(rows.select("key", "n", "counts"))
+    sizes = broadcast_if_few(rows.select("key", "counts"))
     dealt = pieces(labelled()).join(sizes, "key").repartition("piece").sortWithinPartitions("piece")
     add(dealt.mapInArrow(_multiply(percent), "x long, y long").distinct())
     return members, labels

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from locusflow.llm.batches import TEXT_ROWS, broadcast_if_few, rows_per_batch
 from locusflow.llm.components import components
-from locusflow.llm.ngram_join import SALTS, STAR_PASSES, drop_single, overlap, pieces
+from locusflow.llm.ngram_join import SALTS, STAR_PASSES, drop_alone, overlap, pieces
 from locusflow.llm.words import Words, mixed, shingle_hashes, slices, split_words, word_hashes
 from locusflow.session import materialize
 
@@ -137,7 +137,7 @@ def occurrences(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _banded(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """``gram, key``: each band's hash with the keys that have it, once per slice of text.
+    """``gram, key, n``: each band's hash with the keys that have it and their sizes, once per slice of text.
 
     Sets so small that one more element already takes the similarity below the threshold link to equal sets only.
     Those share their key, so they have no bands.
@@ -153,9 +153,10 @@ def _banded(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Dat
                 able = 100 * np.diff(units.starts)[at] >= percent * (np.diff(units.starts)[at] + 1)
                 keys, at = keys[able], at[able]
                 hashes = _bands(units, bands, rows)[at].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.ravel()), pa.array(np.repeat(keys, bands))], ["gram", "key"])
+                sizes = np.diff(units.starts)[at].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.ravel()), pa.array(np.repeat(keys, bands)), pa.array(np.repeat(sizes, bands))], ["gram", "key", "n"])
 
-    return docs.select("text").mapInArrow(run, "gram long, key long")
+    return docs.select("text").mapInArrow(run, "gram long, key long, n int")
 
 
 def _sets(docs: DataFrame, n: int, needed: DataFrame) -> DataFrame:
@@ -215,8 +216,8 @@ def _compare(percent: int):
 def clusters(docs: DataFrame, n: int, percent: int) -> DataFrame | None:
     """``key, label`` of the paragraph keys that link to other keys; None where no two keys collide."""
     bands, rows = tune(percent / 100)
-    banded = _banded(docs, n, percent, bands, rows).repartition("gram").sortWithinPartitions("gram", "key")
-    shared = materialize(banded.mapInArrow(drop_single(True), "gram long, key long"))
+    banded = _banded(docs, n, percent, bands, rows).repartition("gram").sortWithinPartitions("gram", "n", "key")
+    shared = materialize(banded.mapInArrow(drop_alone(percent), "gram long, key long, n int"))
     if shared.isEmpty():
         return None
     sets = _sets(docs, n, shared)
@@ -225,19 +226,18 @@ def clusters(docs: DataFrame, n: int, percent: int) -> DataFrame | None:
     def labelled() -> DataFrame:
         if labels is None:
             return shared.withColumn("label", F.col("key"))
-        return shared.join(broadcast_if_few(labels), "key", "left").select("gram", "key", F.coalesce("label", "key").alias("label"))
+        return shared.join(broadcast_if_few(labels), "key", "left").withColumn("label", F.coalesce("label", "key"))
 
     for turn in range(STAR_PASSES):
         columns = labelled()
-        first = F.min(F.struct(F.xxhash64("gram", "key", F.lit(turn)).alias("h"), "key", "label"))
+        first = F.min(F.struct(F.xxhash64("gram", "key", F.lit(turn)).alias("h"), "key", "label", "n"))
         lead = columns.groupBy("gram").agg(first.alias("f"), F.min("label").alias("low"), F.max("label").alias("high"))
-        lead = lead.filter("low <> high").select("gram", F.col("f.key").alias("x"), F.col("f.label").alias("x_label"))
-        star = columns.join(lead, "gram").filter("label <> x_label").select("x", F.col("key").alias("y")).distinct()
+        lead = lead.filter("low <> high").select("gram", F.col("f.key").alias("x"), F.col("f.label").alias("x_label"), F.col("f.n").alias("x_n"))
+        star = columns.join(lead, "gram").filter(f"label <> x_label AND 100 * least(n, x_n) >= {percent} * greatest(n, x_n)").select("x", F.col("key").alias("y")).distinct()
         star = materialize(star.withColumn("lot", F.pmod(F.xxhash64("y"), F.lit(SALTS))))
-        none = F.lit(None).cast("long")
-        firsts = sets.withColumnRenamed("key", "x").join(broadcast_if_few(star.select("x", "lot").distinct()), "x").select("x", "lot", none.alias("y"), "grams")
-        others = sets.withColumnRenamed("key", "y").join(broadcast_if_few(star), "y").select("x", "lot", "y", "grams")
-        met = firsts.unionByName(others).repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first())
+        none = F.lit(None).cast("long").alias("y")
+        parts = star.select(F.col("x").alias("key"), "x", "lot", none).distinct().unionByName(star.select(F.col("y").alias("key"), "x", "lot", "y"))
+        met = sets.join(broadcast_if_few(parts), "key").select("x", "lot", "y", "grams").repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first())
         new = materialize(met.mapInArrow(overlap(percent), "a long, b long"))
         links = new if links is None else links.unionByName(new)
         labels = materialize(components(links).select(F.col("node").alias("key"), F.col("component").alias("label")))

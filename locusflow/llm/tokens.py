@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -16,7 +17,7 @@ from locusflow.llm.words import slices, split_words
 from locusflow.session import materialize
 
 #: Distinct words whose ids a Python worker keeps; further words are encoded anew in each slice.
-KEPT_WORDS = 120_000
+KEPT_WORDS = 400_000
 #: Words handed to the tokenizer at once, and words in one of its texts.
 ENCODE_BATCH, ENCODE_LOT = 16_000, 1000
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -28,6 +29,7 @@ _IDS: dict[str, dict[str, bytes]] = {}
 def tokenizer_at(path: str):
     """The tokenizer in the file ``path``, loaded once per worker."""
     if path not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         if path.endswith(".model"):
             import sentencepiece
 
