@@ -152,7 +152,7 @@ graded AS (
   SELECT *, greatest(l_rr, l_ra, l_aa) AS top FROM likely),
 genotyped AS (
   SELECT contig_idx, pos, ref_base AS ref, alt, depth, alt_count,
-         round(least(3000.0, greatest(0.0, -10 * (l_rr - (top + log10(pow(10.0, l_rr - top) + pow(10.0, l_ra - top) + pow(10.0, l_aa - top)))))), 6) AS qual,
+         round(greatest(0.0, -10 * (l_rr - (top + log10(pow(10.0, l_rr - top) + pow(10.0, l_ra - top) + pow(10.0, l_aa - top))))), 6) AS qual,
          CASE WHEN l_rr >= l_ra AND l_rr >= l_aa THEN '0/0' WHEN l_ra >= l_aa THEN '0/1' ELSE '1/1' END AS gt FROM graded),
 called AS (
   SELECT *, CASE WHEN qual < {call_conf} THEN 'LowQual' ELSE 'PASS' END AS filter
@@ -165,9 +165,9 @@ def records(fold: int, where: str = "true", intron: int = 0) -> str:
   SELECT *, CASE WHEN is_reverse = 1 THEN 0 ELSE clip END AS lead_clip, start + read_len - clip - 1 AS end_pos,
          CASE WHEN is_reverse = 1 THEN start + read_len - 1 + {intron} ELSE start - clip END AS five,
          list_sum([CASE WHEN 2 + (read_id + o * 7) % 39 >= 15 THEN 2 + (read_id + o * 7) % 39 ELSE 0 END FOR o IN range(0, read_len)]) AS score
-  FROM (SELECT read_id, template_id, template_id % 5 AS contig_idx, concat('lib', CAST(template_id % 3 AS VARCHAR)) AS library,
+  FROM (SELECT read_id, template AS template_id, template % 5 AS contig_idx, concat('lib', CAST(template % 3 AS VARCHAR)) AS library,
                1 + start % {fold} AS start, read_id % 4 AS clip, read_len, mapq, is_reverse, is_unmapped
-        FROM alignments WHERE mate_no <= 2 AND {where}) a),
+        FROM (SELECT *, template_id * 4 + (mate_no - 1) // 2 AS template FROM alignments) x WHERE {where}) a),
 ends AS (
   SELECT template_id, library, score, (contig_idx * 100000 + five + 1000) * 2 + is_reverse AS e FROM records WHERE is_unmapped = 0),
 templates AS (

@@ -91,12 +91,17 @@ def _(spark, sf):
     sql.with_ctes(
         sql.CONTIGS, sql.ALIGN,
         select="""SELECT read_id, start + 150 AS start, least(end_pos + 150, length) AS end_pos,
- CASE WHEN is_unmapped = 1 THEN 0 ELSE mapq END AS mapq FROM alignments JOIN contigs USING (contig_idx)""",
+ CASE WHEN is_unmapped = 1 THEN 0 ELSE mapq END AS mapq,
+ CASE WHEN end_pos + 150 <= length THEN concat('3S', CAST(read_len AS VARCHAR), 'M2I')
+      ELSE concat('3S', CAST(length - start - 150 + 1 AS VARCHAR), 'M', CAST(end_pos + 150 - length + 2 AS VARCHAR), 'S') END AS cigar
+ FROM alignments JOIN contigs USING (contig_idx)""",
     ),
 )
 def _(spark, sf):
-    moved = v.alignments(spark, sf).withColumns({"start": F.col("start") + 150, "end_pos": F.col("end_pos") + 150})
-    return filters.clean_alignments(moved, v.contigs(spark, sf)).select("read_id", "start", "end_pos", "mapq")
+    moved = v.alignments(spark, sf).withColumns(
+        {"start": F.col("start") + 150, "end_pos": F.col("end_pos") + 150, "cigar": F.expr("concat('3S', read_len, 'M2I')")}
+    )
+    return filters.clean_alignments(moved, v.contigs(spark, sf)).select("read_id", "start", "end_pos", "mapq", "cigar")
 
 
 @registered(
@@ -222,7 +227,7 @@ def _(spark, sf):
 
 # Regions ----------------------------------------------------------------------------
 
-_UNIFORM = """sized AS (SELECT contig_idx, length, {step} AS step, total // greatest(1, CAST(floor({n} * pow(0.95, {step})) AS BIGINT)) AS target
+_UNIFORM = """sized AS (SELECT contig_idx, length, {step} AS step, greatest(1, CAST(floor(total / ({n} * pow(0.95, {step}))) AS BIGINT)) AS target
   FROM {source}, (SELECT sum(length)::BIGINT AS total FROM {source}) t {steps}),
 packed AS (SELECT *, length < target AS short, coalesce(sum(length) OVER (PARTITION BY step, length < target ORDER BY contig_idx
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM sized),
@@ -244,8 +249,8 @@ def _uniform(n: int, source: str = "contigs") -> str:
 
 
 def _uniform_retry(n: int, source: str) -> str:
-    steps = ", (SELECT unnest(range(0, 61)) AS s) r"
-    return _UNIFORM.format(n=n, source=source, step="s", steps=steps, fits=f"found <= {n} OR step = 60")
+    steps = ", (SELECT unnest(range(0, 200)) AS s) r"
+    return _UNIFORM.format(n=n, source=source, step="s", steps=steps, fits=f"found <= {n}")
 
 
 @registered(
@@ -642,6 +647,40 @@ def _(spark, sf):
     return pileup.depth(mapped(spark, sf))
 
 
+#: Every read as two halves around an intron of 300 bases.
+_HALVES = """halves AS (SELECT read_id, template_id, contig_idx, start, start + read_len // 2 - 1 AS end_pos FROM mapped
+  UNION ALL SELECT read_id, template_id, contig_idx, start + read_len // 2 + 300, start + read_len + 299 FROM mapped)"""
+
+
+def _spliced(spark, sf):
+    text = "concat(read_len div 2, 'M300N', read_len - read_len div 2, 'M')"
+    return mapped(spark, sf).withColumns({"cigar": F.expr(text), "end_pos": F.expr("start + read_len + 299")})
+
+
+@registered(
+    "depth_spliced",
+    sql.with_ctes(
+        sql.ALIGN, sql.MAPPED, _HALVES,
+        select="SELECT contig_idx, pos, count(*) AS depth FROM (SELECT contig_idx, unnest(range(start, end_pos + 1)) AS pos FROM halves) t GROUP BY contig_idx, pos",
+    ),
+)
+def _(spark, sf):
+    return pileup.depth(_spliced(spark, sf))
+
+
+@registered(
+    "count_features_spliced",
+    sql.with_ctes(
+        sql.ALIGN, sql.EXONS, sql.MAPPED, _HALVES,
+        """hits AS (SELECT h.template_id, min(e.exon_id) AS exon_id FROM halves h JOIN exons e
+  ON h.contig_idx = e.contig_idx AND h.start <= e.end_pos AND e.start <= h.end_pos GROUP BY h.template_id HAVING count(DISTINCT e.exon_id) = 1)""",
+        select="SELECT e.exon_id, count(h.template_id) AS n FROM exons e LEFT JOIN hits h USING (exon_id) GROUP BY e.exon_id",
+    ),
+)
+def _(spark, sf):
+    return features.count_features(_spliced(spark, sf), v.exons(spark, sf)).select("exon_id", "n")
+
+
 def _call_sql(call_conf: float, emit_conf: float) -> str:
     return sql.with_ctes(
         sql.ALIGN, sql.bases("is_unmapped = 0 AND mapq >= 20"),
@@ -724,13 +763,13 @@ recal AS (
 @registered(
     "run_dna",
     sql.with_ctes(
-        sql.ALIGN, sql.SITES, sql.records(400), _RECORD_BASES.replace("NOT IN (SELECT (contig_idx, pos) FROM known_sites)", "NOT IN (SELECT (contig_idx, pos) FROM known_sites) AND pos % 211 <> 0"), sql.RECALIBRATED,
+        sql.ALIGN, sql.SITES, sql.records(4000), _RECORD_BASES.replace("NOT IN (SELECT (contig_idx, pos) FROM known_sites)", "NOT IN (SELECT (contig_idx, pos) FROM known_sites) AND pos % 211 <> 0"), sql.RECALIBRATED,
         "strong AS (SELECT * FROM fresh WHERE new_qual >= 10 AND mapq >= 20)", sql.calls("strong", 30, 30, "new_qual"),
         select="SELECT contig_idx, pos, ref, alt, qual, gt, depth, alt_count, filter FROM called",
     ),
 )
 def _(spark, sf):
-    reads = materialize(v.with_sequence(v.read_records(spark, sf, 400)))
+    reads = materialize(v.with_sequence(v.read_records(spark, sf, 4000)))
     cells = materialize(v.reference_cells(spark, sf, pileup.PILEUP_BIN))
     planted = v.contigs(spark, sf).selectExpr("contig_idx", "explode(sequence(211L, length, 211L)) AS pos")
     sites = v.known_sites(spark, sf).select("contig_idx", "pos").unionByName(planted)
@@ -768,13 +807,13 @@ bases AS (SELECT contig_idx, pos, qual, {sql.varied_letter("pos")} AS ref_base,
 @registered(
     "run_rna",
     sql.with_ctes(
-        sql.ALIGN, sql.records(400, "read_id % 4 = 0", 500), _SPLICED_BASES,
+        sql.ALIGN, sql.records(4000, "read_id % 4 = 0", 500), _SPLICED_BASES,
         "strong AS (SELECT * FROM bases WHERE qual >= 10)", sql.calls("strong", 20, 20),
         select="SELECT contig_idx, pos, ref, alt, qual, gt, depth, alt_count, filter FROM called",
     ),
 )
 def _(spark, sf):
-    reads = materialize(v.with_sequence(v.read_records(spark, sf, 400)))
+    reads = materialize(v.with_sequence(v.read_records(spark, sf, 4000)))
     half = F.floor(F.col("read_len") / 2)
     spliced = reads.filter("cigar NOT LIKE '%S%'").withColumn(
         "cigar", F.concat(half.cast("string"), F.lit("M500N"), (F.col("read_len") - half).cast("string"), F.lit("M"))
@@ -960,6 +999,21 @@ def _(spark, sf):
     )
 
 
+@registered(
+    "sam_libraries",
+    sql.with_ctes(
+        sql.ALIGN,
+        select="""SELECT concat('t', CAST(template_id AS VARCHAR)) AS template_id, start, library AS rg_id,
+ CASE library WHEN 'lib0' THEN 'L1' WHEN 'lib1' THEN 'L1' ELSE library END AS library FROM alignments WHERE read_id % 41 <> 0""",
+    ),
+)
+def _(spark, sf):
+    heads = v.contigs(spark, sf).filter("contig_idx < 2").selectExpr("concat('@RG\tID:lib', contig_idx, '\tSM:S\tLB:L1') AS value")
+    lines = heads.unionByName(_sam_lines(spark, sf))
+    found = sam.to_alignments(sam.parse_sam_lines(lines), v.contigs(spark, sf), sam.parse_read_groups(lines))
+    return found.select("template_id", "start", "rg_id", "library")
+
+
 @registered(
     "rejected_sam_lines", sql.with_ctes(sql.ALIGN, select="SELECT count(*) AS rejected FROM alignments WHERE read_id % 41 = 0")
 )
@@ -1003,6 +1057,28 @@ def _(spark, sf):
     )
 
 
+_TWO_SAMPLES = """concat('chr', {t}(contig_idx + 1), {tab}, {t}(pos), {tab}, 'v', {t}(variant_id), {tab}, ref, {tab}, alt, {tab},
+ {t}(variant_id % 1000), '.00', {tab}, 'q10', {tab}, 'DP=', {t}(variant_id % 60), ';DB;FS=1.5', {tab}, 'GT:AD', {tab}, '0/1:3,',
+ {t}(variant_id % 9), {tab}, '1/1:0,', {t}(shard))"""
+
+
+@registered(
+    "vcf_round_trip",
+    sql.with_ctes(
+        sql.VARIANTS,
+        """ranked AS (SELECT *, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY variant_id % 1000 DESC, shard, variant_id) AS rn FROM variants)""",
+        select=f"SELECT {_TWO_SAMPLES.format(t='', tab='chr(9)')} AS value FROM ranked WHERE rn = 1",
+    ),
+)
+def _(spark, sf):
+    text = F.expr(_TWO_SAMPLES.format(t="string", tab="char(9)"))
+    lines = v.variants(spark, sf).select("shard", text.alias("value"))
+    named = vcf.parse_vcf_lines(lines).withColumns(
+        {"contig_idx": F.substring("contig", 4, 9).cast("long") - 1, "variant_id": F.substring("id", 2, 20).cast("long")}
+    )
+    return vcf.vcf_lines(variants.combine_variants(named)).select("value")
+
+
 @registered(
     "read_bed", sql.with_ctes(sql.EXONS, select="SELECT concat('c', CAST(contig_idx AS VARCHAR)) AS contig, start, end_pos FROM exons")
 )

@@ -148,10 +148,11 @@ QUALITY_TEXT = "array_join(transform(sequence(0L, read_len - 1), off -> char(35
 def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
     """Full reads of pairs: CIGAR and quality text, starts folded so that copies occur.
 
-    Mates are the line items 1 and 2 of an order; a lone line item is an unpaired read.
+    Mates are the line items 1 and 2, 3 and 4, 5 and 6 of an order; one without its partner is an unpaired read.
     """
     return (
-        spread_small(alignments(spark, sf_dir).filter("mate_no <= 2"), "read_id")
+        spread_small(alignments(spark, sf_dir), "read_id")
+        .withColumn("template_id", F.expr("template_id * 4 + (mate_no - 1) div 2"))
         .withColumns(
             {
                 "contig_idx": F.expr("template_id % 5"),

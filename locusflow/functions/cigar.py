@@ -69,6 +69,33 @@ def unclipped_5p(start: str, end: str, cigar: str, is_reverse: str) -> Column:
     return F.when(reverse, F.col(end) + trailing_clip(cigar)).otherwise(F.col(start) - leading_clip(cigar))
 
 
+def clip_cigar(cigar: str | Column, allowed: Column) -> Column:
+    """The CIGAR with at most ``allowed`` bases of the reference; what lies beyond is soft-clipped.
+
+    Insertions beyond count as clipped bases, deletions and introns there go.  An
+    alignment without an aligned base left is one soft clip; hard clips stay.
+    """
+    text = F.col(cigar) if isinstance(cigar, str) else cigar
+    ops = parse_cigar(text)
+
+    def before(i: Column) -> Column:
+        spans = F.transform(F.slice(ops, F.lit(1), i), lambda o: F.when(o["op"].isin(*REFERENCE_OPS), o["len"]).otherwise(0))
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda total, n: total + n)
+
+    placed = F.transform(ops, lambda o, i: F.struct(o["op"].alias("op"), o["len"].alias("len"), before(i).alias("ref"), i.alias("i")))
+    aligned = F.filter(placed, lambda o: o["op"].isin("M", "=", "X") & (o["ref"] < allowed))
+    last = F.coalesce(F.array_max(F.transform(aligned, lambda o: o["i"])), F.lit(-1))
+    kept = F.filter(placed, lambda o: (o["i"] <= last) | ((last < 0) & (o["op"] == "H") & (o["i"] == 0)))
+    trimmed = F.transform(kept, lambda o: F.when(o["i"] == last, F.least(o["len"], allowed - o["ref"])).otherwise(o["len"]))
+    used = F.aggregate(
+        F.zip_with(kept, trimmed, lambda o, n: F.when(o["op"].isin(*QUERY_OPS), n).otherwise(0)), F.lit(0).cast("long"), lambda total, n: total + n
+    )
+    clipped = query_length(text) - used
+    body = F.array_join(F.zip_with(kept, trimmed, lambda o, n: F.concat(n.cast("string"), o["op"])), "")
+    tail = F.regexp_extract(text, "[MIDNSP=X](\\d+H)$", 1)
+    return F.concat(body, F.when(clipped > 0, F.concat(clipped.cast("string"), F.lit("S"))).otherwise(""), tail)
+
+
 def split_n_reads(reads: DataFrame, with_sequence: bool = False) -> DataFrame:
     """One row per stretch between introns (``N``), with its own ``start``, ``end_pos`` and ``cigar``.
 

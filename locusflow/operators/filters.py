@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from locusflow.functions.cigar import clip_cigar
 from locusflow.operators.joins import spread_join
 
 #: SAM flag bit of a duplicate read.
+NOT_PRIMARY = 0x100 | 0x200 | 0x800
 DUPLICATE_FLAG = 0x400
 
 
@@ -53,20 +55,33 @@ def filter_mapped_observed(
     return filter_mapped(watched, paired, keep_cross_contig), seen
 
 
+def primary_reads(df: DataFrame, flag: str = "flag") -> DataFrame:
+    """Drop secondary and supplementary alignments and reads that failed quality checks, where ``flag`` tells."""
+    if flag not in df.columns:
+        return df
+    return df.filter(F.coalesce(F.col(flag).cast("int"), F.lit(0)).bitwiseAND(F.lit(NOT_PRIMARY)) == 0)
+
+
 def remove_duplicates(df: DataFrame, flag: str = "flag") -> DataFrame:
     """Drop reads whose duplicate flag is set."""
     return df.filter(F.col(flag).bitwiseAND(F.lit(DUPLICATE_FLAG)) == 0)
 
 
 def clean_alignments(df: DataFrame, contigs: DataFrame, keep_unmapped: bool = True, **join_options) -> DataFrame:
-    """Mapping quality 0 for unmapped reads; alignments end at the contig end at the latest."""
+    """Mapping quality 0 for unmapped reads; alignments end at the contig end at the latest.
+
+    Where there is a ``cigar``, the bases past the end become a soft clip.
+    """
     lengths = contigs.select("contig_idx", F.col("length").alias("__length"))
     known = spread_join(df, lengths, ["contig_idx"], "left", **join_options)
     unmapped = F.col("is_unmapped").cast("int") == 1
+    over = (F.col("end_pos") > F.col("__length")) & (F.col("cigar") != "*")
+    clipped = F.when(over, clip_cigar("cigar", F.col("__length") - F.col("start") + 1)).otherwise(F.col("cigar"))
     cleaned = known.withColumns(
         {
             "mapq": F.when(unmapped, F.lit(0)).otherwise(F.col("mapq")),
             "end_pos": F.least("end_pos", F.coalesce("__length", "end_pos")),
+            **({"cigar": clipped} if "cigar" in df.columns else {}),
         }
     ).drop("__length")
     return cleaned if keep_unmapped else cleaned.filter(~unmapped)

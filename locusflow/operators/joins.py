@@ -95,6 +95,8 @@ def spread_join(
     """
     left = left.filter(" AND ".join(f"{k} IS NOT NULL" for k in on)) if how in ("inner", "left_semi") else left
     renamed = right.withColumnsRenamed({k: f"__k_{k}" for k in on})
+    if left.isStreaming:  # Every micro-batch is joined as it comes; there is nothing to count beforehand.
+        return _match(left, renamed, on, how, condition)
     if fits_broadcast(renamed, broadcast_limit):
         return _match(left, F.broadcast(renamed), on, how, condition)
 

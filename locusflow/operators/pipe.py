@@ -34,7 +34,7 @@ def pipe_partitions(df: DataFrame, command: Sequence[str], column: str = "value"
     argv = list(command)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        process = subprocess.Popen(argv, stdin=subprocess.PIPE, stdout=subprocess.PIPE, text=True, encoding="utf-8")
+        process = subprocess.Popen(argv, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
         failure: list[BaseException] = []
 
         def feed() -> None:
@@ -42,7 +42,7 @@ def pipe_partitions(df: DataFrame, command: Sequence[str], column: str = "value"
                 for batch in batches:
                     lines = batch.column(0).to_pylist()
                     if lines:
-                        process.stdin.write("\n".join(line or "" for line in lines) + "\n")
+                        process.stdin.write(("\n".join(line or "" for line in lines) + "\n").encode())
             except BrokenPipeError:
                 pass  # The exit code tells whether the command stopped early on purpose.
             except BaseException as error:  # noqa: BLE001 - handed to the task thread
@@ -57,7 +57,7 @@ def pipe_partitions(df: DataFrame, command: Sequence[str], column: str = "value"
         writer.start()
         held: list[str] = []
         for line in process.stdout:
-            held.append(line.rstrip("\n"))
+            held.append(line.removesuffix(b"\n").decode())  # only a line feed ends a line
             if len(held) >= BATCH_LINES:
                 yield pa.RecordBatch.from_pydict({"value": pa.array(held, pa.string())})
                 held = []

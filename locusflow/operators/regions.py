@@ -6,6 +6,8 @@ dictionary plus the requested number of regions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from locusflow.operators.intervals import explode_bins, interval_join, merge_intervals
@@ -25,11 +27,6 @@ DICT_CELL = 65_536
 RETRY = 0.95
 
 
-def requested_regions(nodes: int, reducers_per_node: int) -> int:
-    """Number of regions for a cluster: at least 26, else 1.75 waves of tasks."""
-    return max(26, int(1.75 * nodes * reducers_per_node))
-
-
 def _sized(contigs: DataFrame, target: Column) -> DataFrame:
     """Contigs with target length, number of pieces and, if shorter than the target, the pack they fall in.
 
@@ -48,24 +45,26 @@ def _sized(contigs: DataFrame, target: Column) -> DataFrame:
     ).drop("__cell", "__before")
 
 
-def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False, max_retries: int = 60) -> DataFrame:
+def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False) -> DataFrame:
     """Regions ``(region_key, contig_idx, start, end_pos)`` of about ``total / n`` bases.
 
     Contigs shorter than the target are packed in dictionary order; longer ones are
     cut into equal pieces.  Packed keys come first and may leave numbers out.  With
-    ``retry`` the number is lowered in steps of 5 % until at most ``n`` keys result;
-    all steps are evaluated in one job instead of a driver loop.
+    ``retry`` the number is lowered in steps of 5 % until at most ``n`` keys result; the
+    steps go on until all contigs fit one pack, so one of them always does.  All are
+    evaluated in one job instead of a driver loop.
     """
     lengths = contigs.select("contig_idx", F.col("length").cast("long").alias("length"))
     total = lengths.agg(F.sum("length").alias("t"))
-    steps = F.sequence(F.lit(0), F.lit(max_retries if retry else 0))
+    last = math.ceil(math.log(n * (PACK_FACTOR + 1)) / -math.log(RETRY)) + 1 if retry else 0
+    steps = F.sequence(F.lit(0), F.lit(last))
     tried = lengths.withColumn("__step", F.explode(steps))
-    asked = F.greatest(F.lit(1), F.floor(F.lit(n) * F.pow(F.lit(RETRY), F.col("__step"))))
-    sized = _sized(tried, F.floor(total.scalar() / asked))
+    asked = F.lit(n) * F.pow(F.lit(RETRY), F.col("__step"))
+    sized = _sized(tried, F.greatest(F.lit(1).cast("long"), F.floor(total.scalar() / asked)))
     if retry:
         per_pack = sized.groupBy("__step", "__pack").agg(F.sum("__pieces").alias("p"))
         keys = per_pack.groupBy("__step").agg(F.sum(F.when(F.col("__pack").isNull(), F.col("p")).otherwise(1)).alias("k"))
-        fits = F.when((F.col("k") <= n) | (F.col("__step") == max_retries), F.col("__step"))
+        fits = F.when(F.col("k") <= n, F.col("__step"))
         chosen = keys.agg(F.min(fits).alias("s"))
         sized = sized.filter(F.col("__step") == chosen.scalar())
 
@@ -135,7 +134,7 @@ def plan_regions_by_load(bin_counts: DataFrame, n: int, scan_rows: int = 10_000_
     """
     total = bin_counts.agg(F.greatest(F.lit(1), F.floor(F.sum("reads") / n)).alias("__target"))
     cells = bin_counts.withColumns(
-        {"__all": F.lit(0), "__cell": F.expr(f"contig_idx * 100000 + bigint(start) div {scan_rows}")}
+        {"__all": F.lit(0), "__cell": F.struct(F.col("contig_idx").cast("long"), F.expr(f"bigint(start) div {scan_rows}"))}
     )
     summed = running_sum_before(cells, ["__all"], "__cell", ["contig_idx", "start"], "reads", "__before")
     keyed = summed.withColumn("__target", total.scalar()).withColumn("region_key", F.expr("__before div __target"))

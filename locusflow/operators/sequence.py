@@ -52,6 +52,8 @@ def read_bases(
     cells of ``width`` bases as returned by ``read_reference``.  Stretches are cut at
     cell borders and meet their cell (and the sites to ``exclude``) by one join of
     reads; only then are they exploded, so bases themselves are never shuffled.
+    Reads on a contig or past an end that ``reference`` does not hold are an error, not
+    a silent loss; ``clean_alignments`` clips those that hang over a contig's end.
     """
     mapped = reads.filter((F.col("is_unmapped").cast("int") == 0) & (F.col("cigar") != "*"))
     blocks = aligned_blocks(mapped.select(*keep, "start", "cigar", "seq", "qual")).drop("cigar")
@@ -59,7 +61,9 @@ def read_bases(
         "cell", F.explode(F.sequence(F.expr(f"block_start div {width}"), F.expr(f"block_end div {width}")))
     )
     cells = reference.select("contig_idx", "cell", F.col("seq").alias("__ref"))
-    joined = spread_join(pieces, cells, ["contig_idx", "cell"], "inner", **join_options)
+    joined = spread_join(pieces, cells, ["contig_idx", "cell"], "left", **join_options)
+    lost = F.raise_error(F.concat(F.lit("no reference sequence for contig "), F.col("contig_idx").cast("string"), F.lit(" cell "), F.col("cell").cast("string")))
+    joined = joined.withColumn("__ref", F.coalesce("__ref", lost))
     lo = F.greatest(F.col("block_start"), F.col("cell") * width)
     hi = F.least(F.col("block_end"), F.col("cell") * width + (width - 1))
     covered = F.sequence(lo, hi)

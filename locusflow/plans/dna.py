@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from locusflow.functions.cigar import split_n_reads
 from locusflow.operators.duplicates import mark_duplicates
-from locusflow.operators.filters import filter_mapped
+from locusflow.operators.filters import filter_mapped, primary_reads
 from locusflow.operators.intervals import merge_intervals
 from locusflow.operators.pileup import call_snps
 from locusflow.operators.recalibrate import apply_recalibration, recalibration_table
@@ -53,7 +53,7 @@ def run_dna(
     Without known sites there is nothing to recalibrate against and the step is left
     out.  The recalibration table (small) is computed eagerly; all else stays lazy.
     """
-    marked = mark_duplicates(filter_mapped(reads, paired, keep_cross_contig))
+    marked = mark_duplicates(primary_reads(filter_mapped(reads, paired, keep_cross_contig)))
     unique = marked.filter("is_duplicate = 0")
     bases = read_bases(unique, reference) if known_sites is None else _recalibrated(unique, reference, known_sites)
     return Calls(
@@ -76,18 +76,18 @@ def run_rna(
 ) -> Calls:
     """As ``run_dna`` with spliced reads cut at introns after duplicates are marked.
 
-    ``label`` adds cluster and bias labels where ``fs`` and ``qd`` are known to the
-    caller; ``annotate`` attaches known-site ids (``site_id`` in ``known_sites``).
+    ``label`` adds strand bias ``fs`` and quality by depth ``qd`` with the labels by them
+    and by clustering; ``annotate`` attaches known-site ids (``site_id`` in ``known_sites``).
     """
     min_base_quality, min_mapq = options.get("min_base_quality", 17), options.get("min_mapq", 20)
     kept = filter_mapped(reads, options.get("paired", True), options.get("keep_cross_contig", True))
-    marked = mark_duplicates(kept)
+    marked = mark_duplicates(primary_reads(kept))
     segments = split_n_reads(marked.filter("is_duplicate = 0"), with_sequence=True)
     bases = read_bases(segments, reference) if known_sites is None else _recalibrated(segments, reference, known_sites)
-    called = call_snps(bases, call_conf, emit_conf, min_base_quality, min_mapq)
+    called = call_snps(bases, call_conf, emit_conf, min_base_quality, min_mapq, strand_bias=label)
     if label:
-        scored = called.withColumns({"fs": F.lit(0.0), "qd": F.col("qual") / F.greatest(F.col("depth"), F.lit(1))})
-        called = filter_variants(scored.withColumnRenamed("filter", "confidence")).drop("fs")
+        scored = called.withColumn("qd", F.col("qual") / F.greatest(F.col("depth"), F.lit(1)))
+        called = filter_variants(scored.withColumnRenamed("filter", "confidence"))
     if annotate and known_sites is not None:
         called = annotate_variants(called, known_sites)
     return Calls(variants=called, reads=marked, islands=merge_intervals(segments), targets=realign_targets(segments))

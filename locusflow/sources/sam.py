@@ -82,10 +82,28 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_sam_lines(spark.read.text(path))
 
 
-def to_alignments(sam: DataFrame, contigs: DataFrame, **join_options) -> DataFrame:
+def parse_read_groups(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``(rg_id, rg_lb, rg_sm, rg_pl, rg_pu)`` of the ``@RG`` header lines; an absent field is null."""
+    entries = split_fields(lines.select(column).filter(F.col(column).startswith("@RG\t")), column)
+
+    def field(tag: str) -> Column:
+        return F.get(F.transform(F.filter("__f", lambda f: f.startswith(f"{tag}:")), lambda f: F.substring(f, F.lit(4), F.length(f))), F.lit(0))
+
+    names = ("ID", "LB", "SM", "PL", "PU")
+    groups = entries.select(*[field(n).alias(f"rg_{n.lower()}") for n in names]).filter("rg_id IS NOT NULL")
+    return groups.groupBy("rg_id").agg(*[F.min(f"rg_{n.lower()}").alias(f"rg_{n.lower()}") for n in names[1:]])
+
+
+def read_groups(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return parse_read_groups(spark.read.text(path))
+
+
+def to_alignments(sam: DataFrame, contigs: DataFrame, groups: DataFrame | None = None, **join_options) -> DataFrame:
     """Parsed SAM records in the column names the operators use; contigs become dictionary indexes.
 
-    An unknown or absent contig gets index -1.  The read name is the template.
+    An unknown or absent contig gets index -1.  The read name is the template.  The
+    library is that of the read's group in ``groups`` (see ``parse_read_groups``), else the
+    group itself.
     """
     index = contigs.select(F.col("contig").alias("rname"), F.col("contig_idx").alias("__own"))
     mates = contigs.select(F.col("contig").alias("__mate"), F.col("contig_idx").alias("__other"))
@@ -97,7 +115,11 @@ def to_alignments(sam: DataFrame, contigs: DataFrame, **join_options) -> DataFra
     def bit(mask: int) -> Column:
         return (flag.bitwiseAND(F.lit(mask)) != 0).cast("int")
 
-    group = F.try_element_at("tags", F.lit("RG"))
+    found = found.withColumn("rg_id", F.try_element_at("tags", F.lit("RG")))
+    library = F.col("rg_id")
+    if groups is not None:
+        found = spread_join(found, groups.select("rg_id", F.col("rg_lb").alias("__lb")), ["rg_id"], "left", **join_options)
+        library = F.coalesce("__lb", "rg_id")
     return found.select(
         F.concat_ws("/", "qname", F.when(bit(0x40) == 1, "1").when(bit(0x80) == 1, "2").otherwise("0")).alias("read_id"),
         F.col("qname").alias("template_id"),
@@ -112,6 +134,6 @@ def to_alignments(sam: DataFrame, contigs: DataFrame, **join_options) -> DataFra
         bit(REVERSE).alias("is_reverse"),
         bit(UNMAPPED).alias("is_unmapped"),
         "cigar", "seq", "qual",
-        group.alias("rg_id"),
-        group.alias("library"),
+        "rg_id",
+        library.alias("library"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from locusflow.sources.lines import split_fields
 
 # Fixed values of the VCF format: column order and the format line.
@@ -31,7 +31,10 @@ def _info(text: Column) -> Column:
 
 
 def parse_vcf_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Variants ``(contig, pos, id, ref, alt, qual, filter, info, format, sample, gt)``; header lines dropped."""
+    """Variants ``(contig, pos, id, ref, alt, qual, filter, info, info_text, format, samples, sample, gt)``; header lines dropped.
+
+    ``samples`` holds the text of every sample column, ``info_text`` that of INFO; ``sample`` and ``gt`` are the first sample's.
+    """
     body = split_fields(lines.filter(~F.col(column).startswith("#")), column)
     place = F.get("__f", F.lit(1)).try_cast("long")
 
@@ -42,7 +45,8 @@ def parse_vcf_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         *[c for c in body.columns if c != "__f"],
         at(0).alias("contig"), place.alias("pos"), _missing(at(2)).alias("id"), at(3).alias("ref"), at(4).alias("alt"),
         at(5).try_cast("double").alias("qual"), _missing(at(6)).alias("filter"), _info(at(7)).alias("info"),
-        at(8).alias("format"), at(9).alias("sample"),
+        _missing(at(7)).alias("info_text"), at(8).alias("format"),
+        F.slice("__f", F.lit(10), F.greatest(F.size("__f") - 9, F.lit(0))).alias("samples"), at(9).alias("sample"),
         F.when(at(8).startswith("GT"), F.substring_index(at(9), ":", 1)).alias("gt"),
     )
 
@@ -53,19 +57,38 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_vcf_lines(lines.select("value", F.col("_metadata.file_name").alias("shard")))
 
 
+def read_vcf_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Header lines ``(line_no, value)`` of the first ``.vcf`` file by name; a header is small."""
+    lines = spark.read.option("pathGlobFilter", "*.vcf").option("recursiveFileLookup", "true").text(paths)
+    named = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+    head = named.filter(F.col("value").startswith("#")).withColumn("id", F.monotonically_increasing_id())
+    first = head.agg(F.min("path").alias("path"))
+    order = Window.partitionBy("path").orderBy("block", "id")
+    return head.join(F.broadcast(first), "path").select((F.row_number().over(order) - 1).cast("long").alias("line_no"), "value")
+
+
 def vcf_lines(variants: DataFrame, sample: str = "SAMPLE1") -> DataFrame:
-    """Variants as ``(contig_idx, pos, value)`` text lines with two decimals of quality."""
+    """Variants as ``(contig_idx, pos, value)`` text lines with two decimals of quality.
+
+    INFO, FORMAT and all samples come from ``info_text``, ``format`` and ``samples`` where there are such
+    columns; else ``depth`` and ``gt`` are written.
+    """
 
     def text(name: str, default: str = ".") -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(default)) if name in variants.columns else F.lit(default)
 
-    quality = F.coalesce(F.format_string("%.2f", "qual"), F.lit(".")) if "qual" in variants.columns else F.lit(".")
+    quality = F.when(F.col("qual").isNotNull(), F.format_string("%.2f", "qual")).otherwise(".") if "qual" in variants.columns else F.lit(".")
     info = F.lit(".")
     if "depth" in variants.columns:
         info = F.concat(F.lit("DP="), F.col("depth").cast("string"))
+    if "info_text" in variants.columns:
+        info = F.coalesce("info_text", info)
+    values = [text("format", "GT"), text("gt", "./.")]
+    if "samples" in variants.columns:
+        values = [F.coalesce("format", F.when(F.size("samples") > 0, "GT")), F.when(F.size("samples") > 0, F.array_join("samples", "\t"))]
     fields = [
         text("contig"), text("pos"), text("id"), text("ref"), text("alt"), quality, text("filter"), info,
-        F.lit("GT"), text("gt", "./."),
+        *values,
     ]
     return variants.select("contig_idx", "pos", F.concat_ws("\t", *fields).alias("value"))
 
@@ -82,16 +105,25 @@ def header_lines(spark: SparkSession, contigs: DataFrame, sample: str = "SAMPLE1
     return ends.unionByName(named).select(F.col("rank").cast("long").alias("contig_idx"), "pos", "value")
 
 
-def write_vcf(variants: DataFrame, path: str, contigs: DataFrame, sample: str = "SAMPLE1") -> None:
+def write_vcf(
+    variants: DataFrame, path: str, contigs: DataFrame, sample: str = "SAMPLE1", header: DataFrame | None = None
+) -> None:
     """One ordered call set: header and variants in a single range sort, part files in order.
 
     Parts are not forced into one task; concatenated by name they form one file.
+    ``header`` (as ``read_vcf_header`` returns it) is written instead of a made one.  A
+    variant on a contig that ``contigs`` does not name is an error.
     """
     spark = variants.sparkSession
     named = variants
     if "contig" not in variants.columns:
-        named = variants.join(contigs.select("contig_idx", "contig"), "contig_idx")
-    lines = header_lines(spark, contigs, sample).unionByName(
+        unknown = F.raise_error(F.concat(F.lit("unknown contig index "), F.col("contig_idx").cast("string")))
+        named = variants.join(contigs.select("contig_idx", "contig"), "contig_idx", "left")
+        named = named.withColumn("contig", F.coalesce("contig", unknown))
+    head = header_lines(spark, contigs, sample) if header is None else header.select(
+        F.lit(-3).cast("long").alias("contig_idx"), F.col("line_no").alias("pos"), "value"
+    )
+    lines = head.unionByName(
         vcf_lines(named, sample).withColumn("contig_idx", F.col("contig_idx").cast("long"))
     )
     ordered = lines.orderBy("contig_idx", "pos", "value").select("value")

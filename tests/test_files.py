@@ -169,3 +169,28 @@ def test_pipe(spark):
     assert pipe.build_command("x", {"x": ["tool"]}, {"x": "-k 'a b'"}) == ["tool", "-k", "a b"]
     with pytest.raises(ValueError, match="unknown tool"):
         pipe.build_command("x", {"x": ["tool"]}, {"y": "-k"})
+
+
+def test_pipe_keeps_carriage_returns(spark):
+    df = spark.createDataFrame([("a\rb",), ("c\r",), ("",)], "value string").coalesce(1)
+    assert [r["value"] for r in pipe.pipe_partitions(df, ["cat"]).collect()] == ["a\rb", "c\r", ""]
+
+
+def test_vcf_keeps_header_info_format_and_samples(spark, tmp_path):
+    body = ["c1\t5\tx\tA\tC\t7.00\tPASS\tDP=5;FS=1.5;DB\tGT:AD\t0/1:3,2\t1/1:0,9", "c1\t9\t.\tG\tT\t.\t.\t.\t.\t."]
+    head = ["##fileformat=VCFv4.2", "##INFO=<ID=DP>", "##contig=<ID=c1,length=50>", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.vcf").write_text("\n".join([*head, *body]) + "\n")
+    (tmp_path / "in" / "b.vcf").write_text("##other\n#CHROM\n")
+    contigs = spark.createDataFrame([(0, "c1", 50)], "contig_idx long, contig string, length long")
+    found = vcf.read_vcf(spark, str(tmp_path / "in")).join(contigs.select("contig", "contig_idx"), "contig")
+    assert found.orderBy("pos").first()["samples"] == ["0/1:3,2", "1/1:0,9"]
+    vcf.write_vcf(found, str(tmp_path / "out"), contigs, header=vcf.read_vcf_header(spark, str(tmp_path / "in")))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert text.splitlines() == [*head, *body]
+
+
+def test_libraries_come_from_the_header(spark, lines):
+    header = lines("@RG\tID:a\tLB:one\tSM:s", "@RG\tID:b\tPL:X\tLB:one", "@SQ\tSN:c1\tLN:9")
+    groups = {r["rg_id"]: (r["rg_lb"], r["rg_sm"], r["rg_pl"]) for r in sam.parse_read_groups(header).collect()}
+    assert groups == {"a": ("one", "s", None), "b": ("one", None, "X")}
