@@ -14,6 +14,8 @@ ISLAND_GAP = 51
 SITE_PAD = 301
 #: Axis bin of the merging scan; a task sorts at most this many start positions.
 SCAN_BIN = 16_384
+#: Each level of join bins is so many times as wide as the one below; the widest spans any contig.
+LEVEL_FACTOR, LONGEST_INTERVAL = 16, 1 << 33
 #: Join bin when no width is given and the right side is empty.
 JOIN_BIN = 1_024
 
@@ -37,6 +39,38 @@ def median_bin_width(intervals: DataFrame) -> int:
     return max(16, 2 * int(median)) if median else JOIN_BIN
 
 
+def _widths(base: int) -> list[int]:
+    """Bin widths of all levels, up to one that spans any contig."""
+    widths = [base]
+    while widths[-1] < LONGEST_INTERVAL:
+        widths.append(widths[-1] * LEVEL_FACTOR)
+    return widths
+
+
+def _level(start: str, end: str, widths: list[int]) -> Column:
+    """Lowest level whose bins are as wide as the interval is long."""
+    length = F.col(end).cast("long") - F.col(start).cast("long") + 1
+    level = F.lit(len(widths) - 1)
+    for i in range(len(widths) - 2, -1, -1):
+        level = F.when(length <= widths[i], F.lit(i)).otherwise(level)
+    return level
+
+
+def _explode_levels(df: DataFrame, widths: list[int], others: list[int], start: str, end: str) -> DataFrame:
+    """Copies of each interval in the bins it touches, two at most per level: at its own level and at each higher one in ``others``."""
+    own = _level(start, end, widths)
+    none = F.array().cast("array<struct<l:int,b:bigint>>")
+
+    def at(i: int, width: int) -> Column:
+        bins = F.sequence(F.expr(f"bigint({start}) div {width}"), F.expr(f"bigint({end}) div {width}"))
+        here = F.transform(bins, lambda b: F.struct(F.lit(i).alias("l"), b.alias("b")))
+        return F.when((own == i) | ((own < i) & F.lit(i in others)), here).otherwise(none)
+
+    places = [at(i, width) for i, width in enumerate(widths)]
+    placed = df.filter(F.col(end) >= F.col(start)).withColumn("__place", F.explode(F.flatten(F.array(*places))))
+    return placed.withColumns({"__level": F.col("__place.l"), "__bin": F.col("__place.b")}).drop("__place")
+
+
 def interval_join(
     a: DataFrame,
     b: DataFrame,
@@ -47,22 +81,29 @@ def interval_join(
 ) -> DataFrame:
     """All overlapping pairs of ``a`` and ``b`` (columns ``contig_idx, start, end_pos``).
 
-    Both sides are cut into bins and joined on ``(contig, bin)``.  A pair meeting in
-    several bins is kept only in the first bin both touch, so no ``distinct`` is
-    needed and the result does not depend on the width.  Columns of ``b`` come out
-    with ``prefix``.
+    Both sides are cut into bins of several levels of width and joined on ``(contig,
+    level, bin)``.  An interval lies at the level of its own length, where it touches two
+    bins at most, and at the higher levels of the other side: a pair meets at the level of
+    its longer member, in the first bin both touch.  So an interval of any length is
+    copied a few times only, no ``distinct`` is needed, and the result does not depend on
+    ``bin_width``, the width of the lowest level.  One aggregate over ``b`` finds that
+    width and the levels in use.  Columns of ``b`` come out with ``prefix``.
     """
-    width = bin_width or median_bin_width(b)
+    widths = _widths(bin_width or median_bin_width(b))
+    used = b.filter("end_pos >= start").agg(F.collect_set(_level("start", "end_pos", widths)).alias("l")).first()["l"]
     right = b.withColumnsRenamed({c: f"{prefix}{c}" for c in b.columns})
-    right = explode_bins(right, width, "__bin", f"{prefix}start", f"{prefix}end_pos").withColumnRenamed(
+    right = _explode_levels(right, widths, list(range(len(widths))), f"{prefix}start", f"{prefix}end_pos").withColumnRenamed(
         f"{prefix}contig_idx", "contig_idx"
     )
-    left = explode_bins(a, width, "__bin")
+    left = _explode_levels(a, widths, used, "start", "end_pos")
     bs, be = F.col(f"{prefix}start"), F.col(f"{prefix}end_pos")
+    width = f"element_at(array({', '.join(f'{w}L' for w in widths)}), __level + 1)"
     first_shared = F.greatest(F.expr(f"bigint(start) div {width}"), F.expr(f"bigint({prefix}start) div {width}"))
-    overlap = (F.col("start") <= be) & (bs <= F.col("end_pos")) & (F.col("__bin") == first_shared)
-    joined = spread_join(left, right, ["contig_idx", "__bin"], "inner", overlap, salt_on, **join_options)
-    return joined.drop("__bin")
+    longer = F.greatest(_level("start", "end_pos", widths), _level(f"{prefix}start", f"{prefix}end_pos", widths))
+    overlap = (F.col("start") <= be) & (bs <= F.col("end_pos")) & (F.col("__bin") == first_shared) & (F.col("__lvl") == longer)
+    # The level is part of the key; under a second name the condition can use it on either side.
+    joined = spread_join(left.withColumn("__lvl", F.col("__level")), right, ["contig_idx", "__level", "__bin"], "inner", overlap, salt_on, **join_options)
+    return joined.drop("__level", "__lvl", "__bin")
 
 
 def merge_intervals(df: DataFrame, gap: int = ISLAND_GAP, scan_bin: int = SCAN_BIN) -> DataFrame:

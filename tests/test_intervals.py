@@ -109,3 +109,21 @@ def test_salted_join_spreads_the_hot_key(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(s["count"] for s in sizes) == 4000 and len(sizes) > 1
+
+
+@pytest.mark.parametrize("options", [{}, FALLBACK])
+def test_interval_join_of_short_and_huge_intervals(spark, options):
+    rng, schema = random.Random(5), "id long, contig_idx long, start long, end_pos long"
+
+    def some(n, base):
+        spans = [rng.choice([50, 50, 50, 400, 30_000, 10_000_000, 250_000_000]) for _ in range(n)]
+        return [(base + i, i % 2, s := rng.randint(1, 3 * 10**8), s + span - rng.randint(0, 40)) for i, span in enumerate(spans)]
+
+    a_rows, b_rows = some(300, 0), some(80, 1000)
+    a_rows += [(2000, 0, 5, 4), (2001, 0, b_rows[0][2], b_rows[0][2])]
+    a, b = spark.createDataFrame(a_rows, schema), spark.createDataFrame(b_rows, schema)
+    got = I.interval_join(a, b, **options).select("id", "b_id").collect()
+    assert sorted(map(tuple, got)) == sorted((x[0], y[0]) for x in a_rows for y in b_rows if overlaps(x, y) and x[3] >= x[2])
+    widths = I._widths(100)
+    copies = I._explode_levels(a, widths, list(range(len(widths))), "start", "end_pos").groupBy("id").count()
+    assert copies.agg(F.max("count")).first()[0] <= 2 * len(widths)
