@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,8 +14,8 @@ from locusflow.operators import (
     duplicates, features, filters, intervals, pairs, pileup, pipe, recalibrate, regions, targets, variants,
 )
 from locusflow.plans import dna
-from locusflow.session import materialize
-from locusflow.sources import fastq, sam, tables, vcf
+from locusflow.session import materialize, shared_dir
+from locusflow.sources import fastq, sam, sinks, tables, vcf
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -923,6 +924,82 @@ def _(spark, sf):
     return fastq.parse_fastq_lines(_fastq_lines(spark, sf))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that a query writes and reads back."""
+    return f"{shared_dir(spark)}/locusflow/{name}-{uuid.uuid4().hex}"
+
+
+@registered(
+    "read_fastq_files",
+    """SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS name, repeat('ACGT', CAST(5 + o_custkey % 7 AS INT)) AS seq,
+ repeat('@III', CAST(5 + o_custkey % 7 AS INT)) AS qual, 1 AS mate, 'S' AS sample FROM orders""",
+)
+def _(spark, sf):
+    path = _folder(spark, "fastq")
+    records = v.table(spark, sf, "orders").selectExpr(
+        "concat_ws('\n', concat('@r', o_orderkey), repeat('ACGT', int(5 + o_custkey % 7)), '+', repeat('@III', int(5 + o_custkey % 7))) AS value"
+    )
+    records.write.text(path)
+    # Every part file is one input; their names are a list, not data.
+    files = [r["p"] for r in spark.read.text(path).select(F.input_file_name().alias("p")).distinct().collect()]
+    return fastq.read_fastq(spark, [("S", f) for f in files]).select("name", "seq", "qual", "mate", "sample")
+
+
+@registered(
+    "write_chunks",
+    """SELECT 'S' || CAST(o_orderkey % 4 AS VARCHAR) AS sample, 2 * o_orderkey + m.mate - 1 AS line, 'r' || CAST(o_orderkey AS VARCHAR) AS name,
+ repeat(CASE WHEN m.mate = 1 THEN 'AC' ELSE 'GT' END, CAST(3 + o_custkey % 5 AS INT)) AS seq FROM orders, (SELECT unnest([1, 2]) AS mate) m""",
+)
+def _(spark, sf):
+    rows = v.table(spark, sf, "orders").selectExpr(
+        "concat('S', o_orderkey % 4) AS sample", "o_orderkey AS ordinal", "concat('r', o_orderkey) AS name",
+        "explode(array(1, 2)) AS mate", "o_custkey",
+    ).withColumns(
+        {"seq": F.expr("repeat(if(mate = 1, 'AC', 'GT'), int(3 + o_custkey % 5))"), "qual": F.expr("repeat('II', int(3 + o_custkey % 5))")}
+    )
+    path = _folder(spark, "chunks")
+    sinks.write_chunks(rows, path, target_bytes=200_000).collect()
+    # Records are numbered within a sample by their order in the pieces, then tied to the order they were written in.
+    back = spark.read.text(path).select("sample", "chunk_id", "value", F.monotonically_increasing_id().alias("id"), F.col("_metadata.file_path").alias("path"))
+    first = back.groupBy("path").agg(F.min("id").alias("first"))
+    lines = back.join(first, "path").select("sample", "path", (F.col("id") - F.col("first")).alias("line_no"), "value")
+    found = fastq.parse_fastq_lines(lines, ("sample", "path"))
+    mate = F.when(F.col("seq").startswith("A"), 0).otherwise(1)
+    return found.select("sample", (F.substring("name", 2, 20).cast("long") * 2 + mate).alias("line"), "name", "seq")
+
+
+@registered(
+    "write_alignments",
+    sql.with_ctes(sql.ALIGN, select="SELECT read_id, contig_idx, start, end_pos, mapq FROM alignments WHERE is_unmapped = 0 AND contig_idx = mate_contig_idx"),
+)
+def _(spark, sf):
+    path = _folder(spark, "alignments")
+    sinks.write_alignments(v.alignments(spark, sf), path, keep_cross_contig=False)
+    back = spark.read.parquet(path).select("read_id", "contig_idx", "start", "end_pos", "mapq")
+    return back.withColumn("contig_idx", F.col("contig_idx").cast("long"))
+
+
+@registered(
+    "read_reference",
+    sql.with_ctes(
+        sql.CONTIGS,
+        "positions AS (SELECT contig_idx, unnest(range(1, length + 1)) AS p FROM contigs)",
+        select="""SELECT contig_idx, p // 1024 AS cell, count(*) AS size,
+ md5(string_agg(substr('ACGT', CAST(1 + (p * p * 37 + contig_idx * 13 + 7919) % 251 % 4 AS INT), 1), '' ORDER BY p)) AS digest
+ FROM positions GROUP BY contig_idx, p // 1024""",
+    ),
+)
+def _(spark, sf):
+    cells = v.reference_cells(spark, sf, pileup.PILEUP_BIN).join(v.contigs(spark, sf), "contig_idx")
+    # One text per contig: the fixture's contigs are short; lines of up to 1,024 bases.
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cell", "seq"))), lambda c: c["seq"]), "\n")
+    fasta = cells.groupBy("contig").agg(ordered.alias("body")).select(F.concat_ws("\n", F.concat(F.lit(">"), "contig"), "body").alias("value"))
+    path = _folder(spark, "fasta")
+    fasta.coalesce(1).write.text(path)
+    found = tables.read_reference(spark, path, v.contigs(spark, sf))
+    return found.select("contig_idx", "cell", F.length("seq").cast("long").alias("size"), F.md5("seq").alias("digest"))
+
+
 @registered(
     "pair_mates",
     """SELECT 'S' || CAST(a.o_orderkey % 4 AS VARCHAR) AS sample, a.o_orderkey AS ordinal, m.mate, 'r' || CAST(a.o_orderkey AS VARCHAR) AS name,

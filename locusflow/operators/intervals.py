@@ -186,9 +186,9 @@ def _with_reach(a: DataFrame, b: DataFrame, bin_width: int, **join_options) -> D
 
     Islands are disjoint, so ``a`` overlaps some island exactly when that end is at
     or after ``a.start``.  Each row of ``a`` is looked up in one bin and matches at
-    most one segment, so it is never copied.
+    most one segment, so it is never copied.  The islands are computed eagerly, once.
     """
-    islands = merge_intervals(b, gap=0)
+    islands = materialize(merge_intervals(b, gap=0))
     tails = islands.groupBy("contig_idx").agg(F.max("start").alias("__tail"))
     segments = explode_bins(_segments(islands), bin_width, "__bin", "__seg_start", "__until")
     probed = spread_join(a, tails, ["contig_idx"], "left", **join_options).withColumn(
