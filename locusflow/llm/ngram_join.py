@@ -231,12 +231,12 @@ def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 def _multiply(percent: int):
     """Pairs of rows in one piece of a column, with different labels and room for the similarity.
 
-    Rows come sorted by piece.  ``role`` 2: every two rows of the piece meet; else a 1 meets a 0.
+    A pair whose documents have the column before in common as well is left to that column.  Rows come sorted by piece.  ``role`` 2: every two rows of the piece meet; else a 1 meets a 0.
     """
 
     def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
         piece = batch.column("piece").to_numpy()
-        key, label, n, role = (batch.column(c).to_numpy() for c in ("key", "label", "n", "role"))
+        key, label, n, role, before = (batch.column(c).to_numpy() for c in ("key", "label", "n", "role", "before"))
         counts = Counts(batch.column("counts"))
         starts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
         longest = int(np.diff(np.concatenate([starts, [len(piece)]])).max(initial=1))
@@ -246,6 +246,7 @@ def _multiply(percent: int):
             j = i + step
             meet = (role[i] + role[j] == 4) | (role[i] + role[j] == 1)
             meet &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            meet &= before[i] != before[j]  # else both lie in that column too
             i, j = i[meet], j[meet]
             ok = _within_bound(n[i], n[j], counts.apart(i, counts, j), percent)
             found.append(np.stack([np.minimum(key[i[ok]], key[j[ok]]), np.maximum(key[i[ok]], key[j[ok]])], 1))
@@ -354,7 +355,9 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     rare = leading.filter("gram >= 0").repartition("gram").sortWithinPartitions("gram", "n", "key")
     shared = rare.mapInArrow(drop_alone(percent), "gram long, key long, n int").unionByName(leading.filter("gram < 0"))
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))) if percent < 100 else F.col("n")
-    shared = materialize(shared.withColumn("size_class", size_class.cast("int")))
+    # Each row knows its document's column before, so that a pair is formed where its common columns begin.
+    before = F.coalesce(F.lag("gram").over(Window.partitionBy("key").orderBy("gram")), F.col("key"))
+    shared = materialize(shared.withColumns({"size_class": size_class.cast("int"), "before": before}))
 
     links, labels = None, None
 
