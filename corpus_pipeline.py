@@ -57,6 +57,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of small sources up to ``MAX_PASSES`` times over; every document at least once."""
+    ship(spark)
     return mixing.mix(docs, mixing_size(), max_passes=MAX_PASSES).select(*docs.columns)
 
 

@@ -62,9 +62,20 @@ def frequent_grams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
                 often = counts >= LOCAL_COUNT
                 yield pa.RecordBatch.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often])], ["gram", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.col("n").desc(), "gram").limit(most).select("gram").toArrow()
-    return top.column("gram").to_numpy()[::-1].view(np.uint64)
+    counted = materialize(docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    # The least count that lets at most ``most`` through, from a histogram in steps of a tenth.
+    steps = counted.groupBy(F.floor(F.log("n") / F.log(F.lit(1.1))).alias("step")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
+    total, least = 0, None
+    for row in sorted(steps.collect(), key=lambda r: -r["step"]):
+        total += row["c"]
+        if total > most:
+            break
+        least = row["least"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    top = counted.filter(F.col("n") >= least).toArrow()
+    grams, counts = top.column("gram").to_numpy(), top.column("n").to_numpy()
+    return grams[np.lexsort((grams, counts))].view(np.uint64)
 
 
 def _key(doc_id: int, grams: np.ndarray) -> tuple[bytes, int]:

@@ -303,7 +303,10 @@ def train(docs: DataFrame, most: int = TRAINING_TEXTS, seed: int = 11) -> Weight
     """Train the field on a bounded sample: at most ``most`` texts with a trigger and ``TRAINING_BYTES`` bytes, the
     first by a hash of the text.  Their base spans, some rewritten into other forms, are the truth.  Eager."""
     usable = docs.select("text").filter(F.col("text").rlike("[0-9]{2}|@") & (F.octet_length("text") <= TRAINING_BYTES))
-    rows = usable.orderBy(F.xxhash64("text"), "text").limit(most).collect()
+    # Hashes come first: only the texts chosen leave the executors, and copies count once.
+    hashed = usable.withColumn("h", F.xxhash64("text"))
+    first = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(most).collect()]
+    rows = hashed.filter(F.col("h") <= first[-1]).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect() if first else []
     chance, examples = random.Random(seed), []
     for row in rows:
         base = base_spans(row["text"])

@@ -1,4 +1,4 @@
-"""Sends the package to executors that do not have it installed."""
+"""Prepares a session for the operators: the package on its executors, and batches of text of moderate size."""
 
 from __future__ import annotations
 
@@ -11,15 +11,20 @@ from pyspark.sql import SparkSession
 
 import locusflow
 
+#: Rows that Spark hands to Python at once; rows here hold whole texts, and two workers share an executor's memory.
+BATCH_ROWS = 1024
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package's Python files to the session, once per Spark application.
+    """Add the package's Python files to the session, once per Spark application, and bound its Arrow batches.
 
     The archive is made on the driver and handed to Spark, which serves it to every executor,
     also to those that join later.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
