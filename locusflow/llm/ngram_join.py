@@ -37,7 +37,7 @@ PER_BUCKET, LEAST_BUCKETS = 8, 64
 #: Rows of a column multiplied in one piece, and pieces a compared document's partners are dealt over.
 COLUMN_ROWS, SALTS = 2048, 16
 #: Passes in which each column is multiplied with one row.
-STAR_PASSES = 3
+STAR_PASSES = 2
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -233,7 +233,7 @@ def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
             at = pa.array(np.flatnonzero(ok))
             yield pa.RecordBatch.from_arrays([batch.column("x").take(at), batch.column("y").take(at), pa.array(apart[ok])], ["x", "y", "apart"])
 
-    sizes = broadcast_if_few(rows.select("key", "n", "counts"))
+    sizes = rows.select("key", "n", "counts")
     left = sizes.select(F.col("key").alias("x"), F.col("n").alias("nx"), F.col("counts").alias("cx"))
     right = sizes.select(F.col("key").alias("y"), F.col("n").alias("ny"), F.col("counts").alias("cy"))
     return pairs.join(left, "x").join(right, "y").mapInArrow(run, "x long, y long, apart long")
@@ -395,8 +395,7 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
         one = _bounded(star, rows, percent).withColumn("r", F.row_number().over(nearest)).filter("r = 1")
         add(one.select("x", "y"))
 
-    sizes = broadcast_if_few(rows.select("key", "counts"))
-    dealt = pieces(labelled()).join(sizes, "key").repartition("piece").sortWithinPartitions("piece")
+    dealt = pieces(labelled()).join(rows.select("key", "counts"), "key").repartition("piece").sortWithinPartitions("piece")
     add(dealt.mapInArrow(_multiply(percent), "x long, y long").distinct())
     return members, labels
 

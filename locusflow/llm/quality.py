@@ -87,10 +87,10 @@ def _features(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np
         place = np.concatenate([single[kinds], gram[at], pairs[a:b]])
         share = np.concatenate([times, np.repeat(times / np.maximum(sizes, 1), sizes), np.ones(b - a)]) / max(b - a, 1)
         place, inverse = np.unique(place, return_inverse=True)
-        rows.append(np.full(len(place), row))
-        places.append(place)
+        rows.append(np.full(len(place), row, np.int32))
+        places.append(place.astype(np.int32))
         shares.append(np.bincount(inverse, share, len(place)).astype(np.float32))
-    empty = [np.zeros(0, np.int64)]
+    empty = [np.zeros(0, np.int32)]
     return np.concatenate(rows or empty), np.concatenate(places or empty), np.concatenate(shares or empty)
 
 
@@ -112,7 +112,7 @@ def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS, size: int =
         own = order[i : i + batch]
         row, place, share = _features(pa.array([texts[j] for j in own], pa.large_string()), buckets)
         used, where = np.unique(place, return_inverse=True)
-        groups.append((own, row, used, where, share))
+        groups.append((own, row, used, where.astype(np.int32), share))
     steps = epochs * len(groups)
     for epoch in range(epochs):
         for number, g in enumerate(rng.permutation(len(groups))):
