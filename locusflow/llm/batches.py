@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from locusflow.operators.joins import broadcast_if_small
 
 #: Rows of text handed to Python at once.
-TEXT_ROWS = 2048
+TEXT_ROWS = 1024
 #: Measured size up to which these operators broadcast a table; they hold little else on the driver.
 BROADCAST_BYTES = 16 << 20
 _SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from locusflow.llm.batches import TEXT_ROWS, broadcast_if_few, rows_per_batch
 from locusflow.llm.components import components
-from locusflow.llm.words import shingle_hashes, slices, split_words
+from locusflow.llm.words import SLICE_BYTES, shingle_hashes, slices, split_words
 from locusflow.session import materialize
 
 #: N-grams known as frequent, at most, and the count within a slice of text from which one is looked at.  Any choice
@@ -56,7 +56,7 @@ def frequent_grams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 * SLICE_BYTES):
                 sets = list(_sets(part.column("text"), n))
                 grams, counts = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
                 often = counts >= LOCAL_COUNT

@@ -5,6 +5,8 @@ A word is a maximal run of bytes other than space and ``\\x09``-``\\x0d``.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -14,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes handled at once inside a task; a longer single text is a slice of its own.
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 
 
 class Words(NamedTuple):
@@ -25,6 +27,13 @@ class Words(NamedTuple):
     starts: np.ndarray
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: several workers, idle ones too, share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``limit`` bytes; no row is split or lost."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -33,6 +42,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
         if b > a:
             yield batch.slice(a, b - a)
+    _give_back()
 
 
 def split_words(texts: pa.Array) -> Words:
