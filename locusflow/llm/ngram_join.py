@@ -36,6 +36,8 @@ FREQUENT, LOCAL_COUNT = 1 << 18, 2
 PER_BUCKET, LEAST_BUCKETS = 8, 64
 #: Rows of a column multiplied in one piece, and pieces a compared document's partners are dealt over.
 COLUMN_ROWS, SALTS = 2048, 16
+#: Rows with a whole set that are handed to Python at once.
+SET_ROWS = 64
 #: Passes in which each column is multiplied with one row.
 STAR_PASSES = 2
 
@@ -350,7 +352,7 @@ def _links(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent:
     # One row for each part a set plays: the first of its pairs, once per lot, and the second of each of its pairs.
     none = F.lit(None).cast("long").alias("y")
     parts = pairs.select(F.col("x").alias("key"), "x", "lot", none).distinct().unionByName(pairs.select(F.col("y").alias("key"), "x", "lot", "y"))
-    with rows_per_batch(docs.sparkSession, 512):
+    with rows_per_batch(docs.sparkSession, SET_ROWS):
         found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "key long, grams binary")
         met = found.join(broadcast_if_few(parts), "key").select("x", "lot", "y", "grams").repartition("x", "lot")
         return materialize(met.sortWithinPartitions("x", "lot", F.col("y").asc_nulls_first()).mapInArrow(overlap(percent), "a long, b long"))

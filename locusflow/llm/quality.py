@@ -39,11 +39,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def word_grams(distinct: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(word number, bucket)`` of every character n-gram of each word."""
+def word_grams(distinct: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(word number, bucket)`` of every character n-gram of each word, one length of n-gram at a time."""
     raw = np.frombuffer((" " + " ".join(distinct) + " ").encode() if distinct else b"", np.uint8)
-    gap = np.cumsum(raw == 32)
-    words, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    gap = np.cumsum(raw == 32, dtype=np.int32)
     for n in GRAMS:
         size = len(raw) - n + 1
         if size <= 0:
@@ -52,9 +51,7 @@ def word_grams(distinct: list[str], buckets: int) -> tuple[np.ndarray, np.ndarra
         code = np.full(len(at), n << 40, np.uint64)
         for k in range(n):
             code += raw[at + k].astype(np.uint64) << np.uint64(8 * k)
-        words.append(gap[at] - 1)
-        codes.append(code)
-    return np.concatenate(words), (mixed(np.concatenate(codes)) % np.uint64(buckets)).astype(np.int64)
+        yield gap[at] - 1, (mixed(code) % np.uint64(buckets)).astype(np.int32)
 
 
 def pair_buckets(hashes: np.ndarray, starts: np.ndarray, buckets: int) -> np.ndarray:
@@ -74,7 +71,8 @@ def _features(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np
     rows, places, shares = [], [], []
     words = split_words(texts)
     hashes = word_hashes(words.distinct)
-    owner, gram = word_grams(words.distinct, buckets)
+    every = list(word_grams(words.distinct, buckets)) or [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
+    owner, gram = (np.concatenate(x) for x in zip(*every, strict=True))
     order = np.argsort(owner, kind="stable")
     gram = gram[order]
     first = np.searchsorted(owner[order], np.arange(len(words.distinct) + 1))
@@ -170,11 +168,13 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
             for part in slices(batch, "text"):
                 words = split_words(part.column("text"))
                 hashes = word_hashes(words.distinct)
-                owner, gram = word_grams(words.distinct, buckets)
                 n = len(words.distinct)
+                inner, many = np.zeros(n), np.zeros(n)
+                for owner, gram in word_grams(words.distinct, buckets):
+                    inner += np.bincount(owner, weights[gram], n)
+                    many += np.bincount(owner, minlength=n)
                 alone = weights[(mixed(hashes + np.uint64(7)) % np.uint64(buckets)).astype(np.int64)]
-                inner = np.bincount(owner, weights[gram], n) / np.maximum(np.bincount(owner, minlength=n), 1)
-                each = (alone + inner)[words.places] + weights[pair_buckets(hashes[words.places], words.starts, buckets)]
+                each = (alone + inner / np.maximum(many, 1))[words.places] + weights[pair_buckets(hashes[words.places], words.starts, buckets)]
                 sizes = np.diff(words.starts)
                 total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), each, len(sizes))
                 odds = total / np.maximum(sizes, 1) + bias

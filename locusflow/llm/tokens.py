@@ -17,7 +17,7 @@ from locusflow.llm.words import slices, split_words
 from locusflow.session import materialize
 
 #: Distinct words whose ids a Python worker keeps; further words are encoded anew in each slice.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 #: Words handed to the tokenizer at once, and words in one of its texts.
 ENCODE_BATCH, ENCODE_LOT = 16_000, 1000
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
