@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from locusflow.llm.words import slices
+from locusflow.llm.words import give_back, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens in a segment at most, and tokens read before and after a trigger.
@@ -312,7 +312,10 @@ def train(docs: DataFrame, most: int = TRAINING_TEXTS, seed: int = 11) -> Weight
         base = base_spans(row["text"])
         examples.append((row["text"], base))
         examples.append(_variants(row["text"], base, chance))
-    return fit(examples)
+    weights = fit(examples)
+    del rows, examples
+    give_back()
+    return weights
 
 
 FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from locusflow.llm.words import mixed, slices, split_words, word_hashes
+from locusflow.llm.words import give_back, mixed, slices, split_words, word_hashes
 from locusflow.session import materialize
 
 BUCKETS = 1 << 17
@@ -151,6 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
             ids.append(r["doc_id"])
     rows = sample.filter(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"]).orderBy("doc_id").collect() if ids else []
     model = fit([r["__text"] for r in rows], [r["__y"] for r in rows])
+    del rows
+    give_back()
     prior = np.log((totals.get(1, 0) + 1) / (totals.get(0, 0) + 1))
     return model._replace(bias=model.bias + float(prior))
 

@@ -27,8 +27,9 @@ class Words(NamedTuple):
     starts: np.ndarray
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: several workers, idle ones too, share an executor's memory."""
+def give_back() -> None:
+    """Return freed memory to the system: several workers, idle ones too, share an executor's memory, and a driver that
+    has trained a model goes on to plan jobs."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -42,7 +43,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
         if b > a:
             yield batch.slice(a, b - a)
-    _give_back()
+    give_back()
 
 
 def split_words(texts: pa.Array) -> Words:
