@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     ship(spark)
-    return packing.pack_documents(docs, WORD_BPE)
+    return packing.pack_documents(docs, WORD_BPE, lean=True)
 
 
 STAGES = [

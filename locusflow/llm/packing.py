@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from locusflow.llm.batches import TEXT_ROWS, rows_per_batch
-from locusflow.llm.tokens import drops_white_space, text_ids
-from locusflow.llm.words import slices
+from locusflow.llm.tokens import KEPT_WORDS, KEPT_WORDS_LEAN, drops_white_space, text_ids
+from locusflow.llm.words import SLICE_BYTES, slices
 from locusflow.session import materialize
 
 CAPACITY = 2048
@@ -37,17 +37,19 @@ class Filling(NamedTuple):
     times: int
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, text: str = "text", doc_id: str = "doc_id", lean: bool = False) -> DataFrame:
     """Token pieces of each whole text: its ids and ``end_id``, cut every ``capacity`` ids.
 
     Null text counts as empty and gives one piece of one id.  Repeated rows give repeated pieces; a null id stays null.
+    ``lean`` takes less memory and more time.
     """
+    kept, limit = (KEPT_WORDS_LEAN, SLICE_BYTES) if lean else (KEPT_WORDS, 2 * SLICE_BYTES)
     by_word, end = drops_white_space(tokenizer), np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, starts = text_ids(part.column("text"), tokenizer, by_word)
+            for part in slices(batch, "text", limit):
+                ids, starts = text_ids(part.column("text"), tokenizer, by_word, kept)
                 sizes = np.diff(starts) + 1
                 counts = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), counts)
@@ -286,11 +288,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id", lean: bool = False) -> DataFrame:
     """Pieces of all ``docs`` with their sequences; only texts of more than ``capacity`` ids are cut.
 
     Other columns of ``docs`` are not carried.  See :func:`pieces` for null and empty texts.
     """
-    with rows_per_batch(docs.sparkSession, TEXT_ROWS):
-        cut = materialize(pieces(docs, tokenizer, capacity, text=text, doc_id=doc_id))
+    with rows_per_batch(docs.sparkSession, TEXT_ROWS if lean else 2 * TEXT_ROWS):
+        cut = materialize(pieces(docs, tokenizer, capacity, text=text, doc_id=doc_id, lean=lean))
     return pack(cut, capacity)

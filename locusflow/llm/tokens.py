@@ -17,7 +17,7 @@ from locusflow.llm.words import slices, split_words
 from locusflow.session import materialize
 
 #: Distinct words whose ids a Python worker keeps; further words are encoded anew in each slice.
-KEPT_WORDS = 150_000
+KEPT_WORDS, KEPT_WORDS_LEAN = 400_000, 100_000
 #: Words handed to the tokenizer at once, and words in one of its texts.
 ENCODE_BATCH, ENCODE_LOT = 16_000, 1000
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -98,13 +98,13 @@ def _encode_words(words: list[str], path: str) -> Iterator[tuple[str, bytes]]:
         yield word, np.array(code.ids, "<u4").tobytes()
 
 
-def _word_ids(distinct: list[str], path: str) -> list[bytes]:
-    """Little-endian 32-bit ids of each word."""
+def _word_ids(distinct: list[str], path: str, most: int = KEPT_WORDS) -> list[bytes]:
+    """Little-endian 32-bit ids of each word; the worker keeps those of at most ``most`` words."""
     kept = _IDS.setdefault(path, {})
     found = dict(_encode_words([w for w in distinct if w not in kept], path))
     out = [kept[w] if w in kept else found[w] for w in distinct]
     for word, ids in found.items():
-        if len(kept) >= KEPT_WORDS:
+        if len(kept) >= most:
             break
         kept[word] = ids
     return out
@@ -120,11 +120,11 @@ def _spaced(texts: pa.Array) -> pa.Array:
     return pc.if_else(pc.match_substring(texts, "<|"), texts, plain)
 
 
-def text_ids(texts: pa.Array, path: str, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
+def text_ids(texts: pa.Array, path: str, by_word: bool, kept_words: int = KEPT_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts in a row (unsigned 32-bit), and where each text starts."""
     if by_word:
         words = split_words(_spaced(texts))
-        codes = _word_ids(words.distinct, path)
+        codes = _word_ids(words.distinct, path, kept_words)
         flat = np.frombuffer(b"".join(codes), "<u4")
         lengths = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
         first = np.cumsum(lengths) - lengths
