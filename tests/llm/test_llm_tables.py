@@ -77,6 +77,22 @@ def test_nearest_neighbours(spark):
     assert sorted((r["query_id"], r["rank"]) for r in few) == [(20, 1), (20, 2)]
 
 
+def test_nearest_neighbours_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(2001, 32))
+    unit /= np.sqrt((unit**2).sum(1))[:, None]
+    noise = 10 ** rng.uniform(-5, -3.5, (2000, 1))
+    rows = np.concatenate([unit[0] + noise * rng.normal(size=(2000, 32)), unit[1:1001], 50 * unit[1001:]]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>").repartition(4)
+    got = neighbours.nearest(df, F.col("vec_id") % 40 == 0, 10).collect()
+    rows, hits = rows.astype(float), {True: [], False: []}
+    for q in range(0, len(rows), 40):
+        far = ((rows - rows[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hits[q < 2000].append(len(set(np.argsort(far, kind="stable")[:10].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q}) / 10)
+    assert min(np.mean(hits[True]), np.mean(hits[False])) >= 0.9, {k: np.mean(v) for k, v in hits.items()}
+
+
 def documents(spark):
     chance = random.Random(1)
     rows = [(i, "x" * chance.randrange(40, 400), "en", f"s{int(chance.random() ** 3 * 6)}", 1) for i in range(1500)]
