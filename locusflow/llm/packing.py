@@ -9,8 +9,11 @@ the pieces of its length; no task sees all pieces.
 from __future__ import annotations
 
 import bisect
+import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -23,10 +26,10 @@ from locusflow.llm.words import SLICE_BYTES, slices
 from locusflow.session import materialize
 
 CAPACITY = 2048
-#: Nodes the search may look at before it keeps its incumbent.
-NODES = 300
-#: Undominated fillings tried at a node, those of least waste.
-BRANCHES = 4
+#: Fillings the search may try before it keeps its incumbent.
+NODES = 2400
+#: Fillings of one node tested for dominance, and steps of such a test, after which a filling counts as undominated.
+TESTED, STEPS = 1000, 200
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -73,71 +76,100 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
 
 
-def completions(room: int, counts: np.ndarray, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first, then fewest and longest pieces.
+def completions(room: int, counts: np.ndarray, slack: int) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings of ``room`` that waste up to ``slack``, least waste first, then longest pieces.
 
     A filling dominates another if its pieces can be split into the other's; so one long piece is preferred to
     several short ones of the same sum, and nothing that could still be added is left out.
-    ``counts[l]`` pieces of length ``l`` are at hand.
+    ``counts[l]`` pieces of length ``l`` are at hand.  Sets of the sums that the shortest lengths can reach, one bit
+    each, lead to every filling without dead ends, however many pieces it holds.
     """
-    if room <= 0:
-        return [()]
-    have = np.flatnonzero(counts[: room + 1])
-    have = have[have > 0]
-    if not len(have):
-        return [()]
-    largest = np.zeros(room + 1, np.int64)  # the longest length at hand that fits each room
-    largest[have] = have
-    largest = np.maximum.accumulate(largest)
-    one = int(largest[room])
-    found = [(room - one, (one,))]
-    if one < room:
-        a = have[::-1]  # pairs: each first length with the longest that fits beside it
-        b = np.minimum(largest[room - a], a)
-        alone = (a == b) & (counts[a] < 2)
-        b = np.where(alone, largest[np.minimum(room - a, np.maximum(a - 1, 0))], b)
-        waste = room - a - b
-        for i in np.argsort(waste, kind="stable")[:most]:
-            found.append((int(waste[i]), (int(a[i]), int(b[i])) if b[i] else (int(a[i]),)))
-        if found[1][0] > 0:
-            for first in a[:most].tolist():  # deeper fillings, while the room left by the incumbent can be beaten
-                counts[first] -= 1
-                rest = _fill(room - first, counts, first, min(w for w, _ in found), 3)
-                counts[first] += 1
-                if rest is not None:
-                    found.append((room - first - sum(rest), (first, *rest)))
-                    if not found[-1][0]:
-                        break
-    found.sort(key=lambda x: (x[0], len(x[1]), [-n for n in x[1]]))
-    out: list[tuple[int, ...]] = []
-    for waste, filling in found:
-        if all(filling != x for x in out):
-            out.append(filling)
-        if len(out) >= most:
-            break
-    return out
-
-
-def _fill(room: int, counts: np.ndarray, longest: int, beat: int, depth: int) -> tuple[int, ...] | None:
-    """A filling of ``room`` with less waste than ``beat``, by depth-first search with that bound, or None."""
-    best, best_waste = None, beat
-    size = min(room, longest)
-    have = np.flatnonzero(counts[: size + 1])[::-1]
-    for i, length in enumerate(have[:24].tolist()):
-        if length == 0:
-            break
-        filling, left = (length,), room - length
-        counts[length] -= 1
-        if left and depth > 1:
-            more = _fill(left, counts, length, best_waste, depth - 1)
-            if more is not None:
-                filling, left = (length, *more), left - sum(more)
-        counts[length] += 1
-        if left < best_waste:
-            best, best_waste = filling, left
-            if not left:
-                break
-    return best
+    have = [n for n in np.flatnonzero(counts[: max(room, 0) + 1]).tolist() if n]
+    if not have:
+        if room <= slack:
+            yield ()
+        return
+    number = [int(counts[n]) for n in have]
+    sums, mask = [1], (1 << (room + 1)) - 1  # sums[i]: what the first i lengths can reach
+    for length, n in zip(have, number, strict=True):
+        reach, left, step = sums[-1], min(n, room // length), 1
+        while left:
+            reach |= reach << (min(step, left) * length) & mask
+            left, step = left - min(step, left), 2 * step
+        sums.append(reach)
+
+    def exact(target: int, i: int) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield ()
+            return
+        i = min(i, bisect.bisect_right(have, target))
+        while i and sums[i] >> target & 1:
+            i -= 1
+            for k in range(min(number[i], target // have[i]), 0, -1):
+                if sums[i] >> (target - k * have[i]) & 1:
+                    for rest in exact(target - k * have[i], i):
+                        yield (have[i],) * k + rest
+
+    kept: list[tuple[int, ...]] = []
+    tests = 0
+    for waste in range(room + 1 - sums[-1].bit_length(), min(slack, room) + 1):
+        short = have[: bisect.bisect_right(have, waste)]  # all of these must be in, or one could be added
+        if sum(n * k for n, k in zip(short, number, strict=False)) > room - waste:
+            return
+        for filling in exact(room - waste, len(have)) if sums[-1] >> (room - waste) & 1 else ():
+            if tests == TESTED:
+                return
+            tests += 1
+            if any(filling.count(n) < k for n, k in zip(short, number, strict=False)) or any(_dominates(x, filling) for x in kept):
+                continue
+            kept.append(filling)
+            yield filling
+
+
+def _dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether the pieces ``other`` fit into rooms of the sizes ``one``; False if that is not found in some steps."""
+    rooms, left = Counter(one), Counter(other)
+    rooms, left = rooms - left, left - rooms  # a piece may as well take a room of its own size
+    steps = STEPS
+
+    def fits(pieces: list[int], rooms: list[int]) -> bool:
+        nonlocal steps
+        if not pieces:
+            return True
+        for room in sorted({r for r in rooms if r >= pieces[0]}):
+            steps -= 1
+            if steps < 0:
+                return False
+            others = rooms.copy()
+            others.remove(room)
+            if fits(pieces[1:], [*others, room - pieces[0]]):
+                return True
+        return False
+
+    pieces, sizes = sorted(left.elements(), reverse=True), list(rooms.elements())
+    return sum(pieces) <= sum(sizes) and max(pieces, default=0) <= max(sizes, default=0) and fits(pieces, sizes)
+
+
+def _options(have: np.ndarray, capacity: int, slack: int) -> Iterator[Filling]:
+    """Fillings with the longest piece of ``have``, as often as its lengths last, and later also fewer times."""
+    longest, rest = int(np.flatnonzero(have)[-1]), have.copy()
+    rest[longest] -= 1
+
+    def fewer(most: Filling) -> Iterator[Filling]:
+        for times in sorted({most.times - 1, most.times // 2, 1} - {0, most.times}, reverse=True):
+            yield Filling(most.lengths, times)
+
+    found: list[Filling] = []
+    turn = 0
+    for filling in completions(capacity - longest, rest, slack):
+        lengths = (longest, *filling)
+        found.append(Filling(lengths, min(int(have[n]) // k for n, k in Counter(lengths).items())))
+        yield found[-1]
+        if len(found) % 2 == 0:
+            yield from fewer(found[turn])
+            turn += 1
+    for most in found[turn:]:
+        yield from fewer(most)
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -191,38 +223,46 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES) -> li
     """Fillings that use every piece of ``counts`` (``counts[l]`` pieces of length ``l``).
 
     Bin completion by branch and bound.  A node completes the longest piece left by each undominated filling in
-    turn, used as often as its lengths last, and best fit packs the rest: the best such packing is the incumbent.  A
-    branch ends when its waste, or the lower bound of its rest, leaves no packing with fewer sequences.  The search
-    ends when the incumbent meets the lower bound of the whole, or after ``nodes`` nodes.
+    turn, used as often as its lengths last and also fewer times, and best fit packs the rest: the best such packing is
+    the incumbent.  A branch ends when its waste, or the lower bound of its rest, leaves no packing with fewer
+    sequences.  Branches with the fewest turns away from the first filling of each node are looked at first.  The search
+    ends when the incumbent meets the lower bound of the whole, when no branch is left, or after ``nodes`` fillings.
     """
     counts = np.asarray(counts, np.int64).copy()
     total, bound = int((np.arange(len(counts)) * counts).sum()), lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     fewest = sum(f.times for f in best)
-    # Each entry: counts left, fillings so far, their number, their waste.
-    stack: list[tuple[np.ndarray, list[Filling], int, int]] = [(counts, [], 0, 0)]
-    while stack and nodes and fewest > bound:
-        have, done, used, waste = stack.pop()
+    # Each entry: turns taken, its order, counts left, fillings so far, their number, their waste, the waste allowed when
+    # it was made, and its options tried.  Options are made anew for each turn: kept, they take much memory.
+    queue: list[tuple[int, int, int, np.ndarray, list[Filling], int, int, int, int]] = []
+    order = 0
+
+    def put(turns: int, have: np.ndarray, done: list[Filling], used: int, waste: int, slack: int, seen: int) -> None:
+        nonlocal order
+        order += 1
+        heapq.heappush(queue, (turns, -used, order, have, done, used, waste, slack, seen))
+
+    if counts.any():
+        put(0, counts, [], 0, 0, (fewest - 1) * capacity - total, 0)
+    while queue and nodes and fewest > bound:
+        turns, _, _, have, done, used, waste, slack, seen = heapq.heappop(queue)
         if waste > (fewest - 1) * capacity - total or used + lower_bound(have, capacity) >= fewest:
             continue
+        filling = next(islice(_options(have, capacity, slack), seen, None), None)
+        if filling is None:
+            continue
         nodes -= 1
-        longest = int(np.flatnonzero(have)[-1])
-        have[longest] -= 1
-        options = completions(capacity - longest, have, BRANCHES)
-        have[longest] += 1
-        for rest in reversed(options):  # the option of least waste is looked at first
-            filling = (longest, *rest)
-            need = np.bincount(filling, minlength=len(have))
-            lengths = np.flatnonzero(need)
-            times = int((have[lengths] // need[lengths]).min())
-            after = have - times * need
-            tried = [*done, Filling(filling, times)]
-            packed = best_fit(after, capacity)
-            number = used + times + sum(f.times for f in packed)
-            if number < fewest:
-                best, fewest = [*tried, *packed], number
-            if after.any():
-                stack.append((after, tried, used + times, waste + times * (capacity - sum(filling))))
+        put(turns + 1, have, done, used, waste, slack, seen + 1)
+        after = have - filling.times * np.bincount(filling.lengths, minlength=len(have))
+        tried, used = [*done, filling], used + filling.times
+        waste += filling.times * (capacity - sum(filling.lengths))
+        packed = best_fit(after, capacity)
+        number = used + sum(f.times for f in packed)
+        if number < fewest:
+            best, fewest = [*tried, *packed], number
+        slack = (fewest - 1) * capacity - total - waste
+        if after.any() and slack >= 0:
+            put(turns, after, tried, used, waste, slack, 0)
     return best
 
 

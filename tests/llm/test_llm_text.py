@@ -117,6 +117,19 @@ def test_plan_is_as_good_as_exhaustive_search(lengths):
     assert sum(f.times for f in plan) == fewest(sorted(lengths, reverse=True), [])
 
 
+@pytest.mark.parametrize("k", [1, 7, 1000])
+def test_plan_fills_sequences_with_many_pieces(k):
+    counts = np.zeros(2049, int)
+    counts[300], counts[274] = 5 * k, 2 * k  # 5 * 300 + 2 * 274 = 2048
+    assert sum(f.times for f in packing.plan(counts)) == k
+
+
+def test_completions_leave_out_dominated_fillings():
+    counts = np.bincount([7, 5, 4, 3, 2], minlength=11)
+    found = list(packing.completions(10, counts, 10))
+    assert found == [(7, 3), (5, 4)]  # 5, 3 and 2 fit into 7 and 3; 4, 3 and 2 too
+
+
 @pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
 def test_ngram_components_equal_brute_force(spark, odd, n, percent):
     rows = odd_documents()
