@@ -1,9 +1,10 @@
 """Repeated passages across documents by MinHash banding of paragraphs (operator 9).
 
-A paragraph here is a line, or part of one: after two sentences in three, chosen by hash among those of some words, a
-new paragraph begins.  Such
+A paragraph here is a line, or part of one: after two sentences in three, chosen by hash among those of some words,
+and after every long one, a new paragraph begins.  Such
 cuts depend on the text at hand only, so a passage that stands inside different lines is cut alike in all of them.
-Paragraphs are sets of word shingles.  Equal sets share a key.  Keys that collide in a band are compared exactly, links
+Sentences of many words are also cut after words chosen by hash; these
+pieces are paragraphs besides, compared among themselves.  Paragraphs are sets of word shingles.  Equal sets share a key.  Keys that collide in a band are compared exactly, links
 are clustered into components, and every paragraph of a cluster but the first is a repeat.  Runs of repeats of enough
 words are reported.
 """
@@ -28,6 +29,10 @@ from locusflow.session import materialize
 RECALL, NOISE = 0.98, 0.6
 #: Words of a sentence that can end a paragraph, at least.
 SENTENCE_WORDS = 3
+#: Words from which on a sentence counts as long, words whose hash chooses a cut there, and words between such cuts.
+LONG_WORDS, CUT_WORDS, CUT_EVERY = 25, 3, 4
+#: Ends of sentences, and what may close after them.
+STOPS, CLOSERS = ".!?\u2026\u3002\uff01\uff1f\uff0e\uff61", "\"')]}>*_\u00bb\u203a\u201d\u2019\u300d\u300f\uff09\u3011\u300b"
 #: Words that a run of repeats must hold to be reported.
 LEAST_WORDS = 25
 
@@ -57,13 +62,14 @@ class Units(NamedTuple):
 def split_units(texts: pa.Array, n: int) -> Units:
     """Cut texts into paragraphs and take each one's distinct shingle hashes, sorted.
 
+    Pieces of long sentences follow, with the number of their paragraph; their hashes are unlike those of paragraphs.
     Paragraphs without words are none.  One with fewer than ``n`` words is one shingle.
     """
     lines = pc.split_pattern(pc.fill_null(texts, ""), "\n")
     row_of_line = np.repeat(np.arange(len(texts)), pc.list_value_length(lines).to_numpy())
     words = split_words(pc.ascii_lower(lines.flatten()))
     hashes = word_hashes(words.distinct)[words.places] if len(words.places) else np.zeros(0, np.uint64)
-    stops = np.array([w[-1:] in ".!?" for w in words.distinct], bool)[words.places] if len(words.places) else np.zeros(0, bool)
+    stops = np.array([w.rstrip(CLOSERS)[-1:] in tuple(STOPS) for w in words.distinct], bool)[words.places] if len(words.places) else np.zeros(0, bool)
     total = len(hashes)
     # A sentence's hash: the sum of its words' hashes since the last stop or line start, whatever stands before.
     begins = np.zeros(total + 1, bool)
@@ -75,7 +81,9 @@ def split_units(texts: pa.Array, n: int) -> Units:
     cut = np.zeros(total + 1, bool)
     cut[words.starts] = True
     if len(heads):
-        closing = ends[stops[ends - 1] & (ends - heads >= SENTENCE_WORDS) & (mixed(sentence) % np.uint64(3) > 0)]
+        # A long sentence may begin outside a repeated passage: its end always cuts, as its hash may differ.
+        chosen = (mixed(sentence) % np.uint64(3) > 0) | (ends - heads >= LONG_WORDS)
+        closing = ends[stops[ends - 1] & (ends - heads >= SENTENCE_WORDS) & chosen]
         cut[closing] = True
     at = np.flatnonzero(cut[:total])
     size = np.diff(np.concatenate([at, [total]]))
@@ -86,7 +94,35 @@ def split_units(texts: pa.Array, n: int) -> Units:
     number = np.arange(len(row)) - np.repeat(head, np.diff(np.concatenate([head, [len(row)]])))
     first = at - at[head][np.cumsum(new) - 1] if len(row) else at
     grams, starts = _distinct(*shingle_hashes(Words(words.distinct, words.places, np.concatenate([at, [total]])), n))
-    return Units(row, number, first, size, grams, starts)
+    paragraphs = Units(row, number, first, size, grams, starts)
+    # Cuts within long sentences depend on the words right before them, whatever the sentence begins with.
+    length = ends - heads
+    inside = np.arange(total) - np.repeat(heads, length)
+    places = np.flatnonzero((inside >= CUT_WORDS) & np.repeat(length >= LONG_WORDS, length))
+    before = np.zeros(len(places), np.uint64)
+    for back in range(CUT_WORDS, 0, -1):
+        before = mixed(before * np.uint64(0x9E3779B97F4A7C15) + hashes[places - back])
+    more = places[before % np.uint64(CUT_EVERY) == 0]
+    more = more[~cut[more]]
+    if not len(more):
+        return paragraphs
+    owner = np.searchsorted(at, more, "right") - 1
+    split = np.zeros(len(at), bool)
+    split[owner] = True
+    # There every sentence's end cuts, as what lies between the last chosen one and the long sentence would be lost.
+    others = ends[stops[ends - 1] & (length >= SENTENCE_WORDS)]
+    others = others[~cut[others]]
+    more = np.union1d(more, others[split[np.searchsorted(at, others, "right") - 1]])
+    begin = np.sort(np.concatenate([at[split], more]))
+    owner = np.searchsorted(at, begin, "right") - 1
+    taken = np.repeat(split, size)  # words of the paragraphs that are split
+    seen = np.concatenate([[0], np.cumsum(taken)])
+    edges = np.concatenate([seen[begin], [seen[-1]]])
+    grams, starts = shingle_hashes(Words(words.distinct, words.places[taken], edges), n)
+    grams, starts = _distinct(mixed(grams ^ np.uint64(0x5851F42D4C957F2D)), starts)
+    pieces_ = (row[owner], number[owner], first[owner] + begin - at[owner], np.diff(edges), grams)
+    joined = [np.concatenate([a, b]) for a, b in zip(paragraphs[:5], pieces_, strict=True)]
+    return Units(*joined, np.concatenate([paragraphs.starts[:-1], paragraphs.starts[-1] + starts]))
 
 
 def _distinct(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -266,13 +302,17 @@ def repeated_passages(docs: DataFrame, n: int = 5, percent: int = 80, least_word
     placed = found.select("doc_id", "number", "first", "size", "label")
     kept = placed.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "number", "first")).alias("kept")).filter("n > 1")
     repeats = placed.join(kept, "label").filter(F.struct("doc_id", "number", "first") > F.col("kept")).select("doc_id", "number", "first", "size", F.col("kept.doc_id").alias("kept_doc_id"))
-    order = Window.partitionBy("doc_id").orderBy("number", "first")
-    runs = repeats.dropDuplicates(["doc_id", "number", "first"]).withColumn("run", F.col("number") - F.row_number().over(order))
+    # A piece may lie in a repeated paragraph: runs are unions of word ranges, and only ranges that reach further count.
+    order = Window.partitionBy("doc_id").orderBy("first", F.col("size").desc(), "number")
+    ranges = repeats.dropDuplicates(["doc_id", "number", "first", "size"]).withColumn("end", F.col("first") + F.col("size"))
+    ranges = ranges.withColumn("reached", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)))
+    runs = ranges.withColumn("run", F.sum((F.col("first") > F.col("reached")).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.withColumn("further", F.col("end") > F.col("reached"))
     return (
         runs.groupBy("doc_id", "run")
         .agg(
-            F.min("first").cast("long").alias("first_word"), F.sum("size").alias("n_words"),
-            F.count(F.lit(1)).alias("n_paragraphs"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"),
+            F.min("first").cast("long").alias("first_word"), (F.max("end") - F.min("first")).cast("long").alias("n_words"),
+            F.count_if("further").alias("n_paragraphs"), F.array_sort(F.collect_set(F.when(F.col("further"), F.col("kept_doc_id")))).alias("kept_doc_ids"),
         )
         .filter(F.col("n_words") >= least_words)
         .drop("run")

@@ -270,3 +270,17 @@ def test_repeated_passages(spark, odd):
         assert r["doc_id"] == 31 or (r["n_words"] >= 60 and text in " ".join(passage.split()))
     assert paragraphs.repeated_passages(odd).count() > 0
     assert paragraphs.repeated_passages(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("end", ["", '."', ".)", "\u3002"])
+def test_repeated_passages_in_the_middle_of_different_lines(spark, end):
+    fresh = lambda seed, n: words(seed, n, 10**6).replace(".", "")
+    rows = []
+    for i in range(20):
+        passage = fresh(1000 + i, 60).split()
+        passage = " ".join(w + (end if k % 11 == 10 else "") for k, w in enumerate(passage))
+        rows += [(2 * i + j, f"{fresh(2000 + 2 * i + j, 50)} {passage} {fresh(3000 + 2 * i + j, 50)}", "en", "s", 1) for j in (0, 1)]
+    found = paragraphs.repeated_passages(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    assert all(r["doc_id"] % 2 and r["kept_doc_ids"] == [r["doc_id"] - 1] for r in found)
+    assert all(50 <= r["first_word"] and r["first_word"] + r["n_words"] <= 110 for r in found)
+    assert len({r["doc_id"] for r in found}) >= 18
