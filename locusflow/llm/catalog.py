@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from locusflow.llm import chat, mixing, neighbours, ngram_join, packing, paragraphs, pii, quality, tokens, topk
+from locusflow.llm import chat, codes, language, middle, mixing, neighbours, ngram_join, packing, paragraphs, pii, quality, tokens, topk
 from locusflow.llm.shipping import ship
 from locusflow.session import shared_dir
 
@@ -89,6 +90,66 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, WORD_BPE, cache)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by codebooks of 256 entries for each of four parts."""
+    made = codes.compress(table(spark, sf_dir, "embeddings"))
+    entries = ",".join(str(c) for book in made.codebooks for entry in book for c in entry)
+    digits = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return codes.with_label_error(made.rows).select(
+        F.col("id").alias("vec_id"), digits.alias("code"), "error", "label_error",
+        F.lit(hashlib.sha256(entries.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut at lines and rearranged, half of them suffix first."""
+    made = middle.rearrange(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    back = middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"),
+    )
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs)
+    return language.predict(docs.select("doc_id", "text"), model).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Codebooks of the vectors in SQL: the same steps, every part against every entry."""
+    gap = "list_inner_product(x.e, x.e) - 2 * list_inner_product(x.e, c.e) + list_inner_product(c.e, c.e)"
+    assign = f"SELECT x.p, x.vec_id, any_value(x.e) AS e, min(({gap})::BIGINT * 256 + c.k) AS best FROM parts x JOIN c{{0}} c ON x.p = c.p GROUP BY x.p, x.vec_id"
+    steps = "".join(
+        f"""a{r} AS MATERIALIZED ({assign.format(r)}),
+        m{r} AS (SELECT p, best % 256 AS k, i, count(*) AS n, sum(e[i]::BIGINT)::BIGINT AS s FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM a{r}) GROUP BY ALL),
+        n{r} AS (SELECT p, k, list(((s - (s % n + n) % n) // n)::DOUBLE ORDER BY i) AS e FROM m{r} GROUP BY p, k),
+        c{r + 1} AS MATERIALIZED (SELECT c.p, c.k, coalesce(n.e, c.e) AS e FROM c{r} c LEFT JOIN n{r} n USING (p, k)),
+        """
+        for r in range(rounds)
+    )
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS MATERIALIZED (
+            SELECT vec_id, p, e[p * (len(e) // 4) + 1 : (p + 1) * (len(e) // 4)] AS e FROM v, range(4) t(p)
+        ), c0 AS MATERIALIZED (
+            SELECT p, k, e FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM v ORDER BY vec_id LIMIT 256) USING (vec_id)
+        ), {steps}last AS MATERIALIZED ({assign.format(rounds)}),
+        rows AS (
+            SELECT v.vec_id, any_value(v.label) AS label, string_agg(lpad(lower(hex(best % 256)), 2, '0'), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error
+            FROM last JOIN v USING (vec_id) GROUP BY v.vec_id
+        ), book AS (
+            SELECT sha256(string_agg(x, ',' ORDER BY p, k)) AS codebooks_sha256 FROM (SELECT p, k, array_to_string(list_transform(e, lambda x: x::BIGINT), ',') AS x FROM c{rounds})
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM rows, book
+    """
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -100,6 +161,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_language": op13_language,
 }
 ORACLE = {
     "op7_preferences": r"""
@@ -147,6 +211,25 @@ ORACLE = {
         SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id
         FROM documents d JOIN reach r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
     """,
+    "op11_vector_codes": _codes_sql(),
+    "op12_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ), l AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+        ), c AS (
+            SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l
+        ), p AS (
+            SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+        FROM p
+    """,
     "op5_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
