@@ -16,7 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from locusflow.llm.words import give_back, mixed, slices, split_words, word_hashes
+from locusflow.llm.batches import rows_per_batch
+from locusflow.llm.words import mixed, slices, split_words, word_hashes
 from locusflow.session import materialize
 
 BUCKETS = 1 << 17
@@ -92,42 +93,81 @@ def _features(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np
     return np.concatenate(rows or empty), np.concatenate(places or empty), np.concatenate(shares or empty)
 
 
-def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS, size: int = 8, epochs: int = 12, rate: float = 8.0, batch: int = 50, seed: int = 5) -> Model:
-    """Train on texts and 0/1 labels by stochastic gradient descent; each text counts for the share of its label.
+class Weights(NamedTuple):
+    """What an epoch changes: the table of vectors, the output weights and their bias."""
 
-    Without texts, or with one label only, the model knows that label's share and nothing else.
+    table: np.ndarray
+    out: np.ndarray
+    bias: np.ndarray
+
+
+_GROUP = "g int, y binary, row binary, used binary, place binary, share binary"
+
+
+def _grouped(key: tuple, texts: pa.Table) -> pa.Table:
+    """Features of the texts of one step, as one row."""
+    row, place, share = _features(texts.column("__text").combine_chunks(), BUCKETS)
+    used, where = np.unique(place, return_inverse=True)
+    y = texts.column("__y").to_numpy().astype(np.int32)
+    parts = [y, row.astype(np.int32), used.astype(np.int32), where.astype(np.int32), share.astype(np.float32)]
+    arrays = [pa.array([key[0].as_py()], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in parts]]
+    return pa.Table.from_arrays(arrays, names=[f.split()[0] for f in _GROUP.split(", ")])
+
+
+def _step(w: Weights, group: dict[str, np.ndarray], share_of_label: tuple[float, float], step: float) -> None:
+    """One step of stochastic gradient descent, in place."""
+    y, row, used, where, share = (group[c] for c in ("y", "row", "used", "place", "share"))
+    size = w.table.shape[1]
+    vectors = w.table[used]
+    hidden = np.stack([np.bincount(row, share * vectors[where, k], len(y)) for k in range(size)], 1)
+    odds = hidden @ w.out + w.bias
+    chance = np.exp(odds - odds.max(1, keepdims=True))
+    chance /= chance.sum(1, keepdims=True)
+    error = (chance - np.eye(2)[y]) * np.array(share_of_label)[y][:, None] / len(y)
+    back = (error @ w.out.T).astype(np.float32)
+    w.out[:] -= (step / 8 * hidden.T @ error).astype(np.float32)
+    w.bias[:] -= (step / 8 * error.sum(0)).astype(np.float32)
+    slope = np.stack([np.bincount(where, share * back[row, k], len(used)) for k in range(size)], 1)
+    w.table[used] = vectors - (step * len(y) * slope).astype(np.float32)
+
+
+def fit(sample: DataFrame, counts: dict[int, int], size: int = 8, epochs: int = 12, rate: float = 8.0, batch: int = 50, seed: int = 5) -> Model:
+    """Train on the rows of ``sample`` (``doc_id``, ``__text``, 0/1 ``__y``; ``counts`` of each) by stochastic gradient descent.
+
+    Each label counts for half.  Features are made once, one row of a written table for each step; an epoch is a job of
+    one task in which these rows stream by, in an order of its own, and which returns the weights.  So neither driver nor
+    task holds more than the weights and a few steps.  With one label only the model knows nothing but that.
     """
+    if not counts.get(0) or not counts.get(1):
+        return Model(np.zeros(BUCKETS, np.float32), 0.0)
+    spark, whole = sample.sparkSession, counts[0] + counts[1]
+    share_of_label = (0.5 * whole / counts[0], 0.5 * whole / counts[1])
+    groups = -(-whole // batch)
+    number = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)).cast("int")
+    features = materialize(sample.withColumn("g", number).select("g", "__text", "__y").groupBy("g").applyInArrow(_grouped, _GROUP))
     rng = np.random.default_rng(seed)
-    y = np.array(labels, np.int64)
-    weights = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1)) * len(y)
-    table = rng.uniform(-1 / size, 1 / size, (buckets, size)).astype(np.float32)
-    out, bias = np.zeros((size, 2), np.float32), np.zeros(2, np.float32)
-    if len(set(labels)) < 2:
-        return Model(np.zeros(buckets, np.float32), 0.0)
-    order = rng.permutation(len(texts))
-    groups = []
-    for i in range(0, len(order), batch):
-        own = order[i : i + batch]
-        row, place, share = _features(pa.array([texts[j] for j in own], pa.large_string()), buckets)
-        used, where = np.unique(place, return_inverse=True)
-        groups.append((own, row, used, where.astype(np.int32), share))
-    steps = epochs * len(groups)
+    table = rng.uniform(-1 / size, 1 / size, (BUCKETS, size)).astype(np.float32)
+    now = Weights(table, np.zeros((size, 2), np.float32), np.zeros(2, np.float32))
+    kinds = {"y": np.int32, "row": np.int32, "used": np.int32, "place": np.int32, "share": np.float32}
     for epoch in range(epochs):
-        for number, g in enumerate(rng.permutation(len(groups))):
-            own, row, used, where, share = groups[g]
-            step = rate * (1 - (epoch * len(groups) + number) / steps)
-            vectors = table[used]
-            hidden = np.stack([np.bincount(row, share * vectors[where, k], len(own)) for k in range(size)], 1)
-            odds = hidden @ out + bias
-            chance = np.exp(odds - odds.max(1, keepdims=True))
-            chance /= chance.sum(1, keepdims=True)
-            error = (chance - np.eye(2)[y[own]]) * weights[own, None] / len(own)
-            back = (error @ out.T).astype(np.float32)
-            out -= (step / 8 * hidden.T @ error).astype(np.float32)
-            bias -= (step / 8 * error.sum(0)).astype(np.float32)
-            slope = np.stack([np.bincount(where, share * back[row, k], len(used)) for k in range(size)], 1)
-            table[used] = vectors - (step * len(own) * slope).astype(np.float32)
-    return Model((table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+        shared = spark.sparkContext.broadcast(tuple(now))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, epoch=epoch) -> Iterator[pa.RecordBatch]:
+            w = Weights(*(x.copy() for x in shared.value))
+            done = 0
+            for b in batches:
+                for i in range(b.num_rows):
+                    group = {c: np.frombuffer(b.column(c)[i].as_buffer(), k) for c, k in kinds.items()}
+                    _step(w, group, share_of_label, rate * (1 - (epoch * groups + min(done, groups)) / (epochs * groups)))
+                    done += 1
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in w], ["t", "o", "b"])
+
+        with rows_per_batch(spark, 2):
+            turn = features.repartition(1).sortWithinPartitions(F.xxhash64("g", F.lit(epoch)))
+            made = turn.mapInArrow(run, "t binary, o binary, b binary").first()
+        shared.unpersist()
+        now = Weights(*(np.frombuffer(made[i], np.float32).reshape(x.shape) for i, x in enumerate(now)))
+    return Model((now.table @ (now.out[:, 1] - now.out[:, 0])).astype(np.float32), float(now.bias[1] - now.bias[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL, most_bytes: int = TRAINING_BYTES, label: str = "quality") -> Model:
@@ -143,17 +183,20 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
     chosen = materialize(parts[0].unionByName(parts[1]))  # at most 2 * rows_per_label rows
     texts = docs.select("doc_id", F.col("text").alias("__text")).filter("__text IS NOT NULL")
     sample = materialize(texts.join(F.broadcast(chosen), "doc_id").withColumn("__n", F.octet_length("__text")))
-    spent, ids, numbers = 0, [], set()
-    for r in sample.select("doc_id", "__n").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows_per_label).collect():
-        if spent + r["__n"] <= most_bytes and r["doc_id"] not in numbers:
+    first = F.min(F.struct("__n", F.xxhash64("__text").alias("h"), "__y")).alias("f")  # of repeated ids one row
+    one = sample.groupBy("doc_id").agg(first).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows_per_label)
+    spent, ids, counts = 0, [], {0: 0, 1: 0}
+    for r in one.select("doc_id", "f.__n", "f.h", "f.__y").collect():
+        if spent + r["__n"] <= most_bytes:
             spent += r["__n"]
-            numbers.add(r["doc_id"])
-            ids.append(r["doc_id"])
-    rows = sample.filter(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"]).orderBy("doc_id").collect() if ids else []
-    model = fit([r["__text"] for r in rows], [r["__y"] for r in rows])
-    del rows
-    give_back()
+            counts[r["__y"]] += 1
+            ids.append((r["doc_id"], r["h"], r["__y"]))
     prior = np.log((totals.get(1, 0) + 1) / (totals.get(0, 0) + 1))
+    if not ids:
+        return Model(np.zeros(BUCKETS, np.float32), float(prior))
+    rows = docs.sparkSession.createDataFrame(ids, "doc_id long, h long, __y int")
+    used = sample.withColumn("h", F.xxhash64("__text")).join(F.broadcast(rows), ["doc_id", "h", "__y"])
+    model = fit(used.dropDuplicates(["doc_id"]).select("doc_id", "__text", "__y"), counts)
     return model._replace(bias=model.bias + float(prior))
 
 
