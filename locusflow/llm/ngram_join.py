@@ -95,7 +95,7 @@ def _bucket_counts(grams: np.ndarray) -> bytes:
     return np.minimum(np.bincount((grams & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
 
 
-_MATRIX = "gram long, key long, doc_id long, n int, counts binary"
+_MATRIX = "gram long, key long, doc_id long, row long, n int, counts binary"
 
 
 def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -113,7 +113,7 @@ def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
         first: dict[bytes, int] = {}
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = part.column("doc_id").to_pylist()
+                ids, marks = part.column("doc_id").to_pylist(), part.column("row")
                 keys, sizes, counts, columns = [], [], [], []
                 for doc_id, grams in zip(ids, _sets(part.column("text"), n), strict=True):
                     sizes.append(len(grams))
@@ -142,13 +142,14 @@ def incidence(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(grams)]),
                         pa.concat_arrays([pa.array(keys, pa.int64()), pa.array(owners, pa.int64())]),
                         pa.concat_arrays([pa.array(ids, pa.int64()), none.cast(pa.int64())]),
+                        pa.concat_arrays([marks, none.cast(pa.int64())]),
                         pa.concat_arrays([pa.array(sizes, pa.int32()), pa.array(owned.astype(np.int32))]),
                         pa.concat_arrays([pa.array(counts, pa.binary()), none.cast(pa.binary())]),
                     ],
-                    ["gram", "key", "doc_id", "n", "counts"],
+                    ["gram", "key", "doc_id", "row", "n", "counts"],
                 )
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, _MATRIX))
+    return materialize(docs.select("doc_id", "text", "row").mapInArrow(run, _MATRIX))
 
 
 def drop_alone(percent: int):
@@ -359,9 +360,9 @@ def _links(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent:
 
 
 def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, key, n, counts`` of every document, and ``key, label`` of the keys that link."""
+    """``doc_id, row, key, n, counts`` of every document, and ``key, label`` of the keys that link."""
     table = incidence(docs, n, percent)
-    members = table.filter("gram IS NULL").select("doc_id", "key", "n", "counts")
+    members = table.filter("gram IS NULL").select("doc_id", "row", "key", "n", "counts")
     rows = members.filter("counts IS NOT NULL AND n > 0").select("key", "doc_id", "n", "counts")
     leading = table.filter("gram IS NOT NULL").select("gram", "key", "n")
     # Frequent n-grams have company for certain, and stay where they are.
@@ -402,6 +403,14 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     return members, labels
 
 
+def _placed(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id, row, n, label`` of every document; linked documents, and no others, share a label, null without words."""
+    with rows_per_batch(docs.sparkSession, TEXT_ROWS):
+        members, labels = _linked(docs, n, percent)
+    label = F.when(F.col("n") > 0, F.coalesce("label", "key")).alias("label")
+    return members.join(labels, "key", "left").select("doc_id", "row", "n", label)
+
+
 def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -413,11 +422,34 @@ def document_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id:
     Null texts count as empty.  Rows with a null id take no part and return with a null component.  Rows that repeat an
     id are documents of their own that share it.  Other columns are ignored.  An empty table returns no row.  Eager.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    with rows_per_batch(docs.sparkSession, TEXT_ROWS):
-        members, labels = _linked(docs, n, percent)
-    placed = members.join(labels, "key", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("label", "key")).alias("label"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("long").alias("row"))
+    placed = _placed(docs, n, percent)
     least = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "label", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of every group of linked documents one row stays.
+
+    It is the one with the smallest id; rows without an id come last, and among equals a hash of the text decides.  Rows
+    of one id with different texts are documents of their own, rows equal in id and text are one.  Documents without
+    words link with nothing and stay, all of them where they have no id.  All columns are kept as they are.  Eager.
+    """
+    ids = F.col(doc_id).cast("long")
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    # The last bit says that there is no id; the hash stands in for one then.
+    row = own.bitwiseAND(F.lit(-2)).bitwiseOR(F.when(ids.isNull(), 1).otherwise(0).cast("long"))
+    marked = docs.withColumns({"__of_id": F.coalesce(ids, own), "__of_row": row})
+    placed = materialize(_placed(marked.select(F.col("__of_id").alias("doc_id"), F.col(text).alias("text"), F.col("__of_row").alias("row")), n, percent))
+    same = placed.groupBy("label", "doc_id", "row").agg(F.count(F.lit(1)).alias("times"))
+    order = F.struct(F.col("row").bitwiseAND(F.lit(1)).alias("lost"), "doc_id", "row", "times")
+    chosen = same.filter("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("c")).select("c.doc_id", "c.row", "c.times")
+    chosen = chosen.unionByName(same.filter("label IS NULL AND row & 1 = 0").select("doc_id", "row", "times"))
+    chosen = materialize(chosen.select(F.col("doc_id").alias("__of_id"), F.col("row").alias("__of_row"), "times"))
+    keys = ["__of_id", "__of_row"]
+    once, many = (broadcast_if_few(chosen.filter(c).select(keys)) for c in ("times = 1", "times > 1"))
+    wordless = ~F.coalesce(F.col(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    kept = marked.join(once, keys, "left_semi").unionByName(marked.join(many, keys, "left_semi").dropDuplicates(keys))
+    return kept.unionByName(marked.filter(ids.isNull() & wordless)).select(*docs.columns)
