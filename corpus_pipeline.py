@@ -6,10 +6,11 @@ and read again as the next stage's ``docs``.  All but the last return the column
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from locusflow.llm import mixing, ngram_join, packing, pii, quality
-from locusflow.llm.batches import broadcast_if_few
 from locusflow.llm.catalog import WORD_BPE, mixing_size
 from locusflow.llm.shipping import ship
 from locusflow.session import materialize
@@ -18,47 +19,51 @@ from locusflow.session import materialize
 SHINGLE_WORDS, SIMILARITY, MAX_PASSES = 5, 80, 1.25
 
 
+def aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``used`` under names of no meaning, so that no operator adds or replaces one of the
+    user's, and a function that gives a result the columns of ``docs`` back."""
+    names = {c: c if c in used else f"__aside_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return renamed, lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labels that are not held out.
 
-    Null and empty texts get the score of a text without words.  Rows are judged one by one.
+    Null and empty texts get the score of a text without words.  Rows are judged one by one; all columns stay as they are.
     """
     ship(spark)
-    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model).filter("predicted = 1").select(*docs.columns)
+    own, back = aside(docs, "doc_id", "text")
+    model = quality.train(own, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return back(quality.score(own, model).filter("predicted = 1"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id.
+    """Of each group of near duplicates the document with the smallest id; rows without one come last.
 
-    Empty texts link with nothing and stay, rows with a null id too.  Of rows that repeat the id that stays, one stays.
+    Rows that repeat an id with different texts are documents of their own, rows equal in id and text are one.
+    Documents without words link with nothing and stay.
     """
     ship(spark)
-    groups = materialize(ngram_join.document_components(docs, SHINGLE_WORDS, SIMILARITY))
-    stays = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    once = broadcast_if_few(stays.filter("n = 1").select("doc_id"))
-    many = broadcast_if_few(stays.filter("n > 1").select("doc_id"))
-    return (
-        docs.join(once, "doc_id", "left_semi")
-        .unionByName(docs.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-        .unionByName(docs.filter("doc_id IS NULL"))
-        .select(*docs.columns)
-    )
+    own, back = aside(docs, "doc_id", "text")
+    return back(ngram_join.one_of_each(own, SHINGLE_WORDS, SIMILARITY))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data in their texts replaced by its kind; ``n_chars`` follows the text."""
     ship(spark)
-    hidden = pii.find(docs, pii.train(docs), redact=True)
+    own, back = aside(docs, "text")
+    hidden = back(pii.find(own, pii.train(own), redact=True))
     if "n_chars" in docs.columns:
         hidden = hidden.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return hidden.select(*docs.columns)
+    return hidden
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of small sources up to ``MAX_PASSES`` times over; every document at least once."""
     ship(spark)
-    return mixing.mix(docs, mixing_size(), max_passes=MAX_PASSES).select(*docs.columns)
+    own, back = aside(docs, "doc_id", "source", "text")
+    return back(mixing.mix(own, mixing_size(), max_passes=MAX_PASSES))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
