@@ -185,4 +185,4 @@ marked AS (
 
 
 def with_ctes(*parts: str, select: str) -> str:
-    return "WITH " + ",\n".join(parts) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + select

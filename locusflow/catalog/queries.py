@@ -228,30 +228,33 @@ def _(spark, sf):
 
 # Regions ----------------------------------------------------------------------------
 
-_UNIFORM = """sized AS (SELECT contig_idx, length, {step} AS step, greatest(1, CAST(floor(total / ({n} * pow(0.95, {step}))) AS BIGINT)) AS target
-  FROM {source}, (SELECT sum(length)::BIGINT AS total FROM {source}) t {steps}),
-packed AS (SELECT *, length < target AS short, coalesce(sum(length) OVER (PARTITION BY step, length < target ORDER BY contig_idx
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM sized),
-counted AS (SELECT *, CASE WHEN short THEN before * 5 // target END AS pack,
-    CASE WHEN short THEN 1 ELSE (length + target - 1) // target END AS k FROM packed),
-chosen AS (SELECT min(step) AS step FROM (SELECT step, count(DISTINCT pack) + sum(CASE WHEN short THEN 0 ELSE k END) AS found
-    FROM counted GROUP BY step) f WHERE {fits}),
-kept AS (SELECT * FROM counted WHERE step = (SELECT step FROM chosen)),
-long_ones AS (SELECT *, coalesce((SELECT max(pack) + 1 FROM kept), 0)
-    + coalesce(sum(k) OVER (ORDER BY contig_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_key FROM kept WHERE NOT short),
-regions AS (SELECT pack AS region_key, contig_idx, 1 AS start, length AS end_pos FROM kept WHERE short
+_UNIFORM = """asked AS (SELECT step, greatest(1, CAST(floor(total / ({n} * pow(0.95, step))) AS BIGINT)) AS target
+  FROM (SELECT sum(length)::BIGINT AS total FROM {source}) t, (SELECT unnest(range(0, {steps})) AS step) r),
+short AS (SELECT step, target, contig_idx, length, row_number() OVER (PARTITION BY step ORDER BY contig_idx) AS i,
+    coalesce(sum(length) OVER (PARTITION BY step ORDER BY contig_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM {source}, asked WHERE length < target),
+walk AS (SELECT step, i AS first, before AS at, 0 AS key FROM short WHERE i = 1
+  UNION ALL SELECT w.step, min(s.i), min(s.before)::BIGINT, w.key + 1 FROM walk w JOIN short s ON s.step = w.step AND s.i > w.first AND s.before - w.at > s.target / 5.0
+  GROUP BY w.step, w.key),
+packs AS (SELECT s.step, s.contig_idx, s.length, w.key FROM short s ASOF JOIN walk w ON s.step = w.step AND s.i >= w.first),
+long_ones AS (SELECT step, contig_idx, length, (length + target - 1) // target AS k FROM {source}, asked WHERE length >= target),
+counted AS (SELECT step, coalesce((SELECT max(key) + 1 FROM packs p WHERE p.step = a.step), 0) AS packed,
+    coalesce((SELECT sum(k) FROM long_ones l WHERE l.step = a.step), 0)::BIGINT AS cut FROM asked a),
+chosen AS (SELECT step, packed FROM counted WHERE {fits} ORDER BY step LIMIT 1),
+regions AS (SELECT key AS region_key, contig_idx, 1 AS start, length AS end_pos FROM packs JOIN chosen USING (step)
   UNION ALL SELECT first_key + piece, contig_idx, 1 + piece * (length // k + 1), least((piece + 1) * (length // k + 1), length)
-  FROM (SELECT *, unnest(range(0, k)) AS piece FROM long_ones) c),
+  FROM (SELECT *, unnest(range(0, k)) AS piece FROM (SELECT contig_idx, length, k,
+    packed + coalesce(sum(k) OVER (ORDER BY contig_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_key
+    FROM long_ones JOIN chosen USING (step)) l) c),
 plan AS (SELECT * FROM regions WHERE start <= end_pos)"""
 
 
 def _uniform(n: int, source: str = "contigs") -> str:
-    return _UNIFORM.format(n=n, source=source, step="0", steps="", fits="true")
+    return _UNIFORM.format(n=n, source=source, steps=1, fits="true")
 
 
 def _uniform_retry(n: int, source: str) -> str:
-    steps = ", (SELECT unnest(range(0, 200)) AS s) r"
-    return _UNIFORM.format(n=n, source=source, step="s", steps=steps, fits=f"found <= {n}")
+    return _UNIFORM.format(n=n, source=source, steps=200, fits=f"packed + cut <= {n}")
 
 
 @registered(
@@ -275,13 +278,14 @@ def _(spark, sf):
     sql.with_ctes(
         sql.CONTIGS, sql.EXONS, sql.islands("exons", "clusters", 299),
         """target AS (SELECT sum(length)::BIGINT // 60 AS t FROM contigs),
-nexts AS (SELECT c.*, t, lead(start) OVER w AS next_start, lead(end_pos) OVER w AS next_end FROM clusters c, target
-  WINDOW w AS (PARTITION BY contig_idx ORDER BY start)),
-starts AS (SELECT contig_idx, 1 AS start FROM contigs UNION ALL
-  SELECT contig_idx, end_pos + (next_start - end_pos) // 2 + 1 FROM nexts WHERE end_pos // t < next_end // t)""",
+walk AS (SELECT contig_idx, 1::BIGINT AS start, 0::BIGINT AS seen FROM contigs
+  UNION ALL SELECT contig_idx, last + (next - last) // 2 + 1, last FROM (
+    SELECT w.contig_idx, min(c.end_pos) AS last, (SELECT min(n.start) FROM clusters n WHERE n.contig_idx = w.contig_idx AND n.start > min(c.end_pos)) AS next
+    FROM walk w, target JOIN clusters c ON c.contig_idx = w.contig_idx AND c.end_pos > w.seen AND c.end_pos - w.start + 1 >= t
+    GROUP BY w.contig_idx) x WHERE next IS NOT NULL)""",
         select="""SELECT row_number() OVER (ORDER BY s.contig_idx, start) - 1 AS region_key, s.contig_idx, start,
  coalesce(lead(start) OVER (PARTITION BY s.contig_idx ORDER BY start) - 1, length) AS end_pos
- FROM starts s JOIN contigs c ON s.contig_idx = c.contig_idx""",
+ FROM walk s JOIN contigs c ON s.contig_idx = c.contig_idx""",
     ),
 )
 def _(spark, sf):
@@ -300,15 +304,20 @@ def _(spark, sf):
 @registered(
     "plan_regions_by_load",
     sql.with_ctes(
-        sql.ALIGN, sql.MAPPED, _BINS,
-        """summed AS (SELECT *, (coalesce(sum(reads) OVER (ORDER BY contig_idx, start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS before,
-  (SELECT sum(reads)::BIGINT // 30 FROM bins) AS target FROM bins)""",
-        select="""SELECT before // target AS region_key, contig_idx, min(start) AS start, max(end_pos) AS end_pos, sum(reads)::BIGINT AS reads
- FROM summed GROUP BY before // target, contig_idx""",
+        sql.CONTIGS, sql.ALIGN, sql.MAPPED, _BINS,
+        """every AS (SELECT contig_idx, start, reads FROM bins UNION ALL SELECT contig_idx, 1, 0 FROM contigs WHERE contig_idx NOT IN (SELECT contig_idx FROM bins)),
+numbered AS (SELECT *, row_number() OVER (ORDER BY contig_idx, start) AS i, (SELECT sum(reads)::BIGINT // 30 FROM bins) AS target FROM every),
+walk AS (SELECT i, 0 AS key, reads AS load FROM numbered WHERE i = 1
+  UNION ALL SELECT n.i, CASE WHEN w.load + n.reads > target THEN w.key + 1 ELSE w.key END, CASE WHEN w.load + n.reads > target THEN n.reads ELSE w.load + n.reads END
+  FROM walk w JOIN numbered n ON n.i = w.i + 1),
+cut AS (SELECT key, contig_idx, min(start) AS start, sum(reads)::BIGINT AS reads FROM numbered JOIN walk USING (i) GROUP BY key, contig_idx)""",
+        select="""SELECT key AS region_key, contig_idx, CASE WHEN row_number() OVER w = 1 THEN 1 ELSE start END AS start,
+ coalesce(lead(start) OVER w - 1, length) AS end_pos, reads FROM cut JOIN contigs USING (contig_idx) WINDOW w AS (PARTITION BY contig_idx ORDER BY key)""",
     ),
 )
 def _(spark, sf):
-    return regions.plan_regions_by_load(regions.bin_reads(mapped(spark, sf), 5000), 30, scan_rows=100_000)
+    bins = regions.bin_reads(mapped(spark, sf), 5000)
+    return regions.plan_regions_by_load(bins, v.contigs(spark, sf), 30, scan_rows=100_000)
 
 
 @registered(

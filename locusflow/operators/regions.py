@@ -10,9 +10,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from locusflow.operators.greedy import greedy_groups
 from locusflow.operators.intervals import explode_bins, interval_join, merge_intervals
 from locusflow.operators.joins import broadcast_if_small, fits_broadcast, spread_join
-from locusflow.operators.scans import running_sum_before
 from locusflow.session import materialize
 
 #: Short contigs share a region until they fill this fraction of the target length.
@@ -23,92 +23,93 @@ GENE_SEPARATION = 100_000
 REGION_BIN = 65_536
 #: Dictionary entries per stretch of the packing sum.
 DICT_CELL = 65_536
-#: Each retry lowers the number of regions to this fraction.
-RETRY = 0.95
+#: Gene starts are numbered in stretches of so many bases.
+GENE_CELL = 10_000_000
+#: Each retry lowers the number of regions to this fraction; so many retries are looked at in one go.
+RETRY, TRIES = 0.95, 16
 
 
-def _sized(contigs: DataFrame, target: Column) -> DataFrame:
-    """Contigs with target length, number of pieces and, if shorter than the target, the pack they fall in.
+def _packed(lengths: DataFrame, total: int, tries: list[tuple[int, int]]) -> DataFrame:
+    """Contigs under each try ``(number, target length)``: ``pieces``, and the ``pack`` of those shorter than the target.
 
-    ``contigs`` carries ``__step``; packs are multiples of a running length, which is
-    carried over stretches of the dictionary.
+    A pack takes contigs in dictionary order and closes once its length is above ``target / PACK_FACTOR``.
     """
-    cut = contigs.withColumn("__target", target).withColumns(
-        {"__short": F.col("length") < F.col("__target"), "__cell": F.expr(f"contig_idx div {DICT_CELL}")}
-    )
-    placed = running_sum_before(cut, ["__step", "__short"], "__cell", ["contig_idx"], "length", "__before")
-    return placed.withColumns(
-        {
-            "__pack": F.when(F.col("__short"), F.expr(f"__before * {PACK_FACTOR} div __target")),
-            "__pieces": F.when(F.col("__short"), F.lit(1)).otherwise(F.ceil(F.col("length") / F.col("__target"))),
-        }
-    ).drop("__cell", "__before")
+    asked = F.explode(F.array(*[F.struct(F.lit(t).alias("try"), F.lit(n).cast("long").alias("target")) for t, n in tries])).alias("t")
+    sized = lengths.select("*", asked).select("contig_idx", "length", "t.*").withColumn("cell", F.expr(f"contig_idx div {DICT_CELL}"))
+    packs = greedy_groups(
+        sized.filter("length < target"), ["try"], "cell", ["contig_idx"], "length",
+        lambda before: (PACK_FACTOR * before, PACK_FACTOR * before + F.col("target")), "pack", PACK_FACTOR * total,
+    )
+    long_ones = sized.filter("length >= target").withColumn("pack", F.lit(None).cast("long"))
+    pieces = F.when(F.col("pack").isNull(), F.ceil(F.col("length") / F.col("target"))).otherwise(1).cast("long")
+    return packs.drop("cell").unionByName(long_ones.drop("cell")).withColumn("pieces", pieces)
 
 
 def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False) -> DataFrame:
     """Regions ``(region_key, contig_idx, start, end_pos)`` of about ``total / n`` bases.
 
-    Contigs shorter than the target are packed in dictionary order; longer ones are
-    cut into equal pieces.  Packed keys come first and may leave numbers out.  With
-    ``retry`` the number is lowered in steps of 5 % until at most ``n`` keys result; the
-    steps go on until all contigs fit one pack, so one of them always does.  All are
-    evaluated in one job instead of a driver loop.
+    Contigs shorter than the target are packed in dictionary order, greedily; longer ones are cut into equal pieces.
+    Packed keys come first.  With ``retry`` the number asked for is lowered in steps of 5 % until at most ``n`` keys
+    result; a few steps are tried at once, and one always fits, as in the end all contigs fit one pack.  Eager.
     """
-    lengths = contigs.select("contig_idx", F.col("length").cast("long").alias("length"))
-    total = lengths.agg(F.sum("length").alias("t"))
-    last = math.ceil(math.log(n * (PACK_FACTOR + 1)) / -math.log(RETRY)) + 1 if retry else 0
-    steps = F.sequence(F.lit(0), F.lit(last))
-    tried = lengths.withColumn("__step", F.explode(steps))
-    asked = F.lit(n) * F.pow(F.lit(RETRY), F.col("__step"))
-    sized = _sized(tried, F.greatest(F.lit(1).cast("long"), F.floor(total.scalar() / asked)))
-    if retry:
-        per_pack = sized.groupBy("__step", "__pack").agg(F.sum("__pieces").alias("p"))
-        keys = per_pack.groupBy("__step").agg(F.sum(F.when(F.col("__pack").isNull(), F.col("p")).otherwise(1)).alias("k"))
-        fits = F.when(F.col("k") <= n, F.col("__step"))
-        chosen = keys.agg(F.min(fits).alias("s"))
-        sized = sized.filter(F.col("__step") == chosen.scalar())
-
-    short = sized.filter("__short").select(
-        F.col("__pack").alias("region_key"), "contig_idx", F.lit(1).cast("long").alias("start"), F.col("length").alias("end_pos")
-    )
-    packs = sized.filter("__short").agg(F.coalesce(F.max("__pack") + 1, F.lit(0)).alias("m"))
+    lengths = materialize(contigs.select("contig_idx", F.col("length").cast("long").alias("length")))
+    total = lengths.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    at = 0
+    while True:
+        steps = range(at, at + (TRIES if retry else 1))
+        tried = materialize(_packed(lengths, total, [(s, max(1, math.floor(total / (n * RETRY**s)))) for s in steps]))
+        packs = F.coalesce(F.max("pack") + 1, F.lit(0))
+        keys = tried.groupBy("try").agg(packs.alias("packs"), F.sum(F.when(F.col("pack").isNull(), F.col("pieces"))).alias("cut"))
+        found = {r["try"]: (r["packs"], r["packs"] + (r["cut"] or 0)) for r in keys.collect()}
+        chosen = next((s for s in steps if not retry or found.get(s, (0, 0))[1] <= n), None)
+        if chosen is not None:
+            break
+        at += TRIES
+    kept = tried.filter(F.col("try") == chosen)
+    one = F.lit(1).cast("long")
+    short = kept.filter("pack IS NOT NULL").select(F.col("pack").alias("region_key"), "contig_idx", one.alias("start"), F.col("length").alias("end_pos"))
     # At most n contigs are as long as the target, so this window is small.
     earlier = Window.partitionBy().orderBy("contig_idx").rowsBetween(Window.unboundedPreceding, -1)
-    long_ones = sized.filter("NOT __short").withColumn("__first", F.coalesce(F.sum("__pieces").over(earlier), F.lit(0)))
-    pieces = long_ones.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__pieces") - 1)))
-    size = F.floor(F.col("length") / F.col("__pieces")) + 1
-    cut = pieces.select(
-        (F.col("__first") + F.col("__piece") + packs.scalar()).alias("region_key"),
-        "contig_idx",
-        (1 + F.col("__piece") * size).alias("start"),
-        F.least((F.col("__piece") + 1) * size, F.col("length")).alias("end_pos"),
-    )
+    first = F.coalesce(F.sum("pieces").over(earlier), F.lit(0)) + found.get(chosen, (0, 0))[0]
+    long_ones = kept.filter("pack IS NULL").withColumn("first", first)
+    cut = long_ones.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    size = F.floor(F.col("length") / F.col("pieces")) + 1
+    cut = cut.select(
+        (F.col("first") + F.col("piece")).alias("region_key"), "contig_idx",
+        (1 + F.col("piece") * size).alias("start"), F.least((F.col("piece") + 1) * size, F.col("length")).alias("end_pos"),
+    )
     return short.unionByName(cut).filter("start <= end_pos")
 
 
 def plan_regions_by_genes(contigs: DataFrame, genes: DataFrame, n: int, min_gap: int = GENE_SEPARATION) -> DataFrame:
-    """Regions of about ``total / n`` bases whose borders lie midway between gene clusters.
+    """Regions of at least ``total / n`` bases whose borders lie midway between gene clusters.
 
-    Genes closer than ``min_gap`` form one cluster and are never separated.  A border
-    falls between neighbouring clusters whose ends lie in different multiples of the
-    target length.  Contigs without genes are one region.
+    Genes closer than ``min_gap`` form one cluster and are never separated.  A region takes clusters until it reaches
+    from its start to the last one's end over the target length, and ends midway to the next.  The first region of a
+    contig starts with it and the last one ends with it; contigs without genes are one region, genes on unknown contigs
+    are ignored.  Eager.
     """
-    lengths = contigs.select("contig_idx", F.col("length").cast("long").alias("__length"))
-    target = lengths.agg(F.greatest(F.lit(1), F.floor(F.sum("__length") / n)).alias("__target"))
-    clusters = merge_intervals(genes.select("contig_idx", "start", "end_pos"), gap=min_gap - 1)
-    known = lengths.withColumn("__target", target.scalar())
+    lengths = materialize(contigs.select("contig_idx", F.col("length").cast("long").alias("length")))
+    total = lengths.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    target = max(1, total // n)
+    clusters = merge_intervals(genes.select("contig_idx", "start", "end_pos"), gap=min_gap - 1).select("contig_idx", "start", "end_pos")
+    clusters = materialize(clusters.join(broadcast_if_small(lengths.select("contig_idx")), "contig_idx", "left_semi"))
+    # Where a region would start if this cluster were its first: midway from the cluster before.
     along = Window.partitionBy("contig_idx").orderBy("start")
-    placed = clusters.join(broadcast_if_small(known), "contig_idx").withColumns(
-        {"__next": F.lead("start").over(along), "__next_end": F.lead("end_pos").over(along)}
-    )
-    crosses = F.expr("end_pos div __target < __next_end div __target")
-    borders = placed.filter(crosses).select(
-        "contig_idx", (F.col("end_pos") + F.floor((F.col("__next") - F.col("end_pos")) / 2) + 1).alias("start")
-    )
-    starts = known.select("contig_idx", F.lit(1).cast("long").alias("start")).unionByName(borders)
-    region = starts.join(broadcast_if_small(lengths), "contig_idx").withColumn(
-        "end_pos", F.coalesce(F.lead("start").over(along) - 1, F.col("__length"))
-    )
+    gap = F.floor((F.col("start") - F.lag("end_pos").over(along)) / 2)
+    placed = clusters.withColumn("from", F.coalesce(F.lag("end_pos").over(along) + gap + 1, F.lit(1).cast("long")))
+    placed = placed.withColumn("cell", F.expr(f"start div {GENE_CELL}"))
+    # The region goes on while its length is below the target: up to and with the first cluster that ends beyond that.
+    ends_before = F.coalesce(F.lag("end_pos").over(along), F.lit(0).cast("long"))
+    grouped = greedy_groups(
+        placed.withColumns({"reach": ends_before, "n": F.lit(1)}), ["contig_idx"], "cell", ["start"], "n",
+        lambda _: (F.col("reach"), F.col("from") + target - 2), "group", total,
+    )
+    borders = grouped.groupBy("contig_idx", "group").agg(F.min("from").alias("start")).select("contig_idx", "start")
+    starts = borders.unionByName(lengths.join(borders, "contig_idx", "left_anti").select("contig_idx", F.lit(1).cast("long").alias("start")))
+    ordered = starts.join(broadcast_if_small(lengths), "contig_idx")
+    region = ordered.withColumn("end_pos", F.coalesce(F.lead("start").over(along) - 1, F.col("length")))
+    # About n rows are numbered here.
     key = F.row_number().over(Window.partitionBy().orderBy("contig_idx", "start")) - 1
     return region.select(key.cast("long").alias("region_key"), "contig_idx", "start", "end_pos")
 
@@ -125,22 +126,34 @@ def bin_reads(reads: DataFrame, width: int) -> DataFrame:
     )
 
 
-def plan_regions_by_load(bin_counts: DataFrame, n: int, scan_rows: int = 10_000_000) -> DataFrame:
-    """Regions holding about equal numbers of reads: ``(region_key, contig_idx, start, end_pos, reads)``.
+def plan_regions_by_load(bin_counts: DataFrame, contigs: DataFrame, n: int, scan_rows: int = 10_000_000) -> DataFrame:
+    """Regions holding at most about ``total / n`` reads: ``(region_key, contig_idx, start, end_pos, reads)``.
 
-    The key is the running read count before a bin divided by ``total / n``, so a bin
-    above the target closes its region.  The running sum is carried across contigs
-    and axis bins, not computed in one window.
+    A key takes bins in genome order until the next one would lift it above the target, also across contigs; a bin above
+    the target has a key of its own.  Every position of every contig lies in one region: a region reaches to the next
+    one's start, the first of a contig starts with it, the last one ends with it, and a contig without reads belongs to
+    the key at its place.  Bins on unknown contigs are ignored.  Eager.
     """
-    total = bin_counts.agg(F.greatest(F.lit(1), F.floor(F.sum("reads") / n)).alias("__target"))
-    cells = bin_counts.withColumns(
-        {"__all": F.lit(0), "__cell": F.struct(F.col("contig_idx").cast("long"), F.expr(f"bigint(start) div {scan_rows}"))}
-    )
-    summed = running_sum_before(cells, ["__all"], "__cell", ["contig_idx", "start"], "reads", "__before")
-    keyed = summed.withColumn("__target", total.scalar()).withColumn("region_key", F.expr("__before div __target"))
-    return keyed.groupBy("region_key", "contig_idx").agg(
-        F.min("start").alias("start"), F.max("end_pos").alias("end_pos"), F.sum("reads").alias("reads")
+    lengths = materialize(contigs.select("contig_idx", F.col("length").cast("long").alias("length")))
+    known = broadcast_if_small(lengths)
+    bins = bin_counts.select("contig_idx", F.col("start").cast("long").alias("start"), F.col("reads").cast("long").alias("reads"))
+    bins = materialize(bins.join(known, "contig_idx").drop("length"))
+    bare = lengths.join(bins.select("contig_idx").distinct(), "contig_idx", "left_anti")
+    bins = bins.unionByName(bare.select("contig_idx", F.lit(1).cast("long").alias("start"), F.lit(0).cast("long").alias("reads")))
+    total = bins.agg(F.coalesce(F.sum("reads"), F.lit(0))).first()[0]
+    target = max(1, total // n)
+    cells = bins.withColumns(
+        {"all": F.lit(0), "cell": F.struct(F.col("contig_idx").cast("long"), F.expr(f"start div {scan_rows}"))}
     )
+    keyed = greedy_groups(
+        cells, ["all"], "cell", ["contig_idx", "start"], "reads",
+        lambda before: (before + F.col("reads"), before + target), "region_key", total,
+    )
+    region = keyed.groupBy("region_key", "contig_idx").agg(F.min("start").alias("start"), F.sum("reads").alias("reads"))
+    along = Window.partitionBy("contig_idx").orderBy("region_key")
+    ends = F.coalesce(F.lead("start").over(along) - 1, F.col("length"))
+    begins = F.when(F.lag("start").over(along).isNull(), 1).otherwise(F.col("start")).cast("long")
+    return region.join(known, "contig_idx").select("region_key", "contig_idx", begins.alias("start"), ends.alias("end_pos"), "reads")
 
 
 def rank_regions_by_load(regions: DataFrame, bin_counts: DataFrame, **join_options) -> DataFrame:

@@ -38,12 +38,20 @@ def carry_into_bins(
 
 
 def running_sum_before(
-    df: DataFrame, group: Sequence[str], bin_col: str, order: Sequence[str], value: str, name: str
+    df: DataFrame, group: Sequence[str], bin_col: str, order: Sequence[str], value: str | Sequence[str], name: str | Sequence[str]
 ) -> DataFrame:
-    """Sum of ``value`` over all earlier rows of the group, in ``(bin, order)`` order.
+    """Sum of ``value`` over all earlier rows of the group, in ``(bin, order)`` order; several values in one pass.
 
     Bins must be monotone in the order; ``(bin, order)`` must be a total order.
     """
-    carried = carry_into_bins(df, group, bin_col, F.sum(value), F.sum, "__carry")
-    inside = F.coalesce(F.sum(value).over(before([*group, bin_col], order)), F.lit(0))
-    return carried.withColumn(name, inside + F.coalesce("__carry", F.lit(0))).drop("__carry")
+    values, names = ([value], [name]) if isinstance(value, str) else (list(value), list(name))
+    keys = [*group, bin_col]
+    totals = df.groupBy(*keys).agg(*[F.sum(v).alias(f"__carry{i}") for i, v in enumerate(values)])
+    earlier = before(group, [bin_col])
+    carried = totals.select(*keys, *[F.sum(f"__carry{i}").over(earlier).alias(f"__carry{i}") for i in range(len(values))])
+    inside = before(keys, order)
+    sums = [
+        (F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.coalesce(f"__carry{i}", F.lit(0))).alias(n)
+        for i, (v, n) in enumerate(zip(values, names, strict=True))
+    ]
+    return df.join(carried, keys).select(*[F.col(c) for c in df.columns if c not in names], *sums)

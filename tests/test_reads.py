@@ -392,7 +392,62 @@ def test_regions_of_equal_contigs_fit_after_retries(spark):
         assert regions.plan_regions_uniform(contigs, n, retry=True).select("region_key").distinct().count() <= n
 
 
-def test_load_plan_of_long_contigs_does_not_depend_on_the_scan(spark):
+def test_load_plan_does_not_depend_on_the_scan(spark):
     bins = spark.createDataFrame([(c, 1 + 10**6 * b, 10**6 * (b + 1), 5 + (b + c) % 3) for c in range(2) for b in range(100)], "contig_idx long, start long, end_pos long, reads long")
-    plans = [sorted(map(tuple, regions.plan_regions_by_load(bins, 9, scan_rows=s).collect())) for s in (100, 10**6, 10**9)]
+    contigs = spark.createDataFrame([(c, 10**8) for c in range(2)], "contig_idx long, length long")
+    plans = [sorted(map(tuple, regions.plan_regions_by_load(bins, contigs, 9, scan_rows=s).collect())) for s in (100, 10**6, 10**9)]
     assert plans[0] == plans[1] == plans[2]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_plans_equal_greedy_walks(spark, seed):
+    chance = random.Random(seed)
+    lengths = [chance.choice([chance.randint(1, 40), chance.randint(1, 400), 15]) for _ in range(60)]
+    contigs = spark.createDataFrame(list(enumerate(lengths)), "contig_idx long, length long")
+    n = chance.randint(3, 40)
+    target = max(1, sum(lengths) // n)
+
+    key, size, want = 0, 0, []
+    for c, length in enumerate(lengths):
+        if length < target:
+            want.append((key, c, 1, length))
+            size += length
+            if 5 * size > target:
+                key, size = key + 1, 0
+    got = sorted(map(tuple, regions.plan_regions_uniform(contigs, n).collect()))
+    assert [r for r in got if lengths[r[1]] < target] == want
+    assert sorted((c, p) for _, c, a, b in got for p in range(a, b + 1)) == [(c, p) for c, x in enumerate(lengths) for p in range(1, x + 1)]
+
+    bins = [(c, 10 * b + 1, 10 * b + 10, chance.choice([0, 1, 3, 50])) for c in range(6) if c != 2 for b in range(30) if chance.random() < 0.7]
+    sizes = spark.createDataFrame([(c, 301) for c in range(6)], "contig_idx long, length long")
+    rows = spark.createDataFrame([*bins, (99, 1, 10, 1000)], "contig_idx long, start long, end_pos long, reads long")
+    most = max(1, sum(b[3] for b in bins) // n)
+    key, load, want = 0, 0, {}
+    for i, (c, start, reads) in enumerate(sorted([b[:2] + b[3:] for b in bins] + [(2, 1, 0)])):
+        if i and load + reads > most:
+            key, load = key + 1, 0
+        load += reads
+        first, many = want.get((key, c), (start, 0))
+        want[key, c] = first, many + reads
+    got = {(r["region_key"], r["contig_idx"]): r for r in regions.plan_regions_by_load(rows, sizes, n).collect()}
+    assert {k: r["reads"] for k, r in got.items()} == {k: m for k, (_, m) in want.items()}
+    for c in range(6):
+        spans = sorted((r["start"], r["end_pos"]) for k, r in got.items() if k[1] == c)
+        assert spans[0][0] == 1 and spans[-1][1] == 301 and all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:], strict=False))
+        assert [a for a, _ in spans][1:] == sorted(s for k, (s, _) in want.items() if k[1] == c)[1:]
+
+    genes = sorted((c, s := chance.randint(1, 5000), s + chance.randint(1, 60)) for c in range(2) for _ in range(60))
+    sizes = spark.createDataFrame([(c, 6000) for c in range(3)], "contig_idx long, length long")
+    want, least = [], max(1, 18000 // n)
+    for c in range(3):
+        start, end = 1, None
+        for _, a, b in [g for g in genes if g[0] == c]:
+            if end is not None and end - start + 1 >= least and a >= end + 20:
+                want.append((c, start, cut := end + (a - end) // 2))
+                start, end = cut + 1, b
+            else:
+                end = max(b, end or 0)
+        want.append((c, start, 6000))
+    rows = spark.createDataFrame([*genes, (77, 1, 5)], "contig_idx long, start long, end_pos long")
+    got = sorted(map(tuple, regions.plan_regions_by_genes(sizes, rows, n, min_gap=20).collect()))
+    assert got == [(k, *w) for k, w in enumerate(want)]
