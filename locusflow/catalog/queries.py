@@ -731,6 +731,13 @@ def _(spark, sf):
     return _recalibration(spark, sf)
 
 
+def _quality_sums(reads: DataFrame) -> DataFrame:
+    """Bases of each read, the sum of their qualities, and that weighted by place."""
+    rows = reads.select("read_id", F.posexplode(F.split("qual", "")).alias("off", "c"))
+    q = F.ascii("c") - quality.TEXT_OFFSET
+    return rows.groupBy("read_id").agg(F.count(F.lit(1)).alias("n"), F.sum(q).alias("total"), F.sum(q * (F.col("off") + 1)).alias("weighted"))
+
+
 @registered(
     "apply_recalibration",
     sql.with_ctes(
@@ -739,6 +746,20 @@ def _(spark, sf):
  FROM fresh GROUP BY read_id""",
     ),
 )
+def _(spark, sf):
+    reads = v.with_read_text(v.spread_small(mapped(spark, sf), "read_id"))
+    fresh = recalibrate.recalibrate_reads(reads.select("read_id", "library", "is_reverse", "seq", "qual"), _recalibration(spark, sf))
+    return _quality_sums(fresh)
+
+
+@registered(
+    "apply_recalibration_to_bases",
+    sql.with_ctes(
+        *_BASES_AND_COVARIATES, sql.RECALIBRATED,
+        select="""SELECT read_id, count(*) AS n, sum(new_qual)::BIGINT AS total, sum(new_qual * (off + 1))::BIGINT AS weighted
+ FROM fresh GROUP BY read_id""",
+    ),
+)
 def _(spark, sf):
     table = materialize(_recalibration(spark, sf))
     rows = v.with_previous_base(v.bases(spark, sf, cluster=False))

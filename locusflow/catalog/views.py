@@ -145,6 +145,26 @@ def bases(spark: SparkSession, sf_dir: str, min_mapq: int = 0, **explode_options
 QUALITY_TEXT = "array_join(transform(sequence(0L, read_len - 1), off -> char(35 + (read_id + off * 7) % 39)), '')"
 
 
+def with_read_text(reads: DataFrame) -> DataFrame:
+    """Add ``seq`` and ``qual`` of whole reads: the letters and qualities of ``with_bases`` as text.
+
+    Letters repeat every 11 positions and qualities every 39, so both are pieces of a repeated text; errors and planted
+    SNPs are then put in their places.
+    """
+    period = F.array_join(F.array(*[F.substring(F.lit("ACGT"), (1 + F.pmod(F.pmod(F.lit(r * 37) + F.col("contig_idx") * 13, F.lit(11)), F.lit(4))).cast("int"), F.lit(1)) for r in range(11)]), "")
+    length = F.col("read_len").cast("int")
+    text = F.substring(F.repeat(period, F.lit(11)), (1 + F.pmod("start", F.lit(11))).cast("int"), length)
+    snp = F.pmod(-F.col("start"), F.lit(211))
+    wrong = F.pmod(-F.col("read_id"), F.lit(97))
+    for off, step, where in ((snp, 2, (F.pmod("read_id", F.lit(2)) == 0)), (wrong, 1, F.lit(True)), (wrong + 97, 1, F.lit(True))):
+        code = F.pmod(F.pmod((F.col("start") + off) * 37 + F.col("contig_idx") * 13, F.lit(11)), F.lit(4))
+        letter = F.substring(F.lit("ACGT"), (1 + F.pmod(code + step, F.lit(4))).cast("int"), F.lit(1))
+        text = F.when(where & (off < F.col("read_len")), F.overlay(text, letter, (off + 1).cast("int"))).otherwise(text)
+    turns = "".join(chr(35 + k * 7 % 39) for k in range(39))
+    quality = F.substring(F.repeat(F.lit(turns), F.lit(4)), (1 + F.pmod(F.col("read_id") * 28, F.lit(39))).cast("int"), length)
+    return reads.withColumns({"seq": text, "qual": quality})
+
+
 def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
     """Full reads of pairs: CIGAR and quality text, starts folded so that copies occur.
 

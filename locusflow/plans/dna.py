@@ -11,11 +11,10 @@ from locusflow.operators.duplicates import mark_duplicates
 from locusflow.operators.filters import filter_mapped, primary_reads
 from locusflow.operators.intervals import merge_intervals
 from locusflow.operators.pileup import call_snps
-from locusflow.operators.recalibrate import apply_recalibration, recalibration_table
+from locusflow.operators.recalibrate import recalibrate_reads, recalibration_table
 from locusflow.operators.sequence import read_bases
 from locusflow.operators.targets import realign_targets
 from locusflow.operators.variants import DNA_CONFIDENCE, RNA_CONFIDENCE, annotate_variants, filter_variants
-from locusflow.session import materialize
 
 
 @dataclass(frozen=True)
@@ -31,10 +30,7 @@ class Calls:
 def _recalibrated(reads: DataFrame, reference: DataFrame, known_sites: DataFrame) -> DataFrame:
     """Base rows with recalibrated qualities in ``qual``."""
     table = recalibration_table(read_bases(reads, reference, exclude=known_sites))
-    # At most read groups x qualities x cycles x contexts rows, used by four marginals.
-    table = materialize(table)
-    fresh = apply_recalibration(read_bases(reads, reference), table)
-    return fresh.withColumn("qual", F.col("new_qual")).drop("new_qual")
+    return read_bases(recalibrate_reads(reads, table), reference)
 
 
 def run_dna(

@@ -171,6 +171,40 @@ def test_recalibration_restores_regular_errors(spark):
     assert masked.agg(F.sum("mismatches")).first()[0] == 0
 
 
+@pytest.mark.parametrize("limit", [256 << 20, 1])
+def test_reads_get_the_qualities_of_their_bases(spark, limit):
+    chance = random.Random(3)
+    text = lambda letters, n: "".join(chance.choice(letters) for _ in range(n))
+    rows = []
+    for i in range(400):
+        n = chance.randint(1, 30)
+        rows.append((f"r{i}", chance.choice(["g", "h", "i", None]), i % 2, 0, text("ACGTN", n), text("#5?I", n)))
+    learned = rows[:300] if limit > 1 else [r for r in rows[:300] if r[1]]
+    odd = [("x", "g", 0, 0, "ACGT", "*"), ("y", "g", 0, 0, None, "II"), ("z", "g", 1, 0, "AC", None), ("w", "new", 0, 0, "ACGT", "#5?I")]
+    schema = "read_id string, library string, is_reverse int, contig_idx long, seq string, qual string"
+
+    def bases(reads):
+        flat = []
+        for name, lib, rev, _, seq, qual in reads:
+            for o, (c, q) in enumerate(zip(seq, qual, strict=True)):
+                prev = o + 1 if rev else o - 1
+                flat.append((name, lib, rev, len(seq), o, c, seq[prev] if 0 <= prev < len(seq) else None, "A", ord(q) - 33))
+        return spark.createDataFrame(flat, "read_id string, library string, is_reverse int, read_len long, off long, base string, prev_base string, ref_base string, qual long")
+
+    table = recalibrate.recalibration_table(bases(learned))
+    reads = spark.createDataFrame(rows + odd, schema).repartition(3)
+    got = {r["read_id"]: r["qual"] for r in recalibrate.recalibrate_reads(reads, table, limit=limit).collect()}
+    assert len(got) == len(rows) + len(odd)
+    want: dict[str, dict] = {}
+    known = [r for r in rows if r[1] or limit > 1]
+    for r in recalibrate.apply_recalibration(bases(known), table).collect():
+        want.setdefault(r["read_id"], {})[r["off"]] = chr(r["new_qual"] + 33)
+    for name, lib, *_, qual in rows:
+        if lib is not None:  # a null group matches nothing in the join of bases
+            assert got[name] == "".join(want[name][o] for o in range(len(qual))), name
+    assert [got[n] for n in "xyzw"] == ["*", "II", None, "#5?I"]
+
+
 def test_recalibrated_qualities(spark):
     df = spark.createDataFrame([("r", 1, 9), ("r", 0, 7), ("s", 0, 3)], "read_id string, off long, new_qual int")
     got = {r["read_id"]: r["qual"] for r in recalibrate.recalibrated_qualities(df).collect()}
