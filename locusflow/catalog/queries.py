@@ -828,27 +828,31 @@ def _(spark, sf):
     return cigar.split_n_reads(reads).select("read_id", "segment", "start", "end_pos", "cigar", "mapq")
 
 
-# Each read is cut in half by an intron of 500 bases, while its letters run on.
-_SPLICED_BASES = f"""offsets AS (SELECT *, unnest(range(0, read_len)) AS off FROM marked WHERE is_unmapped = 0 AND is_duplicate = 0),
-placed AS (SELECT *, start + off + CASE WHEN off < read_len // 2 THEN 0 ELSE 500 END AS pos, 2 + (read_id + off * 7) % 39 AS qual FROM offsets),
+# The aligned part of each read is cut in half by an intron of 500 bases, while its letters run on; clips stay outside.
+_SPLICED_BASES = f"""offsets AS (SELECT *, unnest(range(lead_clip, lead_clip + read_len - clip)) AS off FROM marked WHERE is_unmapped = 0 AND is_duplicate = 0),
+placed AS (SELECT *, start - lead_clip + off + CASE WHEN off - lead_clip < (read_len - clip) // 2 THEN 0 ELSE 500 END AS pos,
+  2 + (read_id + off * 7) % 39 AS qual FROM offsets),
 bases AS (SELECT contig_idx, pos, qual, {sql.varied_letter("pos")} AS ref_base,
-         {sql.varied_letter("start + off", step=sql.step("start + off", "off"))} AS base FROM placed)"""
+         {sql.varied_letter("start - lead_clip + off", step=sql.step("start - lead_clip + off", "off"))} AS base FROM placed)"""
 
 
 @registered(
     "run_rna",
     sql.with_ctes(
-        sql.ALIGN, sql.records(4000, "read_id % 4 = 0", 500), _SPLICED_BASES,
+        sql.ALIGN, sql.records(4000, intron=500), _SPLICED_BASES,
         "strong AS (SELECT * FROM bases WHERE qual >= 10)", sql.calls("strong", 20, 20),
         select="SELECT contig_idx, pos, ref, alt, qual, gt, depth, alt_count, filter FROM called",
     ),
 )
 def _(spark, sf):
     reads = materialize(v.with_sequence(v.read_records(spark, sf, 4000)))
-    half = F.floor(F.col("read_len") / 2)
-    spliced = reads.filter("cigar NOT LIKE '%S%'").withColumn(
-        "cigar", F.concat(half.cast("string"), F.lit("M500N"), (F.col("read_len") - half).cast("string"), F.lit("M"))
-    ).withColumn("end_pos", F.col("end_pos") + 500)
+    clip = F.col("read_id") % 4
+    half = F.floor((F.col("read_len") - clip) / 2)
+    clipped = lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit("S"))).otherwise("")
+    text = F.concat(
+        clipped(F.col("lead")), half.cast("string"), F.lit("M500N"), (F.col("read_len") - clip - half).cast("string"), F.lit("M"), clipped(clip - F.col("lead"))
+    )
+    spliced = reads.withColumns({"cigar": text, "end_pos": F.col("end_pos") + 500})
     cells = materialize(v.reference_cells(spark, sf, pileup.PILEUP_BIN))
     return dna.run_rna(spliced, cells, min_base_quality=10, min_mapq=0).variants
 
@@ -898,9 +902,9 @@ def _(spark, sf):
 
 def _old_quality(spark, sf):
     """Reads whose libraries 1 and 2 use the old quality encoding."""
-    shifted = v.QUALITY_TEXT.replace("char(35 + ", "char(if(library = 'lib0', 35, 66) + ")
     reads = v.spread_small(v.alignments(spark, sf), "read_id")
-    return reads.withColumns({"rg_id": F.col("library"), "qual": F.expr(shifted)})
+    text = F.when(F.col("library") == "lib0", v.quality_text()).otherwise(v.quality_text(66))
+    return reads.withColumns({"rg_id": F.col("library"), "qual": text})
 
 
 _QUALITIES = """quals AS (SELECT library, read_id, list_max([2 + (read_id + o * 7) % 39 FOR o IN range(0, read_len)]) AS q_max,

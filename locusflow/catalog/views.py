@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from locusflow.functions.staging import computed_once
@@ -141,28 +143,36 @@ def bases(spark: SparkSession, sf_dir: str, min_mapq: int = 0, **explode_options
     return with_bases(explode_positions(reads, **explode_options))
 
 
-#: Quality text of the fixture: 2 + (read_id + off * 7) % 39 at each offset, as characters from 33 on.
-QUALITY_TEXT = "array_join(transform(sequence(0L, read_len - 1), off -> char(35 + (read_id + off * 7) % 39)), '')"
+def quality_text(first: int = 35) -> Column:
+    """Quality text of the fixture: ``(read_id + off * 7) % 39`` at each offset, as characters from ``first`` on.
 
+    It repeats every 39 bases, and 28 is the inverse of 7 modulo 39.
+    """
+    text = F.lit("".join(chr(first + k * 7 % 39) for k in range(39)))
+    return F.substring(F.repeat(text, F.lit(4)), (1 + F.pmod(F.col("read_id") * 28, F.lit(39))).cast("int"), F.col("read_len").cast("int"))
 
-def with_read_text(reads: DataFrame) -> DataFrame:
-    """Add ``seq`` and ``qual`` of whole reads: the letters and qualities of ``with_bases`` as text.
 
-    Letters repeat every 11 positions and qualities every 39, so both are pieces of a repeated text; errors and planted
-    SNPs are then put in their places.
-    """
-    period = F.array_join(F.array(*[F.substring(F.lit("ACGT"), (1 + F.pmod(F.pmod(F.lit(r * 37) + F.col("contig_idx") * 13, F.lit(11)), F.lit(4))).cast("int"), F.lit(1)) for r in range(11)]), "")
-    length = F.col("read_len").cast("int")
-    text = F.substring(F.repeat(period, F.lit(11)), (1 + F.pmod("start", F.lit(11))).cast("int"), length)
-    snp = F.pmod(-F.col("start"), F.lit(211))
-    wrong = F.pmod(-F.col("read_id"), F.lit(97))
-    for off, step, where in ((snp, 2, (F.pmod("read_id", F.lit(2)) == 0)), (wrong, 1, F.lit(True)), (wrong + 97, 1, F.lit(True))):
-        code = F.pmod(F.pmod((F.col("start") + off) * 37 + F.col("contig_idx") * 13, F.lit(11)), F.lit(4))
-        letter = F.substring(F.lit("ACGT"), (1 + F.pmod(code + step, F.lit(4))).cast("int"), F.lit(1))
+def _read_text(first: Column, period: int, code: Callable[[Column], Column], pattern: Column) -> Column:
+    """``read_len`` letters from position ``first`` on: a piece of a repeated pattern with the planted SNPs and errors in it."""
+    text = F.substring(F.repeat(pattern, F.lit(100 // period + 2)), (1 + F.pmod(first, F.lit(period))).cast("int"), F.col("read_len").cast("int"))
+    snp, wrong = F.pmod(-first, F.lit(211)), F.pmod(-F.col("read_id"), F.lit(97))
+    for off, step, where in ((snp, 2, F.pmod("read_id", F.lit(2)) == 0), (wrong, 1, F.lit(True)), (wrong + 97, 1, F.lit(True))):
+        letter = F.substring(F.lit("ACGT"), (1 + F.pmod(code(first + off) + step, F.lit(4))).cast("int"), F.lit(1))
         text = F.when(where & (off < F.col("read_len")), F.overlay(text, letter, (off + 1).cast("int"))).otherwise(text)
-    turns = "".join(chr(35 + k * 7 % 39) for k in range(39))
-    quality = F.substring(F.repeat(F.lit(turns), F.lit(4)), (1 + F.pmod(F.col("read_id") * 28, F.lit(39))).cast("int"), length)
-    return reads.withColumns({"seq": text, "qual": quality})
+    return text
+
+
+def _patterns(period: int, code: Callable[[int, int], int]) -> Column:
+    """One period of the letters of each contig."""
+    texts = [F.lit("".join("ACGT"[code(p, c)] for p in range(period))) for c in range(30)]
+    return F.element_at(F.array(*texts), (F.col("contig_idx") + 1).cast("int"))
+
+
+def with_read_text(reads: DataFrame) -> DataFrame:
+    """Add ``seq`` and ``qual`` of whole reads: the letters and qualities of ``with_bases`` as text."""
+    code = lambda pos: F.pmod(F.pmod(pos * 37 + F.col("contig_idx") * 13, F.lit(11)), F.lit(4))
+    text = _read_text(F.col("start"), 11, code, _patterns(11, lambda p, c: (p * 37 + c * 13) % 11 % 4))
+    return reads.withColumns({"seq": text, "qual": quality_text()})
 
 
 def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
@@ -192,31 +202,30 @@ def read_records(spark: SparkSession, sf_dir: str, fold: int) -> DataFrame:
                 "ELSE concat(clip, 'S', read_len - clip, 'M') END"
             ),
         )
-        .withColumn("qual", F.expr(QUALITY_TEXT))
+        .withColumn("qual", quality_text())
         .withColumn("flag", F.expr("int(CASE WHEN is_unmapped = 1 THEN 4 ELSE 0 END + 16 * is_reverse)"))
         .drop("clip")
     )
 
 
+def _varied(period: int = 251) -> Column:
+    """One period of the varied reference of each contig."""
+    return _patterns(period, lambda p, c: (p * p * 37 + c * 13 + 7919) % 251 % 4)
+
+
 def with_sequence(records: DataFrame) -> DataFrame:
     """Add ``seq``: bases of a varied reference at each read offset, with the fixture's errors and SNPs."""
-    letter = (
-        "substr('ACGT', int(1 + (((start - lead + o) * (start - lead + o) * 37 + contig_idx * 13 + 7919) % 251 % 4 + "
-        "CASE WHEN (read_id + o) % 97 = 0 THEN 1 "
-        "WHEN (start - lead + o) % 211 = 0 AND read_id % 2 = 0 THEN 2 ELSE 0 END) % 4), 1)"
-    )
-    return records.withColumn("seq", F.expr(f"array_join(transform(sequence(0L, read_len - 1), o -> {letter}), '')"))
+    code = lambda pos: F.pmod((pos * pos * 37 + F.col("contig_idx") * 13 + 7919) % 251, F.lit(4))
+    return records.withColumn("seq", _read_text(F.col("start") - F.col("lead"), 251, code, _varied()))
 
 
 def reference_cells(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
     """The reference sequence behind ``with_sequence`` in cells of ``width`` bases."""
-    letter = "substr('ACGT', int(1 + (p * p * 37 + contig_idx * 13 + 7919) % 251 % 4), 1)"
+    first = F.greatest(F.lit(1), F.col("cell") * width)
+    size = F.least(F.col("length"), F.col("cell") * width + (width - 1)) - first + 1
+    text = F.substring(F.repeat(_varied(), F.lit(width // 251 + 2)), (1 + first % 251).cast("int"), size.cast("int"))
     return (
         contigs(spark, sf_dir)
         .withColumn("cell", F.expr(f"explode(sequence(0L, length div {width}))"))
-        .selectExpr(
-            "contig_idx", "cell",
-            f"array_join(transform(sequence(greatest(1L, cell * {width}), least(length, cell * {width} + {width - 1})), "
-            f"p -> {letter}), '') AS seq",
-        )
+        .select("contig_idx", "cell", text.alias("seq"))
     )

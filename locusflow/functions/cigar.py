@@ -21,6 +21,13 @@ def _total(lengths: Column) -> Column:
     return F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n)
 
 
+def running_sums(lengths: Column) -> Column:
+    """Sum of the entries before each entry, as an array of equal length, in one pass."""
+    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("done"))
+    step = lambda s, n: F.struct((s["sum"] + n).alias("sum"), F.concat(s["done"], F.array(s["sum"])).alias("done"))
+    return F.aggregate(lengths, start, step, lambda s: s["done"])
+
+
 def parse_cigar(cigar: str | Column) -> Column:
     """Array of ``struct(len, op)`` in order."""
     text = F.col(cigar) if isinstance(cigar, str) else cigar
@@ -33,6 +40,24 @@ def parse_cigar(cigar: str | Column) -> Column:
     )
 
 
+def placed_operators(cigar: str | Column) -> Column:
+    """Array of ``struct(len, op, ref, query)``: each operator with the reference and read bases consumed before it.
+
+    One pass: the running sums are the state, and the text is cut into its operators once.
+    """
+    longs = "bigint"
+    start = F.struct(F.lit(0).cast(longs).alias("ref"), F.lit(0).cast(longs).alias("query"), F.array().cast(f"array<struct<len:{longs},op:string,ref:{longs},query:{longs}>>").alias("done"))
+
+    def step(state: Column, o: Column) -> Column:
+        moves = lambda ops: F.when(o["op"].isin(*ops), o["len"]).otherwise(0)
+        here = F.struct(o["len"].alias("len"), o["op"].alias("op"), state["ref"].alias("ref"), state["query"].alias("query"))
+        return F.struct(
+            (state["ref"] + moves(REFERENCE_OPS)).alias("ref"), (state["query"] + moves(QUERY_OPS)).alias("query"), F.concat(state["done"], F.array(here)).alias("done")
+        )
+
+    return F.aggregate(parse_cigar(cigar), start, step, lambda state: state["done"])
+
+
 def reference_length(cigar: str | Column) -> Column:
     """Bases of the reference that the alignment spans."""
     text = F.col(cigar) if isinstance(cigar, str) else cigar
@@ -76,13 +101,7 @@ def clip_cigar(cigar: str | Column, allowed: Column) -> Column:
     alignment without an aligned base left is one soft clip; hard clips stay.
     """
     text = F.col(cigar) if isinstance(cigar, str) else cigar
-    ops = parse_cigar(text)
-
-    def before(i: Column) -> Column:
-        spans = F.transform(F.slice(ops, F.lit(1), i), lambda o: F.when(o["op"].isin(*REFERENCE_OPS), o["len"]).otherwise(0))
-        return F.aggregate(spans, F.lit(0).cast("long"), lambda total, n: total + n)
-
-    placed = F.transform(ops, lambda o, i: F.struct(o["op"].alias("op"), o["len"].alias("len"), before(i).alias("ref"), i.alias("i")))
+    placed = F.transform(placed_operators(text), lambda o, i: F.struct(o["op"].alias("op"), o["len"].alias("len"), o["ref"].alias("ref"), i.alias("i")))
     aligned = F.filter(placed, lambda o: o["op"].isin("M", "=", "X") & (o["ref"] < allowed))
     last = F.coalesce(F.array_max(F.transform(aligned, lambda o: o["i"])), F.lit(-1))
     kept = F.filter(placed, lambda o: (o["i"] <= last) | ((last < 0) & (o["op"] == "H") & (o["i"] == 0)))
@@ -105,24 +124,20 @@ def split_n_reads(reads: DataFrame, with_sequence: bool = False) -> DataFrame:
     stretches = F.split("cigar", "\\d+N")
     introns = F.concat(F.array(F.lit(0).cast("long")), _lengths(F.col("cigar"), "N"))
 
-    def running(lengths: Column) -> Column:
-        # Sum of the entries before each entry, as an array of equal length.
-        return F.transform(lengths, lambda _, i: _total(F.slice(lengths, 1, i)))
-
     columns = {"__ref": F.transform(stretches, reference_length), "__introns": introns, "__cigars": stretches}
     if with_sequence:
         columns["__query"] = F.transform(stretches, query_length)
     prepared = reads.withColumns(columns)
-    shifted = prepared.withColumn("__shift", running(F.col("__ref")))
+    shifted = prepared.withColumns({"__shift": running_sums(F.col("__ref")), "__gap": running_sums(F.col("__introns"))})
     if with_sequence:
-        shifted = shifted.withColumn("__skip", running(F.col("__query")))
+        shifted = shifted.withColumn("__skip", running_sums(F.col("__query")))
     pieces = shifted.select("*", F.posexplode("__cigars").alias("segment", "__cigar"))
 
     def at(column: str) -> Column:
         return F.get(F.col(column), F.col("segment"))
 
-    gap = _total(F.slice("__introns", 1, F.col("segment") + 1))
-    begin = F.col("start") + at("__shift") + gap
+    # The introns before a stretch and the one it follows.
+    begin = F.col("start") + at("__shift") + at("__gap") + at("__introns")
     changed = {
         "start": begin,
         "end_pos": begin + at("__ref") - 1,

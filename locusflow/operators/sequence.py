@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from locusflow.functions.cigar import parse_cigar
+from locusflow.functions.cigar import placed_operators
 from locusflow.functions.quality import quality_at
 from locusflow.operators.joins import spread_join
 from locusflow.operators.pileup import PILEUP_BIN, pack_sites
@@ -13,32 +13,17 @@ from locusflow.session import materialize
 
 def aligned_blocks(reads: DataFrame) -> DataFrame:
     """One row per ungapped stretch: ``block_start, block_end`` on the reference, ``skip`` bases before it in the read."""
-    ops = reads.withColumn("__ops", parse_cigar("cigar"))
-
-    def consumed(before: Column, kinds: tuple[str, ...]) -> Column:
-        spans = F.transform(before, lambda o: F.when(o["op"].isin(*kinds), o["len"]).otherwise(0))
-        return F.aggregate(spans, F.lit(0).cast("long"), lambda total, n: total + n)
-
-    located = F.transform(
-        "__ops",
-        lambda o, i: F.struct(
-            o["op"].alias("op"),
-            o["len"].alias("len"),
-            consumed(F.slice("__ops", 1, i), ("M", "D", "N", "=", "X")).alias("ref"),
-            consumed(F.slice("__ops", 1, i), ("M", "I", "S", "=", "X")).alias("skip"),
-        ),
-    )
-    blocks = ops.withColumn("__b", F.explode(F.filter(located, lambda b: b["op"].isin("M", "=", "X"))))
+    blocks = reads.withColumn("__b", F.explode(F.filter(placed_operators("cigar"), lambda b: b["op"].isin("M", "=", "X"))))
     return blocks.withColumns(
         {
             "block_start": F.col("start") + F.col("__b.ref"),
             "block_end": F.col("start") + F.col("__b.ref") + F.col("__b.len") - 1,
-            "skip": F.col("__b.skip"),
+            "skip": F.col("__b.query"),
         }
-    ).drop("__ops", "__b")
+    ).drop("__b")
 
 
-def read_bases(
+def read_pieces(
     reads: DataFrame,
     reference: DataFrame,
     exclude: DataFrame | None = None,
@@ -46,12 +31,12 @@ def read_bases(
     width: int = PILEUP_BIN,
     **join_options,
 ) -> DataFrame:
-    """Base rows ``(*keep, read_len, off, pos, base, prev_base, ref_base, qual)`` of mapped reads.
+    """Mapped reads cut into ungapped pieces that lie in one reference cell, with that cell's letters.
 
-    ``reads`` carries the text columns ``seq`` and ``qual``; ``reference`` holds
-    cells of ``width`` bases as returned by ``read_reference``.  Stretches are cut at
-    cell borders and meet their cell (and the sites to ``exclude``) by one join of
-    reads; only then are they exploded, so bases themselves are never shuffled.
+    ``reads`` carries the text columns ``seq`` and ``qual``, which every piece holds whole; ``reference`` holds
+    cells of ``width`` bases as returned by ``read_reference``.  A piece covers ``lo`` to ``hi``; ``skip`` bases stand in
+    the read before ``block_start``, ``ref`` begins at ``ref_start``, and ``sites`` are the positions of ``exclude`` in
+    the cell.  Pieces meet their cell and its sites by one join each.
     Reads on a contig or past an end that ``reference`` does not hold are an error, not
     a silent loss; ``clean_alignments`` clips those that hang over a contig's end.
     """
@@ -60,20 +45,32 @@ def read_bases(
     pieces = blocks.withColumn(
         "cell", F.explode(F.sequence(F.expr(f"block_start div {width}"), F.expr(f"block_end div {width}")))
     )
-    cells = reference.select("contig_idx", "cell", F.col("seq").alias("__ref"))
+    cells = reference.select("contig_idx", "cell", F.col("seq").alias("ref"))
     joined = spread_join(pieces, cells, ["contig_idx", "cell"], "left", **join_options)
     lost = F.raise_error(F.concat(F.lit("no reference sequence for contig "), F.col("contig_idx").cast("string"), F.lit(" cell "), F.col("cell").cast("string")))
-    joined = joined.withColumn("__ref", F.coalesce("__ref", lost))
-    lo = F.greatest(F.col("block_start"), F.col("cell") * width)
-    hi = F.least(F.col("block_end"), F.col("cell") * width + (width - 1))
-    covered = F.sequence(lo, hi)
+    joined = joined.withColumn("ref", F.coalesce("ref", lost))
+    none = F.array().cast("array<bigint>")
     if exclude is not None:
         packed = materialize(pack_sites(exclude, width)).withColumnRenamed("__bin", "cell")
         joined = spread_join(joined, packed, ["contig_idx", "cell"], "left", **join_options)
-        covered = F.array_except(covered, F.coalesce("__sites", F.array().cast("array<bigint>")))
-    exploded = joined.withColumn("pos", F.explode(covered))
-    # Cell 0 starts at position 1, every other cell at its own multiple of the width.
-    in_cell = F.col("pos") - F.greatest(F.lit(1), F.col("cell") * width)
+    return joined.select(
+        *keep, "seq", "qual", "block_start", "skip", "ref",
+        F.greatest(F.col("block_start"), F.col("cell") * width).alias("lo"),
+        F.least(F.col("block_end"), F.col("cell") * width + (width - 1)).alias("hi"),
+        # Cell 0 starts at position 1, every other cell at its own multiple of the width.
+        F.greatest(F.lit(1), F.col("cell") * width).cast("long").alias("ref_start"),
+        (none if exclude is None else F.coalesce("__sites", none)).alias("sites"),
+    )
+
+
+#: Columns of a piece that its bases do not keep.
+PIECE_COLUMNS = ("seq", "qual", "block_start", "skip", "ref", "lo", "hi", "ref_start", "sites")
+
+
+def piece_bases(pieces: DataFrame, masked: bool = False) -> DataFrame:
+    """Base rows of pieces; ``masked`` leaves out those on ``sites``."""
+    covered = F.sequence("lo", "hi")
+    exploded = pieces.withColumn("pos", F.explode(F.array_except(covered, F.col("sites")) if masked else covered))
     off = F.col("skip") + F.col("pos") - F.col("block_start")
 
     def letter(text: str, index: Column) -> Column:
@@ -83,12 +80,18 @@ def read_bases(
     before = off + F.when(F.col("is_reverse").cast("int") == 1, 1).otherwise(-1)
     length = F.length("seq")
     return exploded.select(
-        *keep,
+        *[c for c in pieces.columns if c not in PIECE_COLUMNS],
         length.cast("long").alias("read_len"),
         off.alias("off"),
         "pos",
         letter("seq", off).alias("base"),
         F.when((before >= 0) & (before < length), letter("seq", before)).alias("prev_base"),
-        letter("__ref", in_cell).alias("ref_base"),
+        letter("ref", F.col("pos") - F.col("ref_start")).alias("ref_base"),
         quality_at("qual", off).cast("long").alias("qual"),
     )
+
+
+def read_bases(reads: DataFrame, reference: DataFrame, exclude: DataFrame | None = None, **options) -> DataFrame:
+    """Base rows ``(*keep, read_len, off, pos, base, prev_base, ref_base, qual)`` of mapped reads, but those on sites to
+    ``exclude``: :func:`read_pieces` exploded, so bases themselves are never shuffled."""
+    return piece_bases(read_pieces(reads, reference, exclude, **options), masked=exclude is not None)

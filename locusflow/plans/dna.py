@@ -11,10 +11,11 @@ from locusflow.operators.duplicates import mark_duplicates
 from locusflow.operators.filters import filter_mapped, primary_reads
 from locusflow.operators.intervals import merge_intervals
 from locusflow.operators.pileup import call_snps
-from locusflow.operators.recalibrate import recalibrate_reads, recalibration_table
-from locusflow.operators.sequence import read_bases
+from locusflow.operators.recalibrate import recalibrate_reads, recalibration_table_of_pieces
+from locusflow.operators.sequence import piece_bases, read_bases, read_pieces
 from locusflow.operators.targets import realign_targets
 from locusflow.operators.variants import DNA_CONFIDENCE, RNA_CONFIDENCE, annotate_variants, filter_variants
+from locusflow.session import materialize
 
 
 @dataclass(frozen=True)
@@ -27,10 +28,16 @@ class Calls:
     targets: DataFrame
 
 
-def _recalibrated(reads: DataFrame, reference: DataFrame, known_sites: DataFrame) -> DataFrame:
-    """Base rows with recalibrated qualities in ``qual``."""
-    table = recalibration_table(read_bases(reads, reference, exclude=known_sites))
-    return read_bases(recalibrate_reads(reads, table), reference)
+def _bases(reads: DataFrame, reference: DataFrame, known_sites: DataFrame | None, **join_options) -> DataFrame:
+    """Base rows of ``reads``; with known sites their qualities are recalibrated.
+
+    The reads are cut and meet the reference once: the pieces are written, counted for the table, and read again with
+    their qualities rewritten.
+    """
+    if known_sites is None:
+        return read_bases(reads, reference, **join_options)
+    pieces = materialize(read_pieces(reads, reference, exclude=known_sites, **join_options))
+    return piece_bases(recalibrate_reads(pieces, recalibration_table_of_pieces(pieces)))
 
 
 def run_dna(
@@ -47,11 +54,11 @@ def run_dna(
     """Mapped reads, duplicates marked, qualities recalibrated, SNPs called.
 
     Without known sites there is nothing to recalibrate against and the step is left
-    out.  The recalibration table (small) is computed eagerly; all else stays lazy.
+    out.  Marked reads, and with known sites their pieces, are written once (eager); all else stays lazy.
     """
-    marked = mark_duplicates(primary_reads(filter_mapped(reads, paired, keep_cross_contig)))
+    marked = materialize(mark_duplicates(primary_reads(filter_mapped(reads, paired, keep_cross_contig))))
     unique = marked.filter("is_duplicate = 0")
-    bases = read_bases(unique, reference) if known_sites is None else _recalibrated(unique, reference, known_sites)
+    bases = _bases(unique, reference, known_sites)
     return Calls(
         variants=call_snps(bases, call_conf, emit_conf, min_base_quality, min_mapq),
         reads=marked,
@@ -77,9 +84,9 @@ def run_rna(
     """
     min_base_quality, min_mapq = options.get("min_base_quality", 17), options.get("min_mapq", 20)
     kept = filter_mapped(reads, options.get("paired", True), options.get("keep_cross_contig", True))
-    marked = mark_duplicates(primary_reads(kept))
+    marked = materialize(mark_duplicates(primary_reads(kept)))
     segments = split_n_reads(marked.filter("is_duplicate = 0"), with_sequence=True)
-    bases = read_bases(segments, reference) if known_sites is None else _recalibrated(segments, reference, known_sites)
+    bases = _bases(segments, reference, known_sites)
     called = call_snps(bases, call_conf, emit_conf, min_base_quality, min_mapq, strand_bias=label)
     if label:
         scored = called.withColumn("qd", F.col("qual") / F.greatest(F.col("depth"), F.lit(1)))

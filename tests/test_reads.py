@@ -485,3 +485,30 @@ def test_plans_equal_greedy_walks(spark, seed):
     rows = spark.createDataFrame([*genes, (77, 1, 5)], "contig_idx long, start long, end_pos long")
     got = sorted(map(tuple, regions.plan_regions_by_genes(sizes, rows, n, min_gap=20).collect()))
     assert got == [(k, *w) for k, w in enumerate(want)]
+
+
+def test_table_of_pieces_equals_that_of_bases(spark):
+    chance = random.Random(8)
+    text = lambda letters, n: "".join(chance.choice(letters) for _ in range(n))
+    rows = []
+    for i in range(500):
+        m, gap, n = chance.randint(1, 12), chance.randint(1, 9), chance.randint(1, 12)
+        cigar = chance.choice([f"{m + n}M", f"{m}M{gap}D{n}M", f"{m}M{gap}N{n}M", f"{m}S{n}M", f"{m}={n}X"])
+        start = chance.randint(1, 80)
+        rows.append((f"r{i}", chance.choice([*"abcdefghijkl", None]), chance.randint(0, 1), start, cigar, i % 2, 0, 60, text("ACGTNR", m + n), text("#5?I", m + n)))
+    reads = spark.createDataFrame(rows, "read_id string, library string, contig_idx long, start long, cigar string, is_reverse int, is_unmapped int, mapq int, seq string, qual string")
+    cells = spark.createDataFrame([(c, k, text("ACGTN", 16 - (k == 0))) for c in range(2) for k in range(10)], "contig_idx long, cell long, seq string")
+    sites = spark.createDataFrame([(c, p) for c in range(2) for p in (3, 17, 40, 41, 42, 64)], "contig_idx long, pos long")
+    for exclude in (None, sites):
+        want = recalibrate.recalibration_table(sequence.read_bases(reads, cells, exclude, width=16))
+        got = recalibrate.recalibration_table_of_pieces(sequence.read_pieces(reads.repartition(2), cells, exclude, width=16))
+        order = lambda df: sorted(map(str, df.select("rg", "qual", "cycle", "context", "observations", "mismatches").collect()))
+        assert order(got) == order(want)
+
+
+def test_operators_are_placed_in_one_pass(spark):
+    cigar_text = "3S" + "5M2I4D1N" * 2500 + "2S"
+    df = spark.createDataFrame([(cigar_text,), ("*",), ("10M",)], "cigar string")
+    rows = df.select(cigar.placed_operators("cigar").alias("o")).collect()
+    assert len(rows[0]["o"]) == 10_002 and rows[1]["o"] == []
+    assert tuple(rows[0]["o"][-1]) == (2, "S", 2500 * 10, 3 + 2500 * 7)
