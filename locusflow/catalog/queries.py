@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from locusflow.catalog import oracle as sql
 from locusflow.catalog import views as v
 from locusflow.functions import cigar, locus, quality
 from locusflow.operators import (
-    duplicates, features, filters, intervals, pairs, pileup, pipe, recalibrate, regions, targets, variants,
+    duplicates, features, filters, intervals, pairs, pileup, pipe, recalibrate, regions, sequence, targets, variants,
 )
 from locusflow.plans import dna
 from locusflow.session import materialize, shared_dir
@@ -396,6 +396,33 @@ def _(spark, sf):
     return regions.region_sort(_assign(spark, sf, True)).select("region_key", "contig_idx", "start", "read_id")
 
 
+def _out_of_order(df: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """Rows of each ``by`` value, and how many of them come after a greater row, as the partitions hold them."""
+    held = materialize(df.select(*order, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
+    key = F.struct(*order)
+    own = Window.partitionBy("part").orderBy("at")
+    inside = held.withColumn("late", (key < F.lag(key).over(own)).cast("int"))
+    ends = held.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    between = ends.withColumn("late", (F.col("low") < F.max("high").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
+    rows = inside.select(by, "late", F.lit(1).alias("n")).unionByName(between.select(F.col(f"low.{by}").alias(by), "late", F.lit(0).alias("n")))
+    return rows.groupBy(by).agg(F.sum("n").alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"))
+
+
+@registered(
+    "region_sort_order",
+    sql.with_ctes(sql.CONTIGS, sql.ALIGN, _PLAN, _assigned(True), select="SELECT region_key, count(*) AS n, 0 AS out_of_order FROM assigned GROUP BY region_key"),
+)
+def _(spark, sf):
+    return _out_of_order(regions.region_sort(_assign(spark, sf, True)), "region_key", ["region_key", "contig_idx", "start", "read_id"])
+
+
+@registered(
+    "merge_sorted_order", sql.with_ctes(sql.ALIGN, select="SELECT contig_idx, count(*) AS n, 0 AS out_of_order FROM alignments WHERE is_unmapped = 0 GROUP BY contig_idx")
+)
+def _(spark, sf):
+    return _out_of_order(regions.merge_sorted(mapped(spark, sf)), "contig_idx", ["contig_idx", "start", "read_id"])
+
+
 @registered(
     "merge_sorted",
     sql.with_ctes(
@@ -438,6 +465,23 @@ def _(spark, sf):
     return features.count_features(v.alignments(spark, sf), v.exons(spark, sf), ambiguous="count")
 
 
+@registered(
+    "count_features_multi",
+    sql.with_ctes(
+        sql.ALIGN, sql.MAPPED, sql.EXONS, _HITS,
+        "elsewhere AS (SELECT DISTINCT template_id FROM alignments WHERE read_id % 23 = 0 OR read_id % 17 = 0)",
+        """lone AS (SELECT template_id, min(exon_id) AS exon_id FROM hits WHERE template_id NOT IN (SELECT template_id FROM elsewhere)
+  GROUP BY template_id HAVING count(*) = 1)""",
+        select="SELECT e.*, (SELECT count(*) FROM lone l WHERE l.exon_id = e.exon_id) AS n FROM exons e",
+    ),
+)
+def _(spark, sf):
+    reads = v.alignments(spark, sf).withColumns(
+        {"flag": F.when(F.col("read_id") % 23 == 0, 0x100).otherwise(0), "nh": F.when(F.col("read_id") % 17 == 0, 3).otherwise(1)}
+    )
+    return features.count_features(reads, v.exons(spark, sf))
+
+
 def _count_lines(spark, sf):
     """Count files of three shards with their comment and column-name lines."""
     rows = v.exons(spark, sf).withColumn("shard", F.expr("explode(sequence(0L, 2L))"))
@@ -807,6 +851,43 @@ def _(spark, sf):
     return dna.run_dna(reads, cells, sites, min_base_quality=10).variants
 
 
+_FRAGMENTS = """best AS (
+  SELECT template_id, contig_idx, pos, ref_base, arg_max(base, qual) AS base, max(qual) AS qual, min(base) = max(base) AS agree,
+         CASE WHEN count(*) > 1 THEN 1 ELSE 0 END AS merged FROM bases GROUP BY template_id, contig_idx, pos, ref_base)"""
+
+
+def _mates(spark, sf):
+    """Bases of mates, half of which overlap: every second template has its mates at one place."""
+    reads = v.with_sequence(v.read_records(spark, sf, 4000)).filter("is_unmapped = 0")
+    cells = materialize(v.reference_cells(spark, sf, pileup.PILEUP_BIN))
+    keep = ("read_id", "template_id", "library", "contig_idx", "is_reverse", "mapq", "touching")
+    return sequence.read_bases(pileup.mark_touching(materialize(reads)), cells, keep=keep)
+
+
+@registered(
+    "pileup_fragments",
+    sql.with_ctes(
+        sql.ALIGN, sql.records(4000), _RECORD_BASES.split(",\nobs AS")[0].replace(" AND is_duplicate = 0", ""), _FRAGMENTS,
+        select="""SELECT contig_idx, pos, ref_base, count(*) AS depth, count(*) FILTER (WHERE base = 'A') AS n_a, count(*) FILTER (WHERE base = 'C') AS n_c,
+ count(*) FILTER (WHERE base = 'G') AS n_g, count(*) FILTER (WHERE base = 'T') AS n_t FROM best WHERE agree GROUP BY contig_idx, pos, ref_base""",
+    ),
+)
+def _(spark, sf):
+    return pileup.pileup(pileup.merge_fragments(_mates(spark, sf)))
+
+
+@registered(
+    "call_snps_fragments",
+    sql.with_ctes(
+        sql.ALIGN, sql.records(4000), _RECORD_BASES.split(",\nobs AS")[0].replace(" AND is_duplicate = 0", ""), _FRAGMENTS,
+        "strong AS (SELECT * FROM best WHERE agree AND qual >= 10)", sql.calls("strong", 30, 30),
+        select="SELECT contig_idx, pos, ref, alt, qual, gt, depth, alt_count, filter FROM called",
+    ),
+)
+def _(spark, sf):
+    return pileup.call_snps(pileup.merge_fragments(_mates(spark, sf)), min_base_quality=10, min_mapq=0)
+
+
 @registered(
     "split_n_reads",
     sql.with_ctes(
@@ -1168,6 +1249,34 @@ def _(spark, sf):
     )
 
 
+@registered(
+    "write_vcf",
+    sql.with_ctes(
+        sql.CONTIGS, sql.VARIANTS,
+        select="""SELECT concat('chr', CAST(contig_idx + 1 AS VARCHAR)) AS contig, count(*) AS n, sum(pos)::BIGINT AS positions,
+ sum(variant_id % 1000)::DOUBLE AS qualities, 0 AS out_of_order, (SELECT count(*) FROM contigs) AS named FROM variants GROUP BY contig_idx""",
+    ),
+)
+def _(spark, sf):
+    path = f"{shared_dir(spark)}/locusflow/vcf-{uuid.uuid4().hex}"
+    rows = v.variants(spark, sf).withColumns({"qual": (F.col("variant_id") % 1000).cast("double"), "depth": F.lit(7), "gt": F.lit("0/1")})
+    vcf.write_vcf(rows, path, v.contigs(spark, sf))
+    back = vcf.read_vcf(spark, path)
+    per = back.groupBy("contig").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions"), F.sum("qual").alias("qualities"))
+    # Files in the order of their names are one ordered file that begins with the header.
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("part"), F.monotonically_increasing_id().alias("at"))
+    kind = F.when(F.col("value").startswith("##fileformat"), 0).when(F.col("value").startswith("##"), 1).when(F.col("value").startswith("#"), 2).otherwise(3)
+    parts = F.split("value", "\t")
+    keyed = lines.select("part", "at", F.struct(kind.alias("kind"), F.get(parts, F.lit(0)).alias("c"), F.get(parts, F.lit(1)).try_cast("long").alias("p")).alias("key"))
+    keyed = materialize(keyed.withColumn("key", F.struct("key.kind", F.when(F.col("key.kind") == 3, F.col("key.c")).alias("c"), F.col("key.p").alias("p"))))
+    late = keyed.withColumn("late", F.col("key") < F.lag("key").over(Window.partitionBy("part").orderBy("at"))).filter("late")
+    ends = keyed.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    apart = ends.withColumn("late", F.col("low") < F.lag("high").over(Window.orderBy("part"))).filter("late")
+    wrong = late.select("late").unionByName(apart.select("late")).agg(F.count(F.lit(1)).cast("int").alias("out_of_order"))
+    named = keyed.filter("key.kind = 1").agg(F.count(F.lit(1)).alias("named"))
+    return per.crossJoin(F.broadcast(wrong)).crossJoin(F.broadcast(named))
+
+
 _TWO_SAMPLES = """concat('chr', {t}(contig_idx + 1), {tab}, {t}(pos), {tab}, 'v', {t}(variant_id), {tab}, ref, {tab}, alt, {tab},
  {t}(variant_id % 1000), '.00', {tab}, 'q10', {tab}, 'DP=', {t}(variant_id % 60), ';DB;FS=1.5', {tab}, 'GT:AD', {tab}, '0/1:3,',
  {t}(variant_id % 9), {tab}, '1/1:0,', {t}(shard))"""

@@ -51,15 +51,19 @@ def parse_vcf_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+#: Names of files that are read: call sets, plain or compressed, and the parts that ``write_vcf`` leaves in its folder.
+VCF_FILES = "{*.vcf,*.vcf.gz,*.vcf.bz2,part-*}"
+
+
 def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All ``.vcf`` files below the paths, with the file of each variant in ``shard``."""
-    lines = spark.read.option("pathGlobFilter", "*.vcf").option("recursiveFileLookup", "true").text(paths)
+    """All ``.vcf`` files below the paths, and the part files of ``write_vcf``, with the file of each variant in ``shard``."""
+    lines = spark.read.option("pathGlobFilter", VCF_FILES).option("recursiveFileLookup", "true").text(paths)
     return parse_vcf_lines(lines.select("value", F.col("_metadata.file_name").alias("shard")))
 
 
 def read_vcf_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Header lines ``(line_no, value)`` of the first ``.vcf`` file by name; a header is small."""
-    lines = spark.read.option("pathGlobFilter", "*.vcf").option("recursiveFileLookup", "true").text(paths)
+    """Header lines ``(line_no, value)`` of the first file by name; a header is small."""
+    lines = spark.read.option("pathGlobFilter", VCF_FILES).option("recursiveFileLookup", "true").text(paths)
     named = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
     head = named.filter(F.col("value").startswith("#")).withColumn("id", F.monotonically_increasing_id())
     first = head.agg(F.min("path").alias("path"))

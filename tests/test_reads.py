@@ -512,3 +512,66 @@ def test_operators_are_placed_in_one_pass(spark):
     rows = df.select(cigar.placed_operators("cigar").alias("o")).collect()
     assert len(rows[0]["o"]) == 10_002 and rows[1]["o"] == []
     assert tuple(rows[0]["o"][-1]) == (2, "S", 2500 * 10, 3 + 2500 * 7)
+
+
+def test_multi_mapped_fragments_count_nowhere(spark):
+    rows = [
+        ("a/1", "a", 0, 10, 20, 0, 0, {}), ("a/1", "a", 0, 500, 510, 0, 0x100, {}),  # a secondary line far from exons
+        ("b/1", "b", 0, 10, 20, 0, 0, {"NH": "2"}), ("c/1", "c", 0, 10, 20, 0, 16, {"NH": "1"}), ("c/2", "c", 0, 30, 40, 0, 0x800, {"NH": "x"}),
+        ("d/1", "d", 0, 10, 20, 0, 0, {}), ("d/2", "d", 1, 1, 5, 0, 0, {"NH": "4"}),  # the mate says so
+    ]
+    reads = spark.createDataFrame(rows, "read_id string, template_id string, contig_idx long, start long, end_pos long, is_unmapped int, flag int, tags map<string,string>")
+    exons = spark.createDataFrame([(1, 0, 5, 45)], "exon_id long, contig_idx long, start long, end_pos long")
+    assert features.count_features(reads, exons).first()["n"] == 1
+    assert features.count_features(reads, exons, multi="count").first()["n"] == 4
+    assert features.count_features(reads.withColumn("nh", F.lit(1)).drop("tags", "flag"), exons).first()["n"] == 4
+    with pytest.raises(ValueError, match="multi"):
+        features.count_features(reads, exons, multi="best")
+
+
+def test_mates_that_overlap_are_one_observation(spark):
+    chance = random.Random(5)
+    rows = []
+    for t in range(60):
+        for m in range(chance.randint(1, 3)):
+            start, n = chance.randint(1, 30), chance.randint(1, 20)
+            rows.append((f"{t}/{m}", f"t{t}", "L", chance.randint(0, 1), start, start + n - 1, f"{n}M", m % 2, 0, 60, "".join(chance.choice("AC") for _ in range(n)), "".join(chance.choice("#5I") for _ in range(n))))
+    reads = spark.createDataFrame(rows, "read_id string, template_id string, library string, contig_idx long, start long, end_pos long, cigar string, is_reverse int, is_unmapped int, mapq int, seq string, qual string")
+    cells = spark.createDataFrame([(c, k, "A" * (64 - (k == 0))) for c in range(2) for k in range(2)], "contig_idx long, cell long, seq string")
+    keep = ("read_id", "template_id", "library", "contig_idx", "is_reverse", "mapq", "touching")
+    marked = pileup.mark_touching(reads.repartition(3))
+    got = sorted((r["template_id"], r["contig_idx"], r["pos"], r["base"], r["qual"]) for r in pileup.merge_fragments(sequence.read_bases(marked, cells, keep=keep, width=64)).collect())
+    seen: dict[tuple, list] = {}
+    for _, t, _, c, start, *_, seq, qual in rows:
+        for o, (b, q) in enumerate(zip(seq, qual, strict=True)):
+            seen.setdefault((t, c, start + o), []).append((b, ord(q) - 33))
+    assert got == sorted((*k, v[0][0], max(q for _, q in v)) for k, v in seen.items() if len({b for b, _ in v}) == 1)
+    assert any(len(v) > 1 for v in seen.values())
+
+
+def test_chain_options_and_counters(spark):
+    from locusflow.catalog import views as v
+
+    sf = "/root/testdata/sf0.001"
+    reads = v.with_sequence(v.read_records(spark, sf, 4000))
+    cells, sites = v.reference_cells(spark, sf, pileup.PILEUP_BIN), v.known_sites(spark, sf).select("contig_idx", "pos")
+    wide = spark.createDataFrame([(0, 1000, 1999), (3, 1, 50)], "contig_idx long, start long, end_pos long")
+    exons = spark.createDataFrame([(1, 0, 1, 4200)], "exon_id long, contig_idx long, start long, end_pos long")
+    full = dna.run_dna(reads, cells, sites, min_base_quality=10, call_conf=10, emit_conf=10)
+    part = dna.run_dna(
+        reads, cells, sites, min_base_quality=10, call_conf=10, emit_conf=10, targets=wide, exons=exons, remove_duplicates=True,
+        read_group=filters.ReadGroup(), contigs=v.contigs(spark, sf),
+    )
+    inside = lambda r: any(c == r["contig_idx"] and a <= r["pos"] <= b for c, a, b in ((0, 1000, 1999), (3, 1, 50)))
+    rows = full.variants.collect()
+    got = part.variants.collect()
+    assert sorted(map(tuple, got)) == sorted(tuple(r) for r in rows if inside(r)) and 0 < len(got) < len(rows)
+    assert part.counters["variants"].get["variants"] == len(got)
+    kept = part.counters["filter_mapped"].get
+    decided = part.counters["duplicates"].get
+    assert (kept["reads_in"], kept["reads_out"]) == (reads.count(), decided["reads"])
+    assert full.reads.filter("is_duplicate = 1").count() == decided["duplicates"] > 0
+    assert part.reads.count() == decided["reads"] - decided["duplicates"] and "rg_id" in part.reads.columns
+    assert part.counts.first()["n"] == part.reads.filter("contig_idx = 0").select("template_id").distinct().count()
+    spans = {(r["contig_idx"], r["start"], r["end_pos"]) for r in part.islands.collect()}
+    assert spans and all(any(c == x and a >= y and b <= z for x, y, z in ((0, 1000, 1999), (3, 1, 50))) for c, a, b in spans)
