@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from locusflow.llm.batches import rows_per_batch
-from locusflow.llm.words import mixed, slices, split_words, word_hashes
+from locusflow.llm.words import give_back, mixed, slices, split_words, word_hashes
 from locusflow.session import materialize
 
 BUCKETS = 1 << 17
@@ -135,8 +135,9 @@ def fit(sample: DataFrame, counts: dict[int, int], size: int = 8, epochs: int =
     """Train on the rows of ``sample`` (``doc_id``, ``__text``, 0/1 ``__y``; ``counts`` of each) by stochastic gradient descent.
 
     Each label counts for half.  Features are made once, one row of a written table for each step; an epoch is a job of
-    one task in which these rows stream by, in an order of its own, and which returns the weights.  So neither driver nor
-    task holds more than the weights and a few steps.  With one label only the model knows nothing but that.
+    one task in which the weights and then these rows stream by, in an order of its own, and which writes the weights it
+    ends with.  So a task holds the weights and a few steps, and the driver sees the last weights only.  With one label
+    only the model knows nothing but that.
     """
     if not counts.get(0) or not counts.get(1):
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
@@ -145,29 +146,37 @@ def fit(sample: DataFrame, counts: dict[int, int], size: int = 8, epochs: int =
     groups = -(-whole // batch)
     number = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)).cast("int")
     features = materialize(sample.withColumn("g", number).select("g", "__text", "__y").groupBy("g").applyInArrow(_grouped, _GROUP))
-    rng = np.random.default_rng(seed)
-    table = rng.uniform(-1 / size, 1 / size, (BUCKETS, size)).astype(np.float32)
-    now = Weights(table, np.zeros((size, 2), np.float32), np.zeros(2, np.float32))
     kinds = {"y": np.int32, "row": np.int32, "used": np.int32, "place": np.int32, "share": np.float32}
-    for epoch in range(epochs):
-        shared = spark.sparkContext.broadcast(tuple(now))
+    names = ["g", *kinds]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, epoch=epoch) -> Iterator[pa.RecordBatch]:
-            w = Weights(*(x.copy() for x in shared.value))
+    def epoch(number: int, state: DataFrame | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = np.random.default_rng(seed).uniform(-1 / size, 1 / size, (BUCKETS, size)).astype(np.float32)
+            w = Weights(first, np.zeros((size, 2), np.float32), np.zeros(2, np.float32))
             done = 0
             for b in batches:
                 for i in range(b.num_rows):
                     group = {c: np.frombuffer(b.column(c)[i].as_buffer(), k) for c, k in kinds.items()}
-                    _step(w, group, share_of_label, rate * (1 - (epoch * groups + min(done, groups)) / (epochs * groups)))
+                    if b.column("g")[i].as_py() < 0:  # the weights come first
+                        w = Weights(*(group[c].view(np.float32).reshape(x.shape).copy() for c, x in zip(("y", "row", "used"), w, strict=True)))
+                        continue
+                    _step(w, group, share_of_label, rate * (1 - (number * groups + min(done, groups)) / (epochs * groups)))
                     done += 1
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in w], ["t", "o", "b"])
+            parts = [x.tobytes() for x in w] + [b"", b""]
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *[pa.array([x], pa.binary()) for x in parts]], names)
 
-        with rows_per_batch(spark, 2):
-            turn = features.repartition(1).sortWithinPartitions(F.xxhash64("g", F.lit(epoch)))
-            made = turn.mapInArrow(run, "t binary, o binary, b binary").first()
-        shared.unpersist()
-        now = Weights(*(np.frombuffer(made[i], np.float32).reshape(x.shape) for i, x in enumerate(now)))
-    return Model((now.table @ (now.out[:, 1] - now.out[:, 0])).astype(np.float32), float(now.bias[1] - now.bias[0]))
+        rows = features if state is None else features.unionByName(state)
+        turn = F.when(F.col("g") >= 0, F.xxhash64("g", F.lit(number))).asc_nulls_first()
+        return materialize(rows.repartition(1).sortWithinPartitions(turn).mapInArrow(run, _GROUP))
+
+    state = None
+    with rows_per_batch(spark, 2):
+        for number in range(epochs):
+            state = epoch(number, state)
+    last = state.select("y", "row", "used").first()
+    table, out, bias = (np.frombuffer(x, np.float32) for x in last)
+    out = out.reshape(size, 2)
+    return Model((table.reshape(BUCKETS, size) @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL, most_bytes: int = TRAINING_BYTES, label: str = "quality") -> Model:
@@ -197,6 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
     rows = docs.sparkSession.createDataFrame(ids, "doc_id long, h long, __y int")
     used = sample.withColumn("h", F.xxhash64("__text")).join(F.broadcast(rows), ["doc_id", "h", "__y"])
     model = fit(used.dropDuplicates(["doc_id"]).select("doc_id", "__text", "__y"), counts)
+    give_back()
     return model._replace(bias=model.bias + float(prior))
 
 
