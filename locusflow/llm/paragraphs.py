@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from locusflow.llm.batches import TEXT_ROWS, broadcast_if_few, rows_per_batch
 from locusflow.llm.components import components
 from locusflow.llm.ngram_join import SALTS, STAR_PASSES, drop_alone, overlap, pieces
-from locusflow.llm.words import Words, mixed, shingle_hashes, slices, split_words, word_hashes
+from locusflow.llm.words import mixed, shingles_of, slices, split_words, word_hashes
 from locusflow.session import materialize
 
 #: Chance that bands must find a pair at the threshold, and highest chance allowed at half of it.
@@ -49,12 +49,14 @@ def tune(threshold: float, recall: float = RECALL, noise: float = NOISE) -> tupl
 
 
 class Units(NamedTuple):
-    """Paragraphs of a slice of documents: document, number in it, first word, words; and their shingles in a row."""
+    """Paragraphs of a slice of documents: document, number in it, first word, words, whether it is a piece of a long
+    sentence; and their shingles in a row."""
 
     row: np.ndarray
     number: np.ndarray
     first: np.ndarray
     size: np.ndarray
+    inside: np.ndarray
     grams: np.ndarray
     starts: np.ndarray
 
@@ -69,7 +71,8 @@ def split_units(texts: pa.Array, n: int) -> Units:
     row_of_line = np.repeat(np.arange(len(texts)), pc.list_value_length(lines).to_numpy())
     words = split_words(pc.ascii_lower(lines.flatten()))
     hashes = word_hashes(words.distinct)[words.places] if len(words.places) else np.zeros(0, np.uint64)
-    stops = np.array([w.rstrip(CLOSERS)[-1:] in tuple(STOPS) for w in words.distinct], bool)[words.places] if len(words.places) else np.zeros(0, bool)
+    last = pc.utf8_slice_codeunits(pc.utf8_rtrim(pa.array(words.distinct, pa.string()), CLOSERS), -1)
+    stops = pc.is_in(last, pa.array(list(STOPS))).to_numpy(zero_copy_only=False)[words.places] if len(words.places) else np.zeros(0, bool)
     total = len(hashes)
     # A sentence's hash: the sum of its words' hashes since the last stop or line start, whatever stands before.
     begins = np.zeros(total + 1, bool)
@@ -93,12 +96,12 @@ def split_units(texts: pa.Array, n: int) -> Units:
     head = np.flatnonzero(new)
     number = np.arange(len(row)) - np.repeat(head, np.diff(np.concatenate([head, [len(row)]])))
     first = at - at[head][np.cumsum(new) - 1] if len(row) else at
-    grams, starts = _distinct(*shingle_hashes(Words(words.distinct, words.places, np.concatenate([at, [total]])), n))
-    paragraphs = Units(row, number, first, size, grams, starts)
+    grams, starts = _set(hashes, np.concatenate([at, [total]]), n, False)
+    paragraphs = Units(row, number, first, size, np.zeros(len(at), bool), grams, starts)
     # Cuts within long sentences depend on the words right before them, whatever the sentence begins with.
     length = ends - heads
-    inside = np.arange(total) - np.repeat(heads, length)
-    places = np.flatnonzero((inside >= CUT_WORDS) & np.repeat(length >= LONG_WORDS, length))
+    since = np.arange(total) - np.repeat(heads, length)
+    places = np.flatnonzero((since >= CUT_WORDS) & np.repeat(length >= LONG_WORDS, length))
     before = np.zeros(len(places), np.uint64)
     for back in range(CUT_WORDS, 0, -1):
         before = mixed(before * np.uint64(0x9E3779B97F4A7C15) + hashes[places - back])
@@ -118,19 +121,36 @@ def split_units(texts: pa.Array, n: int) -> Units:
     taken = np.repeat(split, size)  # words of the paragraphs that are split
     seen = np.concatenate([[0], np.cumsum(taken)])
     edges = np.concatenate([seen[begin], [seen[-1]]])
-    grams, starts = shingle_hashes(Words(words.distinct, words.places[taken], edges), n)
-    grams, starts = _distinct(mixed(grams ^ np.uint64(0x5851F42D4C957F2D)), starts)
-    pieces_ = (row[owner], number[owner], first[owner] + begin - at[owner], np.diff(edges), grams)
-    joined = [np.concatenate([a, b]) for a, b in zip(paragraphs[:5], pieces_, strict=True)]
+    grams, starts = _set(hashes[taken], edges, n, True)
+    pieces_ = (row[owner], number[owner], first[owner] + begin - at[owner], np.diff(edges), np.ones(len(owner), bool), grams)
+    joined = [np.concatenate([a, b]) for a, b in zip(paragraphs[:6], pieces_, strict=True)]
     return Units(*joined, np.concatenate([paragraphs.starts[:-1], paragraphs.starts[-1] + starts]))
 
 
+def _set(hashes: np.ndarray, edges: np.ndarray, n: int, inside: bool | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of runs of words, and where each run's begin; those of pieces (``inside``) are unlike others."""
+    grams, starts = shingles_of(hashes, edges, n)
+    inside = np.repeat(np.broadcast_to(inside, len(edges) - 1), np.diff(starts))
+    return _distinct(np.where(inside, mixed(grams ^ np.uint64(0x5851F42D4C957F2D)), grams), starts)
+
+
 def _distinct(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of each run sorted, each once."""
+    """The values of each run, each once; runs that repeat none stay in their order."""
     owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    order = np.lexsort((grams, owner))
-    grams, owner = grams[order], owner[order]
-    fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])]) if len(grams) else np.zeros(0, bool)
+    # A value and its run in one number: runs without a number that stands twice repeat nothing.
+    both = mixed(grams + mixed(owner.astype(np.uint64) + np.uint64(1)))
+    ranked = np.sort(both)
+    twice = ranked[1:][ranked[1:] == ranked[:-1]]
+    if not len(twice):
+        return grams, starts
+    odd = np.zeros(len(starts) - 1, bool)
+    odd[owner[np.isin(both, twice)]] = True
+    at = np.flatnonzero(odd[owner])
+    order = np.lexsort((grams[at], owner[at]))
+    at = at[order]
+    again = np.concatenate([[False], (grams[at][1:] == grams[at][:-1]) & (owner[at][1:] == owner[at][:-1])])
+    fresh = np.ones(len(grams), bool)
+    fresh[at[again]] = False
     return grams[fresh], np.concatenate([[0], np.cumsum(np.bincount(owner[fresh], minlength=len(starts) - 1))])
 
 
@@ -142,72 +162,84 @@ def _folded(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(sums + np.diff(starts).astype(np.uint64)).view(np.int64)
 
 
-def _bands(units: Units, bands: int, rows: int) -> np.ndarray:
-    """Band hashes, one row per unit and one column per band."""
-    out = np.empty((len(units.size), bands), np.uint64)
+def _bands(grams: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Band hashes, one row per set and one column per band."""
+    out = np.empty((len(starts) - 1, bands), np.uint64)
     for band in range(bands):
-        key = np.full(len(units.size), band + 1, np.uint64)
+        key = np.full(len(out), band + 1, np.uint64)
         for row in range(rows):
             salt = mixed(np.array([band * rows + row + 101], np.uint64))[0]
-            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed(units.grams ^ salt), units.starts[:-1]))
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed(grams ^ salt), starts[:-1]))
         out[:, band] = key
     return out
 
 
-def occurrences(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, number, first, size, key`` of every paragraph, a written table."""
+def occurrences(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id, digest, number, first, size, inside, key, n, bands`` of every paragraph, a written table.
+
+    ``bands`` stand once per key and slice of text.  Sets so small that one more element already takes the similarity
+    below the threshold link to equal sets only.  Those share their key, so they have no bands.
+    """
+    bands, rows = tune(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 units = split_units(part.column("text"), n)
+                if not len(units.size):
+                    continue
+                key, sizes = _folded(units.grams, units.starts), np.diff(units.starts)
+                once = np.zeros(len(key), bool)
+                once[np.unique(key, return_index=True)[1]] = True
+                once &= 100 * sizes >= percent * (sizes + 1)
+                values = np.zeros(0, np.int64)
+                if once.any():
+                    values = _bands(units.grams[np.repeat(once, sizes)], np.concatenate([[0], np.cumsum(sizes[once])]), bands, rows).view(np.int64).ravel()
+                edges = pa.array(np.concatenate([[0], np.cumsum(once * bands)]).astype(np.int32), mask=np.append(~once, False))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id").take(pa.array(units.row)), pa.array(units.number.astype(np.int32)), pa.array(units.first.astype(np.int32)),
-                        pa.array(units.size.astype(np.int32)), pa.array(_folded(units.grams, units.starts)),
+                        part.column("doc_id").take(pa.array(units.row)), part.column("digest").take(pa.array(units.row)), pa.array(units.number.astype(np.int32)), pa.array(units.first.astype(np.int32)),
+                        pa.array(units.size.astype(np.int32)), pa.array(units.inside), pa.array(key), pa.array(sizes.astype(np.int32)),
+                        pa.ListArray.from_arrays(edges, pa.array(values)),
                     ],
-                    ["doc_id", "number", "first", "size", "key"],
+                    ["doc_id", "digest", "number", "first", "size", "inside", "key", "n", "bands"],
                 )
 
-    return materialize(docs.mapInArrow(run, "doc_id long, number int, first int, size int, key long"))
+    schema = "doc_id long, digest long, number int, first int, size int, inside boolean, key long, n int, bands array<long>"
+    return materialize(docs.mapInArrow(run, schema))
 
 
-def _banded(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """``gram, key, n``: each band's hash with the keys that have it and their sizes, once per slice of text.
+def _sets(docs: DataFrame, n: int, found: DataFrame, needed: DataFrame) -> DataFrame:
+    """``key, grams`` of the paragraphs with a key in ``needed``, a written table.
 
-    Sets so small that one more element already takes the similarity below the threshold link to equal sets only.
-    Those share their key, so they have no bands.
+    Each is read again in one text only, found by id and ``digest``, and no other part of that text is hashed.  What has
+    another key there (texts of one id whose digests are equal by chance) is left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                units = split_units(part.column("text"), n)
-                if not len(units.size):
-                    continue
-                keys, at = np.unique(_folded(units.grams, units.starts), return_index=True)
-                able = 100 * np.diff(units.starts)[at] >= percent * (np.diff(units.starts)[at] + 1)
-                keys, at = keys[able], at[able]
-                hashes = _bands(units, bands, rows)[at].view(np.int64)
-                sizes = np.diff(units.starts)[at].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.ravel()), pa.array(np.repeat(keys, bands)), pa.array(np.repeat(sizes, bands))], ["gram", "key", "n"])
-
-    return docs.select("text").mapInArrow(run, "gram long, key long, n int")
-
-
-def _sets(docs: DataFrame, n: int, needed: DataFrame) -> DataFrame:
-    """``key, grams`` of the paragraphs with a key in ``needed``, a written table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                units = split_units(part.column("text"), n)
-                keys, at = np.unique(_folded(units.grams, units.starts), return_index=True) if len(units.size) else (np.zeros(0, np.int64), [])
-                values = [units.grams[units.starts[i] : units.starts[i + 1]].tobytes() for i in at]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values, pa.binary())], ["key", "grams"])
-
-    found = docs.select("text").mapInArrow(run, "key long, grams binary")
-    return materialize(found.join(broadcast_if_few(needed.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"]))
+                words = split_words(pc.ascii_lower(part.column("text")))
+                spans = part.column("spans")
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(spans).to_numpy())
+                key, first, size, inside = (f.to_numpy(zero_copy_only=False) for f in spans.flatten().flatten())
+                begin = words.starts[row] + first
+                here = begin + size <= words.starts[row + 1]
+                key, begin, size, inside = key[here], begin[here], size[here].astype(np.int64), inside[here]
+                edges = np.concatenate([[0], np.cumsum(size)])
+                places = words.places[np.repeat(begin - edges[:-1], size) + np.arange(edges[-1])]
+                used, places = np.unique(places, return_inverse=True)
+                hashes = word_hashes([words.distinct[i] for i in used.tolist()])[places]
+                grams, starts = _set(hashes, edges, n, inside)
+                at = np.flatnonzero(_folded(grams, starts) == key)
+                values = [grams[starts[i] : starts[i + 1]].tobytes() for i in at.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(values, pa.binary())], ["key", "grams"])
+
+    held = found.join(broadcast_if_few(needed.select("key").distinct()), "key", "left_semi")
+    places = held.groupBy("key").agg(F.min(F.struct("doc_id", "digest", "first", "size", "inside")).alias("p"))
+    spans = places.groupBy("p.doc_id", "p.digest").agg(F.collect_list(F.struct("key", "p.first", "p.size", "p.inside")).alias("spans"))
+    texts = docs.join(broadcast_if_few(materialize(spans)), ["doc_id", "digest"]).select("text", "spans")
+    return materialize(texts.mapInArrow(run, "key long, grams binary").dropDuplicates(["key"]))
 
 
 def _compare(percent: int):
@@ -249,14 +281,13 @@ def _compare(percent: int):
     return run
 
 
-def clusters(docs: DataFrame, n: int, percent: int) -> DataFrame | None:
-    """``key, label`` of the paragraph keys that link to other keys; None where no two keys collide."""
-    bands, rows = tune(percent / 100)
-    banded = _banded(docs, n, percent, bands, rows).repartition("gram").sortWithinPartitions("gram", "n", "key")
+def clusters(docs: DataFrame, found: DataFrame, n: int, percent: int) -> DataFrame | None:
+    """``key, label`` of the paragraph keys of ``found`` that link to other keys; None where no two keys collide."""
+    banded = found.filter("bands IS NOT NULL").select(F.explode("bands").alias("gram"), "key", "n").repartition("gram").sortWithinPartitions("gram", "n", "key")
     shared = materialize(banded.mapInArrow(drop_alone(percent), "gram long, key long, n int"))
     if shared.isEmpty():
         return None
-    sets = _sets(docs, n, shared)
+    sets = _sets(docs, n, found, shared)
     links, labels = None, None
 
     def labelled() -> DataFrame:
@@ -291,10 +322,10 @@ def repeated_passages(docs: DataFrame, n: int = 5, percent: int = 80, least_word
     Null and blank texts have no paragraph.  Rows with a null id take no part.  Rows that repeat an id are one document
     whose paragraphs may stand twice: the second is a repeat of the first.  Other columns are ignored.  Eager.
     """
-    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest")).filter("doc_id IS NOT NULL")
     with rows_per_batch(docs.sparkSession, TEXT_ROWS):
-        found = occurrences(whole, n)
-        labels = clusters(whole, n, percent)
+        found = occurrences(whole, n, percent)
+        labels = clusters(whole, found, n, percent)
     if labels is not None:
         found = found.join(broadcast_if_few(labels), "key", "left").withColumn("label", F.coalesce("label", "key"))
     else:

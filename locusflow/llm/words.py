@@ -77,10 +77,15 @@ def shingle_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     A text with fewer than ``n`` words has its whole sequence as one shingle, a text without words none.
     """
     hashes = word_hashes(words.distinct)[words.places] if len(words.places) else np.zeros(0, np.uint64)
-    counts = np.diff(words.starts)
+    return shingles_of(hashes, words.starts, n)
+
+
+def shingles_of(hashes: np.ndarray, edges: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_hashes`` of texts given by the hash of the word at each place and where each text starts."""
+    counts = np.diff(edges)
     rows = np.where(counts == 0, 0, np.maximum(counts - n + 1, 1))
     starts = np.concatenate([[0], np.cumsum(rows)])
-    first = np.repeat(words.starts[:-1] - starts[:-1], rows) + np.arange(starts[-1])
+    first = np.repeat(edges[:-1] - starts[:-1], rows) + np.arange(starts[-1])
     short = np.repeat(np.where(counts < n, counts, n), rows)
     out = np.zeros(starts[-1], np.uint64)
     for k in range(n):

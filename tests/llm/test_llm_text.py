@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from helpers import DOCS, brute_components, odd_documents, words
+from helpers import DOCS, brute_components, odd_documents, shingles, words
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -272,6 +272,46 @@ def test_repeated_passages(spark, odd):
     assert paragraphs.repeated_passages(odd.limit(0)).count() == 0
 
 
+def test_units_are_plain_sets_of_shingles():
+    texts = [words(i, 80, 60) + "\n" + words(i % 7, 50, 10**6).replace(".", "") for i in range(30)] + ["a b a b a b a b a b a b", "", None, "one"]
+    units = paragraphs.split_units(pa.array(texts), 5)
+    keys = paragraphs._folded(units.grams, units.starts)
+    seen: dict = {}
+    covered: dict = {}
+    for i, (row, first, size, inside) in enumerate(zip(units.row.tolist(), units.first.tolist(), units.size.tolist(), units.inside.tolist(), strict=True)):
+        own = shingles(" ".join(texts[row].split()[first : first + size]), 5)
+        assert len(own) == units.starts[i + 1] - units.starts[i]
+        assert seen.setdefault((inside, own), keys[i]) == keys[i]
+        if not inside:
+            covered.setdefault(row, []).extend(range(first, first + size))
+    assert len(set(seen.values())) == len(seen)
+    assert all(covered.get(i, []) == list(range(len((t or "").split()))) for i, t in enumerate(texts))
+    assert units.inside.any()
+
+
+def test_clusters_equal_brute_force_components(spark):
+    near = lambda i, j: " ".join(w if (k * 7 + j) % 29 else f"z{j}" for k, w in enumerate(words(i, 70, 10**6).replace(".", "").split()))
+    rows = [(i % 9, near(i, j) + ".") for i in range(12) for j in range(4)]  # ids repeat with other texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.xxhash64("text")).repartition(3)
+    found = paragraphs.occurrences(docs, 5, 80)
+    labels = {r["key"]: r["label"] for r in paragraphs.clusters(docs, found, 5, 80).collect()}
+    units = paragraphs.split_units(pa.array([t for _, t in rows]), 5)
+    keys = paragraphs._folded(units.grams, units.starts).tolist()
+    sets = {k: frozenset(units.grams[units.starts[i] : units.starts[i + 1]].tolist()) for i, k in enumerate(keys)}
+    least = {k: k for k in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]) and least[a] != least[b]:
+                    least[a] = least[b] = min(least[a], least[b])
+                    changed = True
+    linked = {k for k in sets if sum(v == least[k] for v in least.values()) > 1}
+    assert linked and all(least[k] == v for k, v in labels.items() if k in linked) and set(labels) <= linked
+    assert len(set(labels) & linked) >= 0.95 * len(linked)
+
+
 @pytest.mark.parametrize("end", ["", '."', ".)", "\u3002"])
 def test_repeated_passages_in_the_middle_of_different_lines(spark, end):
     fresh = lambda seed, n: words(seed, n, 10**6).replace(".", "")
