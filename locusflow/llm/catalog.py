@@ -62,13 +62,9 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation with an assistant's turn as the chosen one; rejected is the same with the last reply of the next id."""
-    turns = table(spark, sf_dir, "conversations")
-    ids = turns.select("conv_id").distinct()
-    rejected = chat.swap_replies(turns, ids.withColumn("giver_id", F.col("conv_id") + 1))
-    pairs = ids.select(F.col("conv_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
-    formatted = chat.format_preferences(turns, pairs, rejected)
-    return formatted.withColumns({"rejected_id": F.col("chosen_id") + 1} | {c: spans(c) for c in ("chosen_mask", "rejected_mask")})
+    formatted = chat.format_swapped(table(spark, sf_dir, "conversations"), F.col("conv_id") - 1)
+    return formatted.withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,19 +165,17 @@ QUERIES = {
 }
 ORACLE = {
     "op7_preferences": r"""
-        WITH r AS (
-            SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+        WITH t AS (
+            SELECT conv_id, list(struct_pack(role := r, text := t) ORDER BY turn NULLS FIRST, r, t) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
         ), l AS (
-            SELECT conv_id, turn, t FROM r WHERE r = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, t DESC) = 1
-        ), s AS (
-            SELECT r.conv_id, r.turn, r.r, CASE WHEN r.r = 'assistant' AND r.turn IS NOT DISTINCT FROM l.turn THEN coalesce(g.t, '') ELSE r.t END AS t
-            FROM r JOIN l USING (conv_id) LEFT JOIN l g ON g.conv_id = r.conv_id + 1
-        ), t AS (
-            SELECT conv_id, list(struct_pack(role := r, text := t) ORDER BY turn NULLS FIRST, r, t) AS turns FROM r GROUP BY conv_id
+            SELECT *, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) AS pos FROM t
         ), u AS (
-            SELECT conv_id, list(struct_pack(role := r, text := t) ORDER BY turn NULLS FIRST, r, t) AS turns FROM s GROUP BY conv_id
+            SELECT a.conv_id, g.conv_id AS giver, list_transform(range(1, len(a.turns) + 1), lambda i: struct_pack(role := a.turns[i].role,
+                text := CASE WHEN i <> a.pos THEN a.turns[i].text ELSE coalesce(g.turns[g.pos].text, '') END)) AS turns
+            FROM l a LEFT JOIN l g ON g.conv_id = a.conv_id + 1 AND g.pos IS NOT NULL WHERE a.pos IS NOT NULL
         ), p AS (
-            SELECT a.conv_id AS chosen_id, a.conv_id + 1 AS rejected_id, a.turns AS a, b.turns AS b,
+            SELECT a.conv_id AS chosen_id, b.giver AS rejected_id, a.turns AS a, b.turns AS b,
                 coalesce(list_min(list_filter(range(1, least(len(a.turns), len(b.turns)) + 1), lambda i: a.turns[i] <> b.turns[i])) - 1,
                     least(len(a.turns), len(b.turns)))::INTEGER AS prefix_turns
             FROM t a JOIN u b USING (conv_id)

@@ -64,38 +64,42 @@ def common_prefix(a: Column, b: Column) -> Column:
     return F.when(apart > 0, apart - 1).otherwise(F.size(a)).cast("int")
 
 
-def swap_replies(turns: DataFrame, givers: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text``: conversations whose last assistant's turn has the text of another's last one.
-
-    ``givers`` holds ``conv_id, giver_id``, one row per conversation.  The last turn is the one with the greatest number;
-    of rows that share it the greatest text counts, and all of them are replaced.  Without a giver, or where the giver
-    has no such turn, the reply is empty.  Conversations without an assistant's turn, without an id or without a row in
-    ``givers`` are left out.  Null texts of replies count as empty.  Other columns are ignored.
-    """
-    replies = turns.filter((F.col("role") == LEARNED_ROLE) & F.col("conv_id").isNotNull())
-    last = replies.groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
-    given = givers.join(last.select(F.col("conv_id").alias("giver_id"), F.col("last.text").alias("given")), "giver_id", "left").select("conv_id", "given")
-    swaps = last.select("conv_id", F.col("last.turn").alias("at")).join(given, "conv_id")
-    here = F.col("turn").eqNullSafe(F.col("at")) & F.col("role").eqNullSafe(LEARNED_ROLE)
-    text = F.when(here, F.coalesce("given", F.lit(""))).otherwise(F.col("text"))
-    return turns.select("conv_id", "turn", "role", "text").join(swaps, "conv_id").select("conv_id", "turn", "role", text.alias("text"))
-
-
-def format_preferences(turns: DataFrame, pairs: DataFrame, rejected_turns: DataFrame | None = None) -> DataFrame:
+def format_preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     """For each row of ``pairs`` (``chosen_id, rejected_id``): the prompt, both completions and their learned stretches.
 
-    Rejected conversations are those of ``rejected_turns`` where given, else of ``turns`` too.
 
     Columns: ``chosen_id, rejected_id, prefix_turns, prompt, chosen, rejected, chosen_mask, rejected_mask``; masks are
     arrays of ``(start, end)``.  A conversation that is a prefix of the other has an empty completion and mask; a pair
-    without a common turn has an empty prompt.  Pairs with an id that its table does not hold are left out; repeated
+    without a common turn has an empty prompt.  Pairs with an id that ``turns`` does not hold are left out; repeated
     pairs repeat.  Both joins are on conversation ids, one row each.  Other columns are ignored.
     """
     whole = conversations(turns)
     chosen = whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("__a"))
-    other = whole if rejected_turns is None else conversations(rejected_turns)
-    rejected = other.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("__b"))
+    rejected = whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("__b"))
     both = pairs.select("chosen_id", "rejected_id").join(chosen, "chosen_id").join(rejected, "rejected_id")
+    return _formatted(both)
+
+
+def format_swapped(turns: DataFrame, taker: Column) -> DataFrame:
+    """Each conversation as chosen, and as rejected the same with its last assistant's turn taken from another one.
+
+    ``taker`` is the id, made of ``conv_id``, of the conversation that gets the reply of ``conv_id``.  Of several replies
+    for one the greatest text is taken; without any the reply is empty.  Columns are those of ``format_preferences``;
+    ``rejected_id`` is the giver, null without one.  The last turn is the last in the order of ``conversations``.
+    Conversations without an assistant's turn are left out.  Turns are shuffled once, replies travel to their takers.
+    """
+    back = F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"] == LEARNED_ROLE), True)
+    whole = conversations(turns).withColumn("at", (F.size("turns") - back + 1).cast("int")).filter(F.col("at") <= F.size("turns"))
+    replies = whole.select(taker.alias("chosen_id"), F.element_at("turns", F.col("at"))["text"].alias("reply"), F.col("conv_id").alias("giver"))
+    given = replies.groupBy("chosen_id").agg(F.max(F.struct("reply", "giver")).alias("given"))
+    both = whole.withColumnRenamed("conv_id", "chosen_id").join(given, "chosen_id", "left")
+    reply = F.coalesce("given.reply", F.lit(""))
+    swapped = F.transform("turns", lambda t, i: F.struct(t["role"].alias("role"), F.when(i + 1 == F.col("at"), reply).otherwise(t["text"]).alias("text")))
+    return _formatted(both.select("chosen_id", F.col("given.giver").alias("rejected_id"), F.col("turns").alias("__a"), swapped.alias("__b")))
+
+
+def _formatted(both: DataFrame) -> DataFrame:
+    """Prompt, completions and masks of ``chosen_id, rejected_id`` and the turns of each (``__a, __b``)."""
     both = both.withColumn("prefix_turns", common_prefix(F.col("__a"), F.col("__b")))
     rest = lambda c: F.slice(c, F.col("prefix_turns") + 1, F.greatest(F.size(c), F.lit(0)))
     return both.select(

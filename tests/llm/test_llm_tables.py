@@ -194,15 +194,8 @@ def test_swapped_replies_share_all_but_the_last_reply(spark):
         (4, None, "assistant", "p", 9), (4, None, "assistant", "q", 9), (5, 0, "assistant", "r", 9), (5, 0, "assistant", "r", 9),
     ]
     turns = spark.createDataFrame(talks, "conv_id long, turn long, role string, text string, given long")
-    ids = turns.select("conv_id").distinct()
-    rejected = chat.swap_replies(turns, ids.withColumn("giver_id", F.col("conv_id") + 1))
-    by_id: dict = {}
-    for r in rejected.collect():
-        by_id.setdefault(r["conv_id"], []).append((r["turn"], r["role"], r["text"]))
-    assert sorted(by_id[1]) == [(0, "user", "a"), (1, "assistant", "b"), (2, "user", "c"), (3, "assistant", ""), (4, "user", "e")]
-    assert set(by_id) == {1, 2, 4, 5} and sorted(by_id[2])[1] == (1, "assistant", "")
-    assert [t for _, _, t in by_id[4]] == ["r", "r"] and [t for _, _, t in by_id[5]] == ["", ""]
-    pairs = ids.select(F.col("conv_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
-    rows = {r["chosen_id"]: r for r in chat.format_preferences(turns, pairs, rejected).collect()}
+    rows = {r["chosen_id"]: r for r in chat.format_swapped(turns, F.col("conv_id") - 1).collect()}
+    assert {k: (r["rejected_id"], r["prefix_turns"]) for k, r in rows.items()} == {1: (2, 3), 2: (None, 2), 4: (5, 1), 5: (None, 1)}
+    assert "\nr<" in rows[4]["rejected"] and "\nq<" in rows[4]["chosen"] and "\nr<" in rows[5]["chosen"]
     assert rows[1]["prefix_turns"] == 3 and "c" in rows[1]["prompt"] and "\nd<" in rows[1]["chosen"] and "\nd<" not in rows[1]["rejected"]
-    assert chat.swap_replies(turns.limit(0), ids.withColumn("giver_id", F.col("conv_id"))).count() == 0
+    assert chat.format_swapped(turns.limit(0), F.col("conv_id") - 1).count() == 0
