@@ -86,7 +86,8 @@ def format_swapped(turns: DataFrame, taker: Column) -> DataFrame:
     ``taker`` is the id, made of ``conv_id``, of the conversation that gets the reply of ``conv_id``.  Of several replies
     for one the greatest text is taken; without any the reply is empty.  Columns are those of ``format_preferences``;
     ``rejected_id`` is the giver, null without one.  The last turn is the last in the order of ``conversations``.
-    Conversations without an assistant's turn are left out.  Turns are shuffled once, replies travel to their takers.
+    Conversations without an assistant's turn are left out.  Turns are grouped for the
+    conversations and again for the replies; only replies travel on, to their takers.
     """
     back = F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"] == LEARNED_ROLE), True)
     whole = conversations(turns).withColumn("at", (F.size("turns") - back + 1).cast("int")).filter(F.col("at") <= F.size("turns"))
