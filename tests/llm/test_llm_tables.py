@@ -53,6 +53,48 @@ def test_exact_top_k_of_large_numbers(spark):
     assert [(r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == want
 
 
+def test_exact_top_k_of_huge_numbers(spark):
+    """Scaled components beyond the long range and beyond double precision lose no row."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=3) * 10.0 ** rng.choice([-1, 0, 8, 20, 150, 307])).tolist()) for i in range(60)]
+    rows += [(60, [1e307, 5.0, 1.0]), (61, [1e307, -1e307, 1e307]), (62, [-1e307, 3.0, 2.0]), (63, [1.7e308, -1.7e308, 0.0])]
+    big = int(np.finfo(np.float64).max)
+    whole = {i: [int(math.floor(64 * x)) if math.isfinite(64 * x) else int(math.copysign(1, x)) * big for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 64, 20):
+        best = sorted((-min(max(sum(a * b for a, b in zip(whole[q], v, strict=True)), 1 - 2**63), 2**63 - 1), i) for i, v in whole.items() if i != q)[:20]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for shard_rows in (10**6, 4):
+        got = topk.exact_top_k(df, F.col("vec_id") % 20 == 0, 20, shard_rows=shard_rows)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_coarse_balls_spare_most_searches_and_split_copies(spark, monkeypatch):
+    """Queries go only to balls whose bound reaches their floor; a third of equal vectors is spread over shards."""
+    rng = np.random.default_rng(9)
+    middles = 4 * rng.normal(size=(30, 8))
+    points = np.concatenate([middles[i % 30] + 0.05 * rng.normal(size=8) for i in range(900)] + [np.tile(middles[0], 450)]).reshape(-1, 8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>").repartition(4)
+    whole, sent, shards = np.floor(64 * points).astype(int), [], []
+    plain = topk._round
+
+    def counted(vectors, queries, k, sizes, shard_rows, query_rows):
+        sent.append(queries.select(F.sum(F.size("balls"))).first()[0] or 0)
+        shards.append(sizes)
+        return plain(vectors, queries, k, sizes, shard_rows, query_rows)
+
+    monkeypatch.setattr(topk, "_round", counted)
+    got = sorted(map(tuple, topk.exact_top_k(df, F.col("vec_id") % 20 == 0, 5, shard_rows=40).collect()))
+    want = []
+    for q in range(0, len(points), 20):
+        best = sorted((-int(whole[q] @ v), i) for i, v in enumerate(whole) if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == want
+    assert sum(shards[0]) == len(points) and max(shards[0]) >= 450  # equal vectors share a ball, its shards do not
+    assert sum(sent) < 0.6 * sum(n > 0 for n in shards[0]) * len(range(0, len(points), 20))
+
+
 def test_nearest_neighbours(spark):
     rows = vectors(400)
     own = good(rows, False)
