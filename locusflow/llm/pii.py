@@ -3,7 +3,8 @@
 The patterns give the base spans, which always stay.  The field then reads the places that hold digits, ``@`` or a
 spelled-out dot and are not explained by a base span.  It scores whole candidate segments, not tokens, and
 a dynamic program over segments of bounded length chooses boundaries and types together.  It finds forms that the
-patterns miss, such as spelled-out mail addresses and telephone numbers without a plus sign.
+patterns miss, such as spelled-out mail addresses of up to twenty labels, telephone numbers without a plus sign or digit
+by digit, and bracketed internet addresses.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from locusflow.llm.words import give_back, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens in a segment at most, and tokens read before and after a trigger.
-LONGEST, AROUND = 16, 18
-#: Texts with triggers that the field is trained on, at most, and bytes of one of them at most.
-TRAINING_TEXTS, TRAINING_BYTES = 400, 200_000
+LONGEST, AROUND = 90, 92
+#: Texts that the field is trained on, at most (half of them with the look of a base span, half with other triggers), bytes
+#: of one of them at most, and rewritten copies of each.
+TRAINING_TEXTS, TRAINING_BYTES, REWRITES = 400, 200_000, 4
+#: Texts that may hold a base span, judged before the patterns themselves read them.
+_LOOKS = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|(?:[0-9][ -]?){15}[0-9]|\+[0-9][ ().0-9-]{6}"
 #: By how much a segment of the field must beat its being ordinary text (log odds).
 MARGIN = 2.0
 
@@ -40,6 +44,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIGGER = r"[0-9@]|\b[Dd][Oo][Tt]\b"
 _SPELLED_HOST = re.compile(r"[a-z0-9-]+(?: ?[\[(<{]?dot[\])>}]? ?[a-z0-9-]+)+")
+_PLAIN_HOST = re.compile(r"[a-z0-9-]+(?: ?(?:\.|[\[(<{]?dot[\])>}]?) ?[a-z0-9-]+)+")
+_HOST_GOES_ON = re.compile(r"(?: ?[\[(<{]dot[\])>}] ?| dot |\.)[A-Za-z0-9]", re.IGNORECASE)
+#: Endings of hosts that rewritten training texts take.
+_ENDINGS = ("com", "org", "net", "info", "de", "fr", "co.uk")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 _MAY_START = re.compile(_TRIGGER)
 
@@ -102,7 +110,9 @@ def zones(text: str, base: list[Span]) -> list[Zone]:
     fixed = [bool(covered[a]) for a, _, _ in tokens]
     near = np.zeros(len(tokens) + 1, np.int64)
     for i, (_, _, token) in enumerate(tokens):
-        if not fixed[i] and ((token.isdigit() and len(token) > 1) or token == "@" or token.lower() == "dot"):
+        # A lone digit counts where another number stands next to it, or behind one mark or bracket.
+        many = token.isdigit() and (len(token) > 1 or any(t.isdigit() for _, _, t in tokens[i + 1 : i + 5]))
+        if not fixed[i] and (many or token == "@" or token.lower() == "dot"):
             near[max(0, i - AROUND)] += 1
             near[min(len(tokens), i + AROUND + 1)] -= 1
     on = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(near)[:-1] > 0, [0]])))
@@ -120,7 +130,10 @@ def features(text: str, zone: Zone, i: int, j: int) -> list[str] | None:
     groups = [t for t in words if t.isdigit()]
     digits = "".join(groups)
     mail = "@" in words or ("at" in words[1:-1] and "dot" in words[2:-1])
-    if "\n" in span or "  " in span or not (mail or 7 <= len(digits) <= 20):
+    four = len(groups) == 4 and not any(t.isalpha() for t in words) and all(len(g) < 4 and int(g) < 256 for g in groups)
+    if "\n" in span or "  " in span or not (mail or four or 7 <= len(digits) <= 20):
+        return None
+    if any(span.count(a) != span.count(b) for a, b in ("()", "[]", "{}")):
         return None
     if not (words[0][0].isalnum() or words[0] in "+(") or not (words[-1][0].isalnum()):
         return None
@@ -128,24 +141,30 @@ def features(text: str, zone: Zone, i: int, j: int) -> list[str] | None:
         return None
     letters = [t for t in words if t.isalpha()]
     marks = "".join(sorted({c for c in span if not c.isalnum()}))
+    if mail:
+        n = words.index("@") if "@" in words else words.index("at", 1)
+        host, head = span[tokens[n][1] - start :].lower(), text[start : tokens[n][0]].rstrip(" [({<")
+        spelled = bool((_SPELLED_HOST if words[n] == "at" else _PLAIN_HOST).fullmatch(host.lstrip(" ])>}")))
+        shape = "one" if n == 1 else "joined" if " " not in head else "several"
+        cut = bool(_HOST_GOES_ON.match(text, end)) or (start > 1 and text[start - 1] in "._%+-" and text[start - 2].isalnum())
+        by, brackets = words[n], "".join(c for c in marks if c in "[](){}<>@")
+        return [
+            "mail", f"by {by} {brackets}", f"ats {min(words.count('@') + words.count('at'), 3)}", f"dots {min(words.count('dot'), 1)}",
+            f"head {shape} {cut}", f"ends {len(words[-1]) if words[-1].isalpha() and len(words[-1]) < 5 else 'long'}",
+            f"host {spelled}", f"cut {cut}", f"whole {spelled and not cut and shape != 'several'}",
+        ]
     shape = "-".join(str(len(g)) for g in groups)
     out = ["bias", f"digits {min(len(digits), 20)}", f"groups {min(len(groups), 7)}", f"letters {min(len(letters), 6)}", f"marks {marks[:8]}"]
     if not letters:
         out += [f"shape {shape}", f"first {words[0] if words[0] in '+(' else 'd'}"]
         if 12 <= len(digits) <= 19:
             out.append(f"luhn {luhn(digits)}")
+        if all(len(g) == 1 for g in groups):
+            out.append(f"single {len(groups)}")
         if len(groups) == 4:
-            out.append(f"bytes {all(len(g) < 4 and int(g) < 256 for g in groups)} {marks[:4]}")
-    if mail:
-        by = "@" if "@" in words else "at"
-        out += [f"by {by}", f"ats {min(words.count('@') + words.count('at'), 3)}", f"dots {min(words.count('dot'), 3)}"]
-        out.append(f"spaces {min(span.count(' '), 5)}")
-        out.append(f"ends {len(words[-1]) if letters and words[-1].isalpha() and len(words[-1]) < 5 else 'long'}")
-        head = words[: words.index(by)] if by in words else words
-        out.append(f"head {'one' if len(head) == 1 else 'joined' if ' ' not in span[: span.lower().find(by)].strip(' [(') else 'several'}")
-        if by == "at":
-            host = span[span.lower().find("at") + 2 :].lower()
-            out.append(f"host {bool(_SPELLED_HOST.fullmatch(host.lstrip(' ])>}')))}")
+            at = [n for n, t in enumerate(words) if t.isdigit()]
+            between = {text[tokens[m][1] : tokens[n][0]] for m, n in zip(at, at[1:], strict=False)}
+            out.append(f"bytes {four} {marks[:4]} {len(between) == 1}")
     return out
 
 
@@ -153,16 +172,34 @@ Weights = dict[tuple[str, str], float]
 
 
 def candidates(text: str, zone: Zone) -> list[tuple[int, int, list[str]]]:
-    """``(i, j, features)`` of all segments of at most ``LONGEST`` tokens that may be entities."""
+    """``(i, j, features)`` of all segments of at most ``LONGEST`` tokens that may be entities.
+
+    No entity crosses a line end, two spaces or a base span, holds more than three marks (``@`` or ``at``), or crosses a space between two words neither of which is ``at`` or
+    ``dot``; the last of these is what keeps segments in prose short.
+    """
     out, tokens = [], zone.tokens
-    may = np.concatenate([[0], np.cumsum([t.isdigit() or t == "@" or t.lower() in ("at", "dot") for _, _, t in tokens])])
-    for i in range(len(tokens)):
-        for j in range(i + 1, min(i + LONGEST, len(tokens)) + 1):
-            if j < len(tokens) and "\n" in text[tokens[j - 1][1] : tokens[j][0]]:
-                if may[j] > may[i] and (found := features(text, zone, i, j)) is not None:
-                    out.append((i, j, found))
-                break
-            if may[j] > may[i] and (found := features(text, zone, i, j)) is not None:
+    marks = np.concatenate([[0], np.cumsum([t == "@" or t.lower() == "at" for _, _, t in tokens])]).tolist()
+    digits = np.concatenate([[0], np.cumsum([len(t) if t.isdigit() else 0 for _, _, t in tokens])]).tolist()
+    level = {"(": 1, ")": -1, "[": 10**6, "]": -(10**6), "{": 10**12, "}": -(10**12)}
+    depth = np.concatenate([[0], np.cumsum([level.get(t, 0) for _, _, t in tokens], dtype=np.int64)]).tolist()
+    plain = [t.isalpha() and t.lower() not in ("at", "dot") for _, _, t in tokens]
+    ends, end = [0] * len(tokens), len(tokens)
+    for i in range(len(tokens) - 1, -1, -1):
+        gap = text[tokens[i][1] : tokens[i + 1][0]] if i + 1 < len(tokens) else ""
+        if "\n" in gap or "  " in gap or zone.fixed[i] or (gap and plain[i] and plain[i + 1]):
+            end = i + 1
+        ends[i] = end
+    for i, (start, _, token) in enumerate(tokens):
+        if zone.fixed[i] or not (token[0].isalnum() or token in "+(") or (start and text[start - 1].isalnum()):
+            continue
+        last = min(i + LONGEST, ends[i])
+        for j in range(i + 1, last + 1):
+            if marks[j] - marks[i] > 3 or (digits[j] - digits[i] > 20 and marks[last] == marks[i]):
+                break  # several addresses, or longer than any number
+            few, many = digits[j] - digits[i] < 4, digits[j] - digits[i] > 20
+            if ((few or many) and marks[j] == marks[i]) or depth[j] != depth[i]:
+                continue  # neither a number nor an address, or an open bracket
+            if (found := features(text, zone, i, j)) is not None:
                 out.append((i, j, found))
     return out
 
@@ -274,24 +311,30 @@ def _variants(text: str, base: list[Span], chance: random.Random) -> tuple[str,
             continue
         put(text[done:a])
         span = text[a:b]
-        if chance.random() < 0.6:
+        if chance.random() < 0.75:
             if kind == "email":
                 user, host = span.split("@", 1)
+                labels = host.split(".")
+                labels[-1] = chance.choice([labels[-1], *_ENDINGS])
+                labels = chance.choice([labels, labels[-2:], [labels[0], labels[-1]], [*labels, labels[0]], [*labels[:1], *labels, *labels[-1:]]])
+                host, user = ".".join(labels), chance.choice([user, re.split("[._%+-]", user.strip("._%+-"))[0]])
                 at, dot = chance.choice([(" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", "."), (" AT ", " DOT ")])
                 span = user.strip("._%+-") + at + host.replace(".", dot)
             elif kind == "phone":
                 digits = re.sub("[^0-9]", "", span)
                 d = digits[-10:]
-                span = chance.choice([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"00{digits[:-10]} {d[:3]} {d[3:6]} {d[6:]}"])
+                span = chance.choice([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", " ".join(d), "-".join(d), f"00{digits[:-10]} {d[:3]} {d[3:6]} {d[6:]}"])
             elif kind == "card":
                 sep = chance.choice([" . ", ".", "/", "  ", " - "]).replace("  ", " ")
                 d = re.sub("[^0-9]", "", span)
                 span = sep.join(d[i : i + 4] for i in range(0, len(d), 4))
             elif kind == "ip":
                 span = span.replace(".", chance.choice(["[.]", " . ", "(.)"]))
+        around = chance.choice([("", ""), ("", ""), ("", ""), ("(", ")"), ("", "."), ("", ", or")])
+        put(around[0])
         if kind != "email" or span[0].isalnum():
             spans.append((kind, length, length + len(span)))
-        put(span)
+        put(span + around[1])
         done = last = b
         if chance.random() < 0.7:
             put(f" {chance.choice(plain)()} ")
@@ -299,21 +342,31 @@ def _variants(text: str, base: list[Span], chance: random.Random) -> tuple[str,
     return "".join(parts), spans
 
 
+def learn(texts: list[str], seed: int = 11) -> Weights:
+    """Train the field on ``texts``: their base spans, some of them rewritten into other forms, are the truth."""
+    chance, examples = random.Random(seed), []
+    for text in texts:
+        base = base_spans(text)
+        examples.append((text, base))
+        examples += [_variants(text, base, chance) for _ in range(REWRITES if base else 1)]
+    return fit(examples)
+
+
 def train(docs: DataFrame, most: int = TRAINING_TEXTS, seed: int = 11) -> Weights:
-    """Train the field on a bounded sample: at most ``most`` texts with a trigger and ``TRAINING_BYTES`` bytes, the
-    first by a hash of the text.  Their base spans, some rewritten into other forms, are the truth.  Eager."""
-    usable = docs.select("text").filter(F.col("text").rlike("[0-9]{2}|@") & (F.octet_length("text") <= TRAINING_BYTES))
+    """Train the field on a bounded sample of at most ``most`` texts of at most ``TRAINING_BYTES`` bytes, the first by a hash
+    of the text: one half with the look of a base span, one half with triggers alone, so that rare personal data is not
+    crowded out by other numbers.  An empty sample gives a field that adds nothing.  Eager."""
+    usable = docs.select("text").filter(F.col("text").rlike(_TRIGGER) & (F.octet_length("text") <= TRAINING_BYTES))
     # Hashes come first: only the texts chosen leave the executors, and copies count once.
-    hashed = usable.withColumn("h", F.xxhash64("text"))
-    first = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(most).collect()]
-    rows = hashed.filter(F.col("h") <= first[-1]).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect() if first else []
-    chance, examples = random.Random(seed), []
-    for row in rows:
-        base = base_spans(row["text"])
-        examples.append((row["text"], base))
-        examples.append(_variants(row["text"], base, chance))
-    weights = fit(examples)
-    del rows, examples
+    hashed = usable.withColumns({"h": F.xxhash64("text"), "looks": F.col("text").rlike(_LOOKS)})
+    texts = []
+    for looks in (True, False):
+        own = hashed.filter(F.col("looks") == looks)
+        first = [r["h"] for r in own.select("h").distinct().orderBy("h").limit(most // 2).collect()]
+        if first:
+            texts += [r["text"] for r in own.filter(F.col("h") <= first[-1]).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect()]
+    weights = learn(texts, seed)
+    del texts
     give_back()
     return weights
 

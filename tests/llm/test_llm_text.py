@@ -1,3 +1,5 @@
+import functools
+import math
 import random
 import re
 import zlib
@@ -201,6 +203,7 @@ def test_base_spans_equal_the_patterns(text):
 @pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1 (" * 50_000, "1 " * 100_000])
 def test_base_spans_take_linear_time(text):
     assert pii.base_spans(text) is not None
+    assert pii.candidates(text, pii.Zone([(m.start(), m.end(), m[0]) for m in re.finditer("[A-Za-z]+|[0-9]+|[^A-Za-z0-9 ]", text[:20_000])], [False] * 20_000)) is not None
 
 
 def sentences(seed, n=30):
@@ -219,6 +222,70 @@ def test_field_learns_forms_that_patterns_miss(spark):
     assert pii.redacted(text, every).startswith("write to <email> now, or call <phone> today.")
 
 
+@pytest.mark.parametrize(
+    "form",
+    ["john.doe [at] mail [dot] example [dot] co [dot] uk", "jane [at] mail [dot] com", "jane(at)mail3(dot)example(dot)net", "10[.]2[.]3[.]4",
+     "2 1 2 5 5 5 0 1 8 7", "2-1-2-5-5-5-0-1-8-7", "(212) 555-0187", "x.y1 at " + " dot ".join(f"part{i}" for i in range(18)) + " dot com"],
+)
+def test_added_spans_leave_nothing_of_an_entity(form):
+    weights = learned()
+    for frame in ("{}", "please write or call {} for more", "the old one ({}), they said"):
+        text = frame.format(form)
+        base, every = pii.all_spans(text, weights)
+        assert base == [] and [text[a:b] for _, a, b in every] == [form]
+
+
+@functools.cache
+def learned():
+    return pii.learn([sentences(i) for i in range(200)])
+
+
+def segmentations(n, found):
+    """All ways to cover ``n`` tokens with ordinary tokens (left out) and typed segments."""
+
+    def walk(at):
+        if at >= n:
+            yield ()
+            return
+        yield from walk(at + 1)
+        for c, (i, j, _) in enumerate(found):
+            if i == at:
+                for kind in pii.KINDS:
+                    for rest in walk(j):
+                        yield ((c, kind), *rest)
+
+    return list(walk(0))
+
+
+@pytest.mark.parametrize("text", ["call 555 123 4567", "a@b.c 1.2.3.4", "j at m dot com", "1[.]2[.]3[.]4 @x"])
+def test_decode_and_fit_equal_enumeration(text):
+    zone = pii.zones(text, [])[0]
+    found = pii.candidates(text, zone)
+    every = segmentations(len(zone.tokens), found)
+    assert found and len(every) > len(pii.KINDS)
+    where = lambda c: (zone.tokens[found[c][0]][0], zone.tokens[found[c][1] - 1][1])
+
+    chance = random.Random(5)
+    weights = {(k, f): chance.uniform(-1, 1.5) for k in pii.KINDS for _, _, names in found for f in names}
+    total = lambda one, margin: sum(sum(weights[k, f] for f in found[c][2]) - margin for c, k in one)
+    best = max(total(one, 0.2) for one in every)
+    got = pii.decode(text, zone, weights, margin=0.2)
+    places = {where(c): c for c in range(len(found))}
+    assert math.isclose(total([(places[a, b], k) for k, a, b in got], 0.2), best, abs_tol=1e-9)
+
+    # One step from zero weights: the truth's features less their expectation over all segmentations.
+    truth = [("phone", *where(0))]
+    want = Counter()
+    for f in found[0][2]:
+        want["phone", f] += 1
+    for one in every:
+        for c, k in one:
+            for f in found[c][2]:
+                want[k, f] -= 1 / len(every)
+    fitted = pii.fit([(text, truth)], epochs=1, rate=1.0, decay=0.0)
+    assert all(abs(fitted.get(key, 0) - want.get(key, 0)) < 2e-3 for key in {*fitted, *want})
+
+
 def test_pii_table(odd):
     rows = pii.find(odd, {}).collect()
     assert len(rows) == len(odd_documents()) and {"key", "score", "text"} <= set(rows[0].asDict())
