@@ -14,7 +14,7 @@ import math
 import random
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +29,7 @@ KINDS = ("email", "ip", "card", "phone")
 LONGEST, AROUND = 90, 92
 #: Texts that the field is trained on, at most (half of them with the look of a base span, half with other triggers), bytes
 #: of one of them at most, and rewritten copies of each.
-TRAINING_TEXTS, TRAINING_BYTES, REWRITES = 400, 200_000, 4
+TRAINING_TEXTS, TRAINING_BYTES, REWRITES = 400, 50_000, 4
 #: Texts that may hold a base span, judged before the patterns themselves read them.
 _LOOKS = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|(?:[0-9][ -]?){15}[0-9]|\+[0-9][ ().0-9-]{6}"
 #: By how much a segment of the field must beat its being ordinary text (log odds).
@@ -244,10 +244,10 @@ def _log_sum(values: list[float]) -> float:
     return top + math.log(sum(math.exp(v - top) for v in values))
 
 
-def fit(examples: list[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0.3, decay: float = 1e-3, seed: int = 3) -> Weights:
+def fit(examples: Iterable[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0.3, decay: float = 1e-3, seed: int = 3) -> Weights:
     """Maximise the likelihood of the given spans by gradient steps, one zone at a time.
 
-    The normaliser sums over all segmentations into ordinary tokens and typed segments, by the forward and backward
+    Of each text only the candidates around its triggers are held.  The normaliser sums over all segmentations into ordinary tokens and typed segments, by the forward and backward
     recursions over bounded segments.
     """
     work = []
@@ -344,12 +344,16 @@ def _variants(text: str, base: list[Span], chance: random.Random) -> tuple[str,
 
 def learn(texts: list[str], seed: int = 11) -> Weights:
     """Train the field on ``texts``: their base spans, some of them rewritten into other forms, are the truth."""
-    chance, examples = random.Random(seed), []
-    for text in texts:
-        base = base_spans(text)
-        examples.append((text, base))
-        examples += [_variants(text, base, chance) for _ in range(REWRITES if base else 1)]
-    return fit(examples)
+    chance = random.Random(seed)
+
+    def examples() -> Iterator[tuple[str, list[Span]]]:
+        for text in texts:
+            base = base_spans(text)
+            yield text, base
+            for _ in range(REWRITES if base else 1):
+                yield _variants(text, base, chance)
+
+    return fit(examples())
 
 
 def train(docs: DataFrame, most: int = TRAINING_TEXTS, seed: int = 11) -> Weights:
