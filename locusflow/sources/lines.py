@@ -31,20 +31,29 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(hadoop_path).toString()
 
 
-def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines as ``(path, line_no, value)`` with 0-based numbers within each file.
-
-    A split file is read in blocks, and row ids rise within a block.  The number of a
-    line is its place in its block plus the lines of all earlier blocks; the table of
-    blocks (one row each) is aggregated from the same scan and joined back.
-    """
-    raw = spark.read.text(paths).select(
+def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines as ``(value, path, block, __id)``.  A split file is read in blocks, and ids rise within a block."""
+    return spark.read.text(paths).select(
         "value",
         plain_path("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
     ).withColumn("__id", F.monotonically_increasing_id())
+
+
+def first_lines(raw: DataFrame) -> DataFrame:
+    """``path, block, first, __shift``: for each block the number of its first line in the file, and what to add to an id."""
     blocks = raw.groupBy("path", "block").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = F.coalesce(F.sum("__n").over(before(["path"], ["block"])), F.lit(0))
-    shifts = blocks.select("path", "block", (earlier - F.col("__first")).alias("__shift"))
+    return blocks.select("path", "block", earlier.alias("first"), (earlier - F.col("__first")).alias("__shift"))
+
+
+def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines as ``(path, line_no, value)`` with 0-based numbers within each file.
+
+    The number of a line is its place in its block plus the lines of all earlier blocks; the table of
+    blocks (one row each) is aggregated from the same scan and joined back.
+    """
+    raw = raw_lines(spark, paths)
+    shifts = first_lines(raw).drop("first")
     numbered = spread_join(raw, shifts, ["path", "block"], "inner", salt_on=["__id"])
     return numbered.select("path", (F.col("__id") + F.col("__shift")).alias("line_no"), "value")

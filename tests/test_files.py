@@ -34,6 +34,33 @@ def test_read_fastq(spark, tmp_path, packing):
     assert {(r["sample"], r["mate"], r["seq"], r["qual"]) for r in rows} == {("s", 1, "ACGTA" * 4, "@" + "I" * 19)}
 
 
+def test_records_are_built_where_their_block_is_read(spark, tmp_path, monkeypatch):
+    """Any block size gives the records of the whole file, and only the edges of blocks are left to be joined."""
+    for f, n in enumerate((0, 1, 9, 31)):
+        (tmp_path / f"f{f}.fq").write_text("".join(record(i, f, 5 + 5 * (i % 9)) for i in range(n)) + ("@cut\nAC" if f == 3 else ""))
+    paths = [str(tmp_path / f"f{f}.fq") for f in range(4)]
+    columns = ["record", "name", "seq", "qual"]
+    want = sorted((i, f"read{i}/{f}", "ACGTA" * (1 + i % 9), "@" + "I" * (4 + 5 * (i % 9))) for f, n in enumerate((0, 1, 9, 31)) for i in range(n))
+    written = []
+    plain = fastq.materialize
+    monkeypatch.setattr(fastq, "materialize", lambda df: written.append(plain(df)) or written[-1])
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for size in (25, 300, 10**6):
+            written.clear()
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            got = fastq.fastq_records(spark, paths).select(columns)
+            assert sorted(map(tuple, got.collect())) == want
+            blocks, frames = written
+            assert frames.filter("lines < 4").count() <= 2 * blocks.count()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        monkeypatch.setattr(fastq, "BLOCK_TABLE_BYTES", 0)
+        assert sorted(map(tuple, fastq.fastq_records(spark, paths).select(columns).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_paired_and_interleaved_files_agree(spark, tmp_path):
     (tmp_path / "r1.fq").write_text("".join(record(i, 1) for i in range(30)))
     (tmp_path / "r2.fq").write_text("".join(record(i, 2) for i in range(25)))
