@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made for local sessions without a checkpoint folder, by application.
+_LOCAL: dict[str, str] = {}
+
 
 def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A single-JVM session for tests and the benchmark; a cluster brings its own."""
@@ -37,9 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="locusflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    # The setting cannot be changed in a running session, so the folder is remembered here.
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="locusflow-")
+    return _LOCAL[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:

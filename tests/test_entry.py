@@ -1,11 +1,15 @@
 """The entry module without the training-data operators, and without libraries that only they need."""
 
+import os
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
+from locusflow.session import shared_dir
+
 ROOT = Path(__file__).resolve().parent.parent
 BLOCKED = """
 import sys
@@ -28,3 +32,15 @@ def test_entry_survives_what_is_gone(blocked):
     assert done.returncode == 0, done.stderr
     own, with_sql, left = done.stdout.split()
     assert int(own) > 60 and int(own) == int(with_sql) and left == "False"
+
+
+def test_shared_folder_without_the_setting():
+    """Local sessions get one folder each, other masters a clear error."""
+
+    def session(master, app):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, applicationId=app))
+
+    first = shared_dir(session("local[2]", "app-a"))
+    assert os.path.isdir(first) and shared_dir(session("local[2]", "app-a")) == first != shared_dir(session("local", "app-b"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077", "app-c"))
