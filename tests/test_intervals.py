@@ -127,3 +127,44 @@ def test_interval_join_of_short_and_huge_intervals(spark, options):
     widths = I._widths(100)
     copies = I._explode_levels(a, widths, list(range(len(widths))), "start", "end_pos").groupBy("id").count()
     assert copies.agg(F.max("count")).first()[0] <= 2 * len(widths)
+
+
+@pytest.mark.parametrize("ambiguous", ["drop", "count"])
+def test_features_counted_without_pairs_of_reads_and_exons(spark, monkeypatch, ambiguous):
+    from locusflow.operators import features
+
+    made = []
+
+    def watched(a, b, **options):
+        pairs = I.interval_join(a, b, **options)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(features, "interval_join", watched)
+    # Two hundred exons on one place, a lone one, one long one around another, and one without reads.
+    spots = [(i, 1, 1000, 1100 + i) for i in range(200)] + [(200, 1, 5000, 5100), (201, 2, 1, 90_000), (202, 2, 40_000, 40_100), (203, 3, 1, 50)]
+    exons = spark.createDataFrame(spots, "exon_id long, contig_idx long, start long, end_pos long")
+    # Templates of three reads: apart inside one exon, overlapping, and on two exons.
+    places = [(t, 1, 1000 + t % 50 + 40 * m) for t in range(60) for m in range(3)] + [(60, 1, 5010), (60, 1, 5060), (61, 2, 100), (61, 2, 300), (62, 2, 39_990), (62, 1, 5090)]
+    rows = [(i, t, c, s, s + 19, 0) for i, (t, c, s) in enumerate(places)]
+    reads = spark.createDataFrame(rows, "read_id long, template_id long, contig_idx long, start long, end_pos long, is_unmapped int")
+    touched = {(t, x) for _, t, c, s, e, _ in rows for x, xc, xs, xe in spots if xc == c and xs <= e and s <= xe}
+    several = {t for t, _ in touched if sum(1 for u, _ in touched if u == t) > 1}
+    expected = {x: sum(1 for t, y in touched if y == x and (ambiguous == "count" or t not in several)) for x, *_ in spots}
+    found = {r["exon_id"]: r["n"] for r in features.count_features(reads, exons, ambiguous=ambiguous).collect()}
+    assert found == expected
+    assert sum(made) <= 3 * len(rows)
+
+
+@pytest.mark.parametrize("ambiguous", ["drop", "count"])
+def test_features_of_several_intervals_count_a_template_once(spark, ambiguous):
+    from locusflow.operators.features import count_features
+
+    exons = spark.createDataFrame([("a", 1, 100, 200), ("a", 1, 150, 250), ("a", 1, 400, 500), ("b", 1, 450, 600)], "exon_id string, contig_idx long, start long, end_pos long")
+    reads = spark.createDataFrame(
+        [(1, 1, 1, 190, 210, 0), (2, 1, 1, 410, 430, 0), (3, 2, 1, 440, 460, 0)],
+        "read_id long, template_id long, contig_idx long, start long, end_pos long, is_unmapped int",
+    )
+    counts = sorted((r["exon_id"], r["start"], r["n"]) for r in count_features(reads, exons, ambiguous=ambiguous).collect())
+    a, b = (1, 0) if ambiguous == "drop" else (2, 1)
+    assert counts == [("a", 100, a), ("a", 150, a), ("a", 400, a), ("b", 450, b)]
