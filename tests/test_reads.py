@@ -575,3 +575,13 @@ def test_chain_options_and_counters(spark):
     assert part.counts.first()["n"] == part.reads.filter("contig_idx = 0").select("template_id").distinct().count()
     spans = {(r["contig_idx"], r["start"], r["end_pos"]) for r in part.islands.collect()}
     assert spans and all(any(c == x and a >= y and b <= z for x, y, z in ((0, 1000, 1999), (3, 1, 50))) for c, a, b in spans)
+
+
+def test_recalibration_query_makes_no_base_rows(spark, monkeypatch):
+    from locusflow.catalog import queries
+
+    def exploded(*_, **__):
+        raise AssertionError("bases became rows")
+
+    monkeypatch.setattr(queries.pileup, "explode_positions", exploded)
+    assert queries.QUERIES["recalibration_table"](spark, "/root/testdata/sf0.001").columns == ["rg", "qual", "cycle", "context", "observations", "mismatches"]
