@@ -25,7 +25,7 @@ REGION_BIN = 65_536
 DICT_CELL = 65_536
 #: Gene starts are numbered in stretches of so many bases.
 GENE_CELL = 10_000_000
-#: Each retry lowers the number of regions to this fraction; so many retries are looked at in one go.
+#: Each retry lowers the number of regions to this fraction; at most so many retries are planned in one go.
 RETRY, TRIES = 0.95, 16
 
 
@@ -45,18 +45,51 @@ def _packed(lengths: DataFrame, total: int, tries: list[tuple[int, int]]) -> Dat
     return packs.drop("cell").unionByName(long_ones.drop("cell")).withColumn("pieces", pieces)
 
 
+def _may_fit(sizes: DataFrame, total: int, n: int) -> list[int]:
+    """Steps of a retry among which the first that gives at most ``n`` keys is, and the last of them gives that for certain.
+
+    ``sizes`` has the number ``c`` of contigs of each ``length``.  A pack, but for the last, is longer than a fifth of the target, and by
+    no more than its last contig; so the packs of a step lie between two numbers that sums alone give.
+    """
+    steps: list[int] = []
+    at = 0
+    while True:
+        targets = {s: max(1, math.floor(total / (n * RETRY**s))) for s in range(at, at + TRIES)}
+        asked = F.explode(F.array(*[F.struct(F.lit(s).alias("try"), F.lit(t).cast("long").alias("target")) for s, t in targets.items()])).alias("t")
+        short = F.col("length") < F.col("target")
+        sums = sizes.select("length", "c", asked).select("length", "c", "t.*").groupBy("try").agg(
+            F.sum(F.when(short, F.col("length") * F.col("c"))).alias("short"), F.max(F.when(short, F.col("length"))).alias("longest"),
+            F.sum(F.when(~short, F.ceil(F.col("length") / F.col("target")) * F.col("c"))).alias("cut"),
+        )
+        found = {r["try"]: r for r in sums.collect()}
+        for s, target in targets.items():
+            row = found.get(s)
+            cut = (row["cut"] or 0) if row else 0
+            least = most = 0
+            if row and row["longest"] is not None:
+                least = -(-PACK_FACTOR * row["short"] // (target + PACK_FACTOR * row["longest"]))
+                most = max(1, -(-PACK_FACTOR * row["short"] // target))
+            if cut + least <= n:
+                steps.append(s)
+            if cut + most <= n:
+                return steps
+        at += TRIES
+
+
 def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False) -> DataFrame:
     """Regions ``(region_key, contig_idx, start, end_pos)`` of about ``total / n`` bases.
 
     Contigs shorter than the target are packed in dictionary order, greedily; longer ones are cut into equal pieces.
     Packed keys come first.  With ``retry`` the number asked for is lowered in steps of 5 % until at most ``n`` keys
-    result; a few steps are tried at once, and one always fits, as in the end all contigs fit one pack.  Eager.
+    result; only steps that sums of lengths do not rule out are planned, a few at once, and one always fits, as in the end
+    all contigs fit one pack.  Eager.
     """
     lengths = materialize(contigs.select("contig_idx", F.col("length").cast("long").alias("length")))
-    total = lengths.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    at = 0
+    sizes = materialize(lengths.groupBy("length").agg(F.count(F.lit(1)).alias("c")))
+    total = sizes.agg(F.coalesce(F.sum(F.col("length") * F.col("c")), F.lit(0))).first()[0]
+    left = _may_fit(sizes, total, n) if retry else [0]
     while True:
-        steps = range(at, at + (TRIES if retry else 1))
+        steps, left = left[:TRIES], left[TRIES:]
         tried = materialize(_packed(lengths, total, [(s, max(1, math.floor(total / (n * RETRY**s)))) for s in steps]))
         packs = F.coalesce(F.max("pack") + 1, F.lit(0))
         keys = tried.groupBy("try").agg(packs.alias("packs"), F.sum(F.when(F.col("pack").isNull(), F.col("pieces"))).alias("cut"))
@@ -64,7 +97,6 @@ def plan_regions_uniform(contigs: DataFrame, n: int, retry: bool = False) -> Dat
         chosen = next((s for s in steps if not retry or found.get(s, (0, 0))[1] <= n), None)
         if chosen is not None:
             break
-        at += TRIES
     kept = tried.filter(F.col("try") == chosen)
     one = F.lit(1).cast("long")
     short = kept.filter("pack IS NOT NULL").select(F.col("pack").alias("region_key"), "contig_idx", one.alias("start"), F.col("length").alias("end_pos"))

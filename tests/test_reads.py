@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from locusflow.functions import cigar, quality
 from locusflow.operators import duplicates, features, filters, pileup, recalibrate, regions, sequence, targets, variants
 from locusflow.plans import dna
+from locusflow.session import materialize
 from locusflow.streaming import ingest
 
 READ = (
@@ -585,3 +586,44 @@ def test_recalibration_query_makes_no_base_rows(spark, monkeypatch):
 
     monkeypatch.setattr(queries.pileup, "explode_positions", exploded)
     assert queries.QUERIES["recalibration_table"](spark, "/root/testdata/sf0.001").columns == ["rg", "qual", "cycle", "context", "observations", "mismatches"]
+
+
+def _merged_pieces(spark):
+    chance = random.Random(9)
+    rows = []
+    for t in range(80):
+        for m in range(chance.randint(1, 3)):
+            start, n = chance.randint(1, 30), chance.randint(2, 20)
+            cigar = f"{n}M" if n < 6 else f"3M2D{n - 3}M"
+            rows.append((f"{t}/{m}", t % 60, "L", chance.randint(0, 1), start, start + n - 1 + 2 * (n >= 6), cigar, m % 2, 0, chance.randint(10, 60), "".join(chance.choice("ACCN") for _ in range(n)), "".join(chance.choice("#5I") for _ in range(n))))
+    reads = spark.createDataFrame(rows, "read_id string, template_id long, library string, contig_idx long, start long, end_pos long, cigar string, is_reverse int, is_unmapped int, mapq int, seq string, qual string")
+    cells = spark.createDataFrame([(c, k, "ACGTN" * 3 + "A" * (k > 0)) for c in range(2) for k in range(5)], "contig_idx long, cell long, seq string")
+    keep = ("read_id", "template_id", "library", "contig_idx", "is_reverse", "mapq", "touching")
+    return sequence.read_pieces(pileup.mark_touching(reads.repartition(3)), cells, keep=keep, width=16)
+
+
+def test_sums_of_pieces_equal_those_of_base_rows(spark, monkeypatch):
+    from locusflow.operators import piece_sums
+
+    rows = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+    pieces = materialize(_merged_pieces(spark))
+    bases = pileup.merge_fragments(sequence.piece_bases(pieces))
+    merged = materialize(piece_sums.merge_pieces(pieces))
+    for held in (piece_sums.LOCI_HELD, 3):
+        monkeypatch.setattr(piece_sums, "LOCI_HELD", held)
+        assert rows(piece_sums.locus_sums(merged, likelihoods=False, masked=True)) == rows(pileup.pileup(bases))
+        for strands in (False, True):
+            strong = bases.filter(F.col("base").isin(*"ACGT") & F.col("ref_base").isin(*"ACGT") & (F.col("qual") >= 10))
+            assert rows(piece_sums.locus_sums(merged, True, strands, 10, masked=True)) == rows(pileup.genotype_sums(strong, strands))
+
+
+def test_chains_and_fragment_queries_make_no_base_rows(spark, monkeypatch):
+    from locusflow.catalog import queries
+
+    def exploded(*_, **__):
+        raise AssertionError("bases became rows")
+
+    for module in (sequence, dna):
+        monkeypatch.setattr(module, "piece_bases", exploded, raising=False)
+    for name in ("run_dna", "run_rna", "pileup_fragments", "call_snps_fragments"):
+        assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").columns
