@@ -44,3 +44,11 @@ def test_shared_folder_without_the_setting():
     assert os.path.isdir(first) and shared_dir(session("local[2]", "app-a")) == first != shared_dir(session("local", "app-b"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session("spark://host:7077", "app-c"))
+
+
+def test_texts_of_reads_are_built_once(spark):
+    from locusflow.catalog import views
+
+    reads = spark.createDataFrame([(i, 0, 1 + i, 0, 100) for i in range(9)], "read_id long, contig_idx long, start long, lead int, read_len long")
+    plan = views.with_sequence(reads).select("seq")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("repeat(") == 1
