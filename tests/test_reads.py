@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -409,6 +410,18 @@ def test_spliced_reads_cover_their_blocks_only(spark):
     assert {r["exon_id"]: r["n"] for r in features.count_features(one, exons).collect()} == {1: 1, 2: 0, 3: 0}
 
 
+def test_depth_comes_from_the_ends_of_reads(spark, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("reads are exploded")
+
+    monkeypatch.setattr(pileup, "explode_positions", never)
+    rows = [(0, 16_380, 16_390), (0, 16_380, 16_384), (0, 16_383, 16_383), (0, 32_768, 32_767), (1, 1, 40_000), (1, 5, 5), (None, 7, 8), (2, -3, 2)] * 3
+    reads = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "read_id long, contig_idx long, start long, end_pos long").repartition(3)
+    got = {(r["contig_idx"], r["pos"]): r["depth"] for r in pileup.depth(reads).collect()}
+    want = Counter((c, p) for c, a, b in rows for p in range(a, b + 1))
+    assert got == want and pileup.depth(reads).count() == len(want)
+
+
 def test_reads_without_reference_are_an_error(spark):
     cells = spark.createDataFrame([(0, 0, "A" * 99)], "contig_idx long, cell long, seq string")
     with pytest.raises(Exception, match="no reference sequence for contig 3"):
