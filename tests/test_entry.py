@@ -52,3 +52,13 @@ def test_texts_of_reads_are_built_once(spark):
     reads = spark.createDataFrame([(i, 0, 1 + i, 0, 100) for i in range(9)], "read_id long, contig_idx long, start long, lead int, read_len long")
     plan = views.with_sequence(reads).select("seq")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("repeat(") == 1
+
+
+def test_quality_text_of_large_ids(spark):
+    from locusflow.catalog import views
+
+    ids = [0, 38, 359 * 150_000 * 10**10 + 12_345, 2**63 - 1, -1, -(2**63)]
+    reads = spark.createDataFrame([(i, 60) for i in ids], "read_id long, read_len long")
+    for first in (35, 66):
+        got = {r["read_id"]: r["q"] for r in reads.select("read_id", views.quality_text(first).alias("q")).collect()}
+        assert got == {i: "".join(chr(first + (i + 7 * off) % 39) for off in range(60)) for i in ids}
