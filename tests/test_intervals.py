@@ -129,6 +129,27 @@ def test_interval_join_of_short_and_huge_intervals(spark, options):
     assert copies.agg(F.max("count")).first()[0] <= 2 * len(widths)
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_limit": 0}])
+def test_interval_join_looks_bins_up_once(spark, monkeypatch, options):
+    seen = []
+
+    def watched(left, right, *rest, **kept):
+        seen.append((left.count(), right.count()))
+        return spread_join(left, right, *rest, **kept)
+
+    monkeypatch.setattr(I, "spread_join", watched)
+    monkeypatch.setattr(I, "PACKED_ROWS", 100, raising=False)
+    # Three hundred intervals inside one bin, and one elsewhere; the last two of the other side are in no bin of theirs.
+    b_rows = [(i, 1, 1005 + i % 40, 1010 + i % 50) for i in range(300)] + [(300, 2, 70, 90), (301, None, 5, 9)]
+    a_rows = [(i, 1, 1000 + i, 1003 + i) for i in range(60)] + [(60, 2, 85, 95), (61, 3, 85, 95), (62, None, 5, 9)]
+    a, b = (spark.createDataFrame(rows, "id long, contig_idx long, start long, end_pos long") for rows in (a_rows, b_rows))
+    got = I.interval_join(a, b, bin_width=1000, **options)
+    assert got.columns == ["id", "contig_idx", "start", "end_pos", "b_id", "b_start", "b_end_pos"]
+    pairs = sorted((x[0], y[0]) for x in a_rows for y in b_rows if None not in (x[1], y[1]) and overlaps(x, y))
+    assert sorted((r["id"], r["b_id"]) for r in got.collect()) == pairs
+    assert seen == [(len(a_rows), 5)]  # one copy of each interval, and the bins of the other side in arrays of 100
+
+
 @pytest.mark.parametrize("ambiguous", ["drop", "count"])
 def test_features_counted_without_pairs_of_reads_and_exons(spark, monkeypatch, ambiguous):
     from locusflow.operators import features
