@@ -189,3 +189,14 @@ def test_features_of_several_intervals_count_a_template_once(spark, ambiguous):
     counts = sorted((r["exon_id"], r["start"], r["n"]) for r in count_features(reads, exons, ambiguous=ambiguous).collect())
     a, b = (1, 0) if ambiguous == "drop" else (2, 1)
     assert counts == [("a", 100, a), ("a", 150, a), ("a", 400, a), ("b", 450, b)]
+
+
+def test_hot_keys_are_counted_by_buckets_first(spark):
+    from locusflow.operators.joins import hot_keys
+
+    df = spark.createDataFrame([(i % 50, 1) for i in range(500)] + [(None, 1)] * 95 + [(7, 1)] * 40, "k long, m int")
+    counts = {(r["k"], r["m"]): r["__salts"] for r in hot_keys(df, ["k", "m"], 30).collect()}
+    assert counts == {(None, 1): 4, (7, 1): 2}
+    none = hot_keys(df, ["k", "m"], 500)
+    assert none.columns == ["k", "m", "__salts"] and none.isEmpty()
+    assert "Aggregate" not in none._jdf.queryExecution().optimizedPlan().toString()

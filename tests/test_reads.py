@@ -640,3 +640,35 @@ def test_chains_and_fragment_queries_make_no_base_rows(spark, monkeypatch):
         monkeypatch.setattr(module, "piece_bases", exploded, raising=False)
     for name in ("run_dna", "run_rna", "pileup_fragments", "call_snps_fragments"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").columns
+
+
+def test_sums_of_pieces_with_two_reference_letters_at_a_place(spark):
+    from locusflow.operators import piece_sums
+
+    rows = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+    chance = random.Random(3)
+    spots = [(c, lo, n) for c in range(2) for lo in (1, 5, 4090, 70_000, 10**9) for n in (3, 9, 0)] * 6
+    text = lambda n, letters: "".join(chance.choice(letters) for _ in range(n))
+    made = [(i, c, lo, lo + n - 1, lo, 0, text(n, "ACGTN"), text(n, "#5I~"), text(n, "ACN"), lo, None, i % 2, 60) for i, (c, lo, n) in enumerate(spots)]
+    made.append((999, 0, 1, 9, 1, 0, "ACG", "5", "ACGTACGTA", 1, None, 0, 60))  # texts that end early
+    kinds = "read_id long, contig_idx long, lo long, hi long, block_start long, skip long, seq string, qual string, ref string, ref_start long, sites string, is_reverse int, mapq int"
+    pieces = spark.createDataFrame(made, kinds).coalesce(1)
+    whole = pieces.filter("read_id < 999 AND hi >= lo")
+    bases = sequence.piece_bases(whole)
+    assert rows(piece_sums.locus_sums(whole, likelihoods=False)) == rows(pileup.pileup(bases))
+    strong = bases.filter(F.col("base").isin(*"ACGT") & F.col("ref_base").isin(*"ACGT") & (F.col("qual") >= 10))
+    assert rows(piece_sums.locus_sums(whole, True, True, 10)) == rows(pileup.genotype_sums(strong, True))
+    depth = {r["pos"]: r["depth"] for r in piece_sums.locus_sums(pieces.filter("read_id = 999"), True, False, 0).collect()}
+    assert depth == {1: 1}
+
+
+def test_chains_do_not_write_the_reads_they_are_given(spark, monkeypatch):
+    from locusflow.catalog import queries
+
+    def written(df):
+        assert "seq" not in df.columns or "template_id" not in df.columns
+        return materialize(df)
+
+    monkeypatch.setattr(queries, "materialize", written)
+    for name in ("run_dna", "run_rna"):
+        assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").columns
